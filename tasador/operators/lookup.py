@@ -15,17 +15,19 @@ def small_enough(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 
 def lookup(
-    df: DataFrame, table: DataFrame, key: str, weight: str, broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame, table: DataFrame, key: str, weight: str, rows: int | None = None, broadcast_rows: int | None = None
 ) -> DataFrame:
     """Add the columns of ``table`` to every row of ``df`` with the same ``key``.
 
     ``table`` holds each key once, and in ``weight`` the rows of ``df`` expected for it. A small
     table is broadcast. Of a large one only the keys above one thousandth of all rows are
     (there can be at most a thousand of them); the rest is shuffled, and the rows already
-    served go to random partitions, so that no hot key meets in one task.
+    served go to random partitions, so that no hot key meets in one task. ``rows`` is the size
+    of the table if it has been counted before.
     """
+    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     added = [c for c in table.columns if c not in (key, weight)]
-    if small_enough(table, broadcast_rows):
+    if rows <= limit if rows is not None else small_enough(table, limit):
         return df.join(F.broadcast(table.drop(weight)), key, "left")
     total = table.agg(F.sum(weight)).first()[0]
     is_hot = F.col(weight) * HOT_SHARES >= total
