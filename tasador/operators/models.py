@@ -91,7 +91,7 @@ def catalogue(kind: str = "full", label: str = "price_usd") -> dict[str, Estimat
             "Ridge": Ridge(alpha=RIDGE_ALPHA, labelCol=label),
             "Lasso": lasso(label),
             "Random Forest": random_forest(label),
-            "LightGBM": boosted(label),
+            "Boosted Trees": boosted(label),
         },
         "trainer": lambda: {
             "Linear Regression": linear(label),
