@@ -76,14 +76,14 @@ def quality_label(r2: Column) -> Column:
     return label
 
 
-def fixed(number: Column, decimals: int) -> Column:
-    """``1234.5`` with 4 decimals gives ``1234.5000``."""
-    return F.format_string(f"%.{decimals}f", number)
+def grouped(number: Column, decimals: int) -> Column:
+    """``1234.5`` with 2 decimals gives ``1,234.50``; exact ties go to the even digit."""
+    return F.format_number(number, decimals)
 
 
-def grouped(number: Column, decimals: int) -> Column:
-    """``1234.5`` with 2 decimals gives ``1,234.50``."""
-    return F.format_string(f"%,.{decimals}f", number)
+def fixed(number: Column, decimals: int) -> Column:
+    """``1234.5`` with 4 decimals gives ``1234.5000``; exact ties go to the even digit."""
+    return F.replace(grouped(number, decimals), F.lit(","), F.lit(""))
 
 
 def model_slug(name: str) -> str:

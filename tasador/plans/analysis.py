@@ -20,7 +20,7 @@ from tasador.operators.reports import (
     best_model, comparison, exploration_document, importance_frame, report_lines, top_groups, write_csv, write_document,
     write_lines,
 )
-from tasador.operators.sample import add_inner_fold, random_sample, train_test
+from tasador.operators.sample import FOLDS, add_inner_fold, random_sample, train_test
 from tasador.operators.scoring import save_model
 from tasador.sources.listing_store import ListingStore
 
@@ -56,7 +56,8 @@ def model_rows(df: DataFrame, target: str = "price_usd") -> DataFrame:
 
 
 def compare_models(
-    rows: DataFrame, models: Mapping[str, Estimator] | None = None, target: str = "price_usd", identity: str = "id", folds: int = 5
+    rows: DataFrame, models: Mapping[str, Estimator] | None = None, target: str = "price_usd", identity: str = "id",
+    folds: int = FOLDS, parallelism: int = 1,
 ) -> Comparison:
     """Cross-validate on the training part, refit on all of it, score train and test rows.
 
@@ -65,7 +66,7 @@ def compare_models(
     models = models or catalogue("full", target)
     spark = rows.sparkSession
     train, test = train_test(rows, identity=identity)
-    by_fold = cross_validate(train, models, target, identity, folds)
+    by_fold = cross_validate(train, models, target, identity, folds, parallelism=parallelism)
     done = {r["model"] for r in by_fold.select("model").distinct().collect()}
     marked = add_inner_fold(train, INNER_FOLD, identity=identity)
     fitted = preprocessor(train, target).fit(marked)
