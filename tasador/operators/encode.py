@@ -140,15 +140,19 @@ def known_category(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN))
 
 
-def _encoding(n: Column, s1: Column, s2: Column, centre: float, mean: Column, variance: Column) -> Column:
-    """Mean of a category drawn towards the overall mean, the more the noisier the category is.
+def _merged(parts: Column) -> tuple[Column, Column, Column]:
+    """Rows, mean and sum of squared deviations over an array of parts that hold the same."""
+    n = F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, q: a + q["n"])
+    total = F.aggregate(parts, F.lit(0.0), lambda a, q: a + q["n"] * q["mean"])
+    mean = F.try_divide(total, n)
+    return n, mean, F.aggregate(parts, F.lit(0.0), lambda a, q: a + q["m2"] + q["n"] * (q["mean"] - mean) * (q["mean"] - mean))
 
-    ``s1`` and ``s2`` are sums of the centred target and of its square over the ``n`` rows.
-    """
-    own = F.try_divide(s1, n) + F.lit(centre)
-    spread = F.greatest(s2 - F.try_divide(s1 * s1, n), F.lit(0.0))
-    trust = F.try_divide(variance * n, variance * n + F.try_divide(spread, n))
-    return F.when(n > 0, F.coalesce(trust * own + (1 - trust) * mean, mean)).otherwise(mean)
+
+def _encoding(parts: Column, mean: Column, variance: Column) -> Column:
+    """Mean of a category drawn towards the overall mean, the more the noisier the category is."""
+    n, own, squares = _merged(parts)
+    trust = F.try_divide(variance * n, variance * n + F.try_divide(squares, n))
+    return F.coalesce(trust * own + (1 - trust) * mean, mean)
 
 
 class _EncoderParams(HasInputCols, HasOutputCols, HasLabelCol):
@@ -184,28 +188,25 @@ class FoldTargetEncoder(Estimator, _EncoderParams, _Saved):
         )
         parts = rows.groupBy("fold").agg(F.count("y"), F.avg("y"), F.var_pop("y")).collect()
         moments = _other_moments({r[0]: (r[1], r[2], r[3]) for r in parts})
-        centre = moments[-1][0]
-        y = F.col("y") - F.lit(centre)
         pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("category")) for c in self.getInputCols()])
         by_fold = (
-            rows.select("fold", y.alias("y"), F.inline(pairs)).groupBy("column", "category", "fold")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s1"), F.sum(F.col("y") * F.col("y")).alias("s2"))
+            rows.select("fold", "y", F.inline(pairs)).groupBy("column", "category", "fold")
+            .agg(F.count("y").alias("n"), F.avg("y").alias("mean"), (F.count("y") * F.var_pop("y")).alias("m2"))
         )
         whole = by_fold.groupBy("column", "category").agg(
-            *[F.sum(c).alias(c) for c in ("n", "s1", "s2")], F.collect_list(F.struct("fold", "n", "s1", "s2")).alias("parts")
+            F.sort_array(F.collect_list(F.struct("fold", "n", "mean", "m2"))).alias("parts")
         )
         mean = F.create_map(*[F.lit(v) for f, (m, _) in moments.items() for v in (f, m)])
         variance = F.create_map(*[F.lit(v) for f, (_, w) in moments.items() for v in (f, w)])
 
         def without(p: Column) -> Column:
-            encoding = _encoding(
-                F.col("n") - p["n"], F.col("s1") - p["s1"], F.col("s2") - p["s2"], centre, mean[p["fold"]], variance[p["fold"]]
-            )
+            others = F.filter("parts", lambda q: q["fold"] != p["fold"])
+            encoding = _encoding(others, mean[p["fold"]], variance[p["fold"]])
             return F.struct(p["fold"].alias("fold"), p["n"].alias("n"), encoding.alias("encoding"))
 
         of_all = F.struct(
-            F.lit(-1).alias("fold"), F.col("n").alias("n"),
-            _encoding(F.col("n"), F.col("s1"), F.col("s2"), centre, mean[-1], variance[-1]).alias("encoding"),
+            F.lit(-1).alias("fold"), _merged(F.col("parts"))[0].alias("n"),
+            _encoding(F.col("parts"), mean[-1], variance[-1]).alias("encoding"),
         )
         folds = F.filter("parts", lambda p: p["fold"] >= 0)
         entries = whole.select("column", "category", F.inline(F.concat(F.array(of_all), F.transform(folds, without))))
