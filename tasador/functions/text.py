@@ -6,9 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A cased letter starts or continues a word, anything else ends it.
-CASED = r"[\p{Lu}\p{Ll}\p{Lt}]"
-NOT_CASED = r"[^\p{Lu}\p{Ll}\p{Lt}]"
-BLANKS = r"[\s\x{1c}-\x{1f}]"
+NOT_CASED = r"([^\p{Lu}\p{Ll}\p{Lt} ])"
+
+# The characters that count as white space at the ends of a text.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+# A Unicode noncharacter, which no text holds.
+MARK = "\uffff"
 
 # Texts that the CSV loader reads as missing.
 MISSING_TEXTS = (
@@ -22,20 +29,18 @@ QUALITY_REST = "moderada"
 
 
 def strip(text: Column) -> Column:
-    """Remove all leading and trailing white space, not only blanks as ``trim`` does."""
-    return F.regexp_replace(text, f"(?U)^{BLANKS}+|{BLANKS}+$", "")
+    """Remove all leading and trailing white space, not only blanks."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def title_case(text: Column) -> Column:
     """Upper-case every letter that follows a non-letter, lower-case the others.
 
-    ``initcap`` starts words only after white space; here ``o'higgins`` gives ``O'Higgins``.
+    ``initcap`` starts words only after a blank, so ``o'higgins`` would give ``O'higgins``. A
+    marked blank behind every other non-letter makes it start one there too.
     """
-    words = F.regexp_extract_all(text, F.lit(f"({CASED}+|{NOT_CASED}+)"), F.lit(1))
-    return F.array_join(
-        F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))),
-        "",
-    )
+    split = F.regexp_replace(text, NOT_CASED, f"$1{MARK} ")
+    return F.replace(F.initcap(split), F.lit(f"{MARK} "), F.lit(""))
 
 
 def normalise_text(text: Column, null_text: str | None = "Nan") -> Column:

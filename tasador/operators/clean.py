@@ -101,18 +101,19 @@ class FittedCleaning:
     surface_range: tuple[float, float] | None
 
     def apply(self, df: DataFrame) -> DataFrame:
-        kept = keep_between(_selected(df, self.rules), self.price_bounds)
+        kept = keep_between(select_listings(df, self.rules), self.price_bounds)
         kept = keep_surfaces(kept, self.rules.surface_limits)
         return normalise_columns(kept, self.rules.text_columns, self.rules.null_text)
 
 
-def _selected(df: DataFrame, rules: CleaningRules) -> DataFrame:
+def select_listings(df: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+    """The filters that learn nothing: country, operation, price name, missing values."""
     return drop_missing(name_price(keep_operations(keep_countries(df, rules.countries), rules.operations)))
 
 
 def fit_cleaning(df: DataFrame, rules: CleaningRules = CleaningRules()) -> FittedCleaning:
     """Learn price bounds and the surface range from two narrow cached columns."""
-    narrow = _selected(df, rules).select(*CRITICAL).persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = select_listings(df, rules).select(*CRITICAL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bounds = iqr_bounds(narrow, "price_usd", rules.iqr_factor)
         surfaces = keep_surfaces(keep_between(narrow, bounds), rules.surface_limits)

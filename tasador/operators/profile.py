@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tasador.functions.numeric import numeric_columns
 from tasador.operators.features import value_range
 from tasador.operators.quantiles import exact_quantiles, grouped_quantiles
+from tasador.session import durable
 
 # Bins of the histograms, points of the density curve, quantile of the plot trim, alarm share.
 PRICE_BINS = 50
@@ -238,12 +239,15 @@ def price_by(df: DataFrame, keys: Sequence[str], price: str = "price_usd") -> Da
     The mean is a decimal sum over the count, so it does not depend on the order of the rows.
     """
     value = F.col(price)
-    groups = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.try_divide(F.sum(value.cast("decimal(18,2)")).cast("double"), F.count(value)).alias("mean_price"),
+    groups = durable(
+        df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(value.isNotNull() & ~F.isnan(value)).alias("size"),
+            F.try_divide(F.sum(value.cast("decimal(18,2)")).cast("double"), F.count(value)).alias("mean_price"),
+        ),
+        "groups",
     )
-    total = df.count()
-    medians = grouped_quantiles(df, keys, price, (0.5,)).select(
+    total = groups.agg(F.sum("n")).first()[0]
+    medians = grouped_quantiles(df, keys, price, (0.5,), sizes=groups.select(*keys, "size")).select(
         *[F.col(k).alias(f"_{k}") for k in keys], F.col("quantiles")[0].alias("median_price")
     )
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]

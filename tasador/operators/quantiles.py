@@ -139,16 +139,19 @@ def _select_ranks(values: DataFrame, ranks: set[tuple[int, int]], sizes, exact_r
 
 
 def grouped_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], exact_rows: int = EXACT_ROWS
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], exact_rows: int = EXACT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group: ``keys`` and ``quantiles``, an array in the order of ``probs``.
 
-    While every group is small this is one aggregate. As soon as one group is not, all groups
+    ``sizes`` has the present values per group, as ``size``, if they have been counted before. While every group is small this is one aggregate. As soon as one group is not, all groups
     go through the bracketing, with the brackets kept in a table and never on the driver.
     """
     column = F.col(value).cast("double")
     pairs = df.select(*keys, column.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    sizes = pairs.groupBy(*keys).agg(F.count("v").alias("size"))
+    if sizes is None:
+        sizes = pairs.groupBy(*keys).agg(F.count("v").alias("size"))
+    sizes = sizes.where("size > 0")
     peak = sizes.agg(F.max("size")).first()[0]
     if peak is None or peak <= exact_rows:
         return pairs.groupBy(*keys).agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in probs])).alias("quantiles"))

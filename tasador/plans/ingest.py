@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasador.operators.clean import CleaningRules, fit_cleaning
+from tasador.operators.clean import CleaningRules, fit_cleaning, select_listings
 from tasador.operators.features import create_features
 from tasador.operators.reports import write_csv
 from tasador.operators.sample import SAMPLE_ROWS, stratified_sample
+from tasador.session import durable
 from tasador.sources.listing_files import load_listings
 from tasador.sources.listing_store import ListingStore
 
 
-def process(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """Clean and enrich raw listings: two narrow passes for the scalars, then one lazy plan."""
+def process(raw: DataFrame, rules: CleaningRules = CleaningRules(), stage: bool = True) -> DataFrame:
+    """Clean and enrich raw listings.
+
+    Cleaning learns four scalars from two columns before it can filter. With ``stage`` the rows
+    that pass the first filters are written once to the shared folder, so that the source, which
+    may be CSV or a join, is read only once; without it the source is read twice and
+    nothing is written. A raw frame may already be narrow and columnar: then stage nothing.
+    """
+    if stage:
+        raw = durable(select_listings(raw, rules), "selected")
     fitted = fit_cleaning(raw, rules)
     return create_features(fitted.apply(raw), fitted.surface_range)
 

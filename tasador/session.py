@@ -42,8 +42,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tasador/{uuid.uuid4().hex}/{name}"
+    """A fresh path below the shared folder; all of one application lie together, to be dropped after it."""
+    return f"{shared_folder(spark).rstrip('/')}/tasador/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:

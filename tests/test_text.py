@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,15 @@ def test_title_case_is_that_of_python(spark):
     assert got == [w.strip().title() for w in WORDS]
 
 
+def test_title_case_of_random_texts(spark):
+    rng = random.Random(7)
+    letters = "abzXYZáÉñÑçüß  \t'-/_.3½中あ\u2003ǅçÀø"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    df = spark.createDataFrame([(w,) for w in words], "t string")
+    got = [r[0] for r in df.select(text.normalise_text(F.col("t"))).collect()]
+    assert got == [w.strip().title() for w in words]
+
+
 def test_missing_text(spark):
     df = spark.createDataFrame([(None,)], "t string")
     a, b = df.select(text.normalise_text(F.col("t")), text.normalise_text(F.col("t"), None)).first()
