@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 100_000
 HOT_SHARES = 1_000
@@ -33,7 +34,8 @@ def lookup(
     is_hot = F.col(weight) * HOT_SHARES >= total
     hot = table.where(is_hot).select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in added])
     cold = table.where(~is_hot).select(F.col(key).alias("_key"), *added)
-    spread = F.concat(F.lit("\x00"), F.xxhash64(*df.columns).cast("string"))
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spread = F.concat(F.lit("\x00"), F.xxhash64(*plain).cast("string"))
     served = df.join(F.broadcast(hot), key, "left").withColumn("_key", F.when(F.col("_hot"), spread).otherwise(F.col(key)))
     joined = served.join(cold, "_key", "left")
     return joined.select(

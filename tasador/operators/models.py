@@ -65,7 +65,7 @@ def lasso(label: str, alpha: float = LASSO_ALPHA, max_iter: int = 2000) -> Linea
 def random_forest(label: str, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH) -> RandomForestRegressor:
     return RandomForestRegressor(
         labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", maxBins=MAX_BINS, seed=SEED,
-        maxMemoryInMB=1024,
+        maxMemoryInMB=1024, cacheNodeIds=True,
     )
 
 

@@ -43,7 +43,10 @@ def exact_quantiles(
     names = list(wanted)
     values = df.select(
         *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(names)]
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    cached = df.is_cached
+    if not cached:
+        values.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sizes = values.agg(*[F.count(c) for c in values.columns]).first()
         found: dict[str, list[float | None]] = {c: [None] * len(wanted[c]) for c in names}
@@ -67,7 +70,8 @@ def exact_quantiles(
                 found[names[i]] = out
         return found
     finally:
-        values.unpersist()
+        if not cached:
+            values.unpersist()
 
 
 def _inside(value: Column, low: float | None, high: float | None) -> Column:
@@ -173,6 +177,7 @@ def _in_bracket() -> Column:
 
 
 def _bracket_groups(pairs: DataFrame, sizes: DataFrame, keys: list[str], probs, exact_rows: int) -> DataFrame:
+    pairs.persist(StorageLevel.MEMORY_AND_DISK)
     position = [F.lit(float(p)) * (F.col("size") - 1) for p in probs]
     ranks = F.array(*[r for x in position for r in (F.floor(x), F.ceil(x))])
     state = durable(
@@ -248,4 +253,6 @@ def _bracket_groups(pairs: DataFrame, sizes: DataFrame, keys: list[str], probs,
         )
         for x in position
     ]
-    return at.select(*keys, F.array(*quantiles).alias("quantiles"))
+    result = durable(at.select(*keys, F.array(*quantiles).alias("quantiles")), "quantiles")
+    pairs.unpersist()
+    return result

@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tasador.operators.clean import drop_columns, drop_missing
 from tasador.operators.encode import INNER_FOLD, encode, preprocessor
@@ -22,6 +21,7 @@ from tasador.operators.reports import (
 )
 from tasador.operators.sample import FOLDS, add_inner_fold, random_sample, train_test
 from tasador.operators.scoring import save_model
+from tasador.session import durable
 from tasador.sources.listing_store import ListingStore
 
 log = logging.getLogger(__name__)
@@ -85,11 +85,11 @@ def compare_models(
         out.models[name] = PipelineModel(stages=[*fitted.stages, model])
         out.importance[name] = importance(model, fit_rows)
         out.parameters[name] = hyperparameters(models[name])
-        out.predictions[name] = model.transform(test_rows).select(*keep, "prediction")
+        out.predictions[name] = durable(model.transform(test_rows).select(*keep, "prediction"), "predictions")
         on_train.append((name, *metrics(model.transform(train_rows), target, "prediction").first()))
         on_test.append((name, *metrics(out.predictions[name], target, "prediction").first()))
-    fit_rows.unpersist()
-    train_rows.unpersist()
+    for encoded in (fit_rows, train_rows, test_rows):
+        encoded.unpersist()
     out.train_metrics = spark.createDataFrame(on_train, METRIC_SCHEMA)
     out.test_metrics = spark.createDataFrame(on_test, METRIC_SCHEMA)
     return out
