@@ -151,6 +151,8 @@ def grouped_quantiles(
     ``sizes`` has the present values per group, as ``size``, if they have been counted before. While every group is small this is one aggregate. As soon as one group is not, all groups
     go through the bracketing, with the brackets kept in a table and never on the driver.
     """
+    if not keys:
+        raise ValueError("no keys: use exact_quantiles for whole columns")
     column = F.col(value).cast("double")
     pairs = df.select(*keys, column.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     if sizes is None:

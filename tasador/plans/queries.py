@@ -114,10 +114,10 @@ def line_folds(spark, folder) -> DataFrame:
 # --- sources and sinks -------------------------------------------------------------------------
 
 
-def csv_copy(spark, folder, df: DataFrame | None = None, files: int = 1) -> str:
+def csv_copy(spark, folder, df: DataFrame | None = None) -> str:
+    """The listings as CSV files, one per writing task."""
     path = scratch_path(spark, "listings_csv")
-    rows = listings(spark, folder) if df is None else df
-    reports.write_csv(rows.repartition(files), path, single=files == 1)
+    reports.write_csv(listings(spark, folder) if df is None else df, path, single=False)
     return path
 
 
@@ -161,7 +161,7 @@ def key_from_row_position(spark, folder):
 @query("csv_folder", with_listings(f"""
 SELECT l1, count(*) AS n, round({money('price')}, 2) AS mean_price FROM listings GROUP BY l1"""))
 def csv_folder(spark, folder):
-    df = listing_files.load_listings(spark, csv_copy(spark, folder, files=4), multiline=False)
+    df = listing_files.load_listings(spark, csv_copy(spark, folder), multiline=False)
     mean = F.sum(F.col("price").cast("decimal(18,2)")).cast("double") / F.count("price")
     return df.groupBy("l1").agg(F.count(F.lit(1)).alias("n"), F.round(mean, 2).alias("mean_price"))
 
@@ -897,6 +897,20 @@ def test_metrics(spark, folder):
     return df.select("model", "n", rounded("rmse", 3), rounded("mae", 3), rounded("r2", 6))
 
 
+@query("train_and_test_metrics", with_lines("""
+SELECT model, u < 858993459 AS is_test, count(*) AS n, round(sqrt(avg((price_usd - p) ** 2)), 3) AS rmse, round(avg(abs(price_usd - p)), 3) AS mae,
+       round(1 - sum((price_usd - p) ** 2) / (count(*) * var_pop(price_usd)), 6) AS r2
+FROM (SELECT model, u, price_usd, intercept + slope * surface_total AS p FROM stored, lines) GROUP BY 1, 2"""))
+def train_and_test_metrics(spark, folder):
+    rows = one_feature(stored(spark, folder)).withColumn("is_test", sample.is_test(F.col("id")))
+    parts = [
+        m.fit(rows.where(~F.col("is_test"))).transform(rows).select(F.lit(n).alias("model"), "is_test", TARGET, "prediction")
+        for n, m in line_models().items()
+    ]
+    df = evaluate.metrics(parts[0].unionByName(parts[1]).unionByName(parts[2]), TARGET, "prediction", ["model", "is_test"])
+    return df.select("model", "is_test", "n", rounded("rmse", 3), rounded("mae", 3), rounded("r2", 6))
+
+
 @query("cross_validation", with_lines("SELECT model, CAST(fold AS INTEGER) AS fold, n, round(rmse, 3) AS rmse, round(mae, 3) AS mae, round(r2, 6) AS r2 FROM fold_metrics"))
 def cross_validation(spark, folder):
     """One feature through the whole fold loop: numeric preprocessing learned per fold leaves least squares unchanged."""
