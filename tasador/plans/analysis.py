@@ -27,7 +27,7 @@ from tasador.sources.listing_store import ListingStore
 log = logging.getLogger(__name__)
 
 VERSION = "1.0_cv5_target_enc"
-NOT_FEATURES = ("property_id", "created_at", "raw_data")
+NOT_FEATURES = ("created_at", "raw_data")
 
 
 @dataclass
@@ -51,7 +51,7 @@ METRIC_SCHEMA = "model string, n bigint, rmse double, mae double, r2 double"
 
 
 def model_rows(df: DataFrame, target: str = "price_usd") -> DataFrame:
-    """Rows with a target and without the columns that training never uses; ``id`` stays as identity."""
+    """Rows with a target and without the columns that training never uses; the keys stay as identity, not as features."""
     return drop_columns(drop_missing(df, [target]), NOT_FEATURES)
 
 
@@ -120,7 +120,9 @@ def store_comparison(result: Comparison, store: ListingStore) -> None:
     )
 
 
-def write_reports(rows: DataFrame, result: Comparison, folder: str, target: str = "price_usd") -> None:
+def write_reports(
+    rows: DataFrame, result: Comparison, folder: str, target: str = "price_usd", identity: str = "property_id"
+) -> None:
     """All report files: exploration, comparison, report text, and the data behind each chart."""
     spark, root = rows.sparkSession, folder.rstrip("/")
     write_document(spark, exploration_document(rows, target), f"{root}/data_exploration")
@@ -129,7 +131,7 @@ def write_reports(rows: DataFrame, result: Comparison, folder: str, target: str
     write_lines(report_lines(table, "cv_r2", "cv_rmse", "cv_mae", rows.count()), f"{root}/analysis_report")
     write_csv(histogram(rows, target), f"{root}/price_histogram")
     write_csv(density(rows, target), f"{root}/price_density")
-    write_csv(scatter(random_sample(rows)), f"{root}/price_surface_sample")
+    write_csv(scatter(random_sample(rows, identity=identity)), f"{root}/price_surface_sample")
     best = best_model(table, "cv_r2").first()
     if best is None:
         return
@@ -140,9 +142,12 @@ def write_reports(rows: DataFrame, result: Comparison, folder: str, target: str
 
 
 def analyse(store: ListingStore, folder: str, kind: str = "full", target: str = "price_usd") -> Comparison:
-    """Train the named models on the stored listings; store results, save pipelines, write reports."""
+    """Train the named models on the stored listings; store results, save pipelines, write reports.
+
+    ``property_id`` decides splits and folds: unlike ``id`` it is the same after every load.
+    """
     rows = model_rows(store.read_listings(), target)
-    result = compare_models(rows, catalogue(kind, target), target)
+    result = compare_models(rows, catalogue(kind, target), target, "property_id")
     store_comparison(result, store)
     result.preprocessing.write().overwrite().save(f"{folder.rstrip('/')}/models/preprocessor")
     for name, model in result.models.items():
