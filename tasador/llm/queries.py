@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tasador.llm.bit_search import top_k
+from tasador.llm.byte_bpe import encode_decode
+from tasador.llm.licenses import license_summary
 from tasador.llm.ngram_join import near_duplicates
+from tasador.llm.packing import pack_documents
+from tasador.llm.permutation_search import nearest
 from tasador.llm.scratch import table
+from tasador.llm.sharding import shard_documents
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +21,40 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_ngram_jaccard_join": op1_ngram_jaccard_join}
+def op3_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows with the largest inner product of whole components for each query."""
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of the bytes they stand for."""
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = encode_decode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for each query."""
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the packed sequences."""
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    return license_summary(table(spark, sf_dir, "documents"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_bit_sliced_top_k, op4_byte_bpe, op5_permutation_index, op6_best_fit_packing, op9_license_scan, op10_sharding)}
 
 SQL = {
     "op1_ngram_jaccard_join": r"""
@@ -27,4 +68,10 @@ met AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM g a JOIN g b ON
 links AS (SELECT u, v FROM met JOIN s x ON x.doc_id = u JOIN s y ON y.doc_id = v WHERE 100 * i >= 75 * (x.n + y.n - i)),
 reach AS (SELECT doc_id, doc_id AS far FROM s UNION SELECT doc_id, v FROM reach JOIN links ON far = u)
 SELECT s.doc_id, n AS n_shingles, min(far) AS component_id FROM s JOIN reach USING (doc_id) GROUP BY s.doc_id, n""",
+    "op3_bit_sliced_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(c.e) + 1), i -> q.e[i] * c.e[i])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s
+QUALIFY rank <= 20""",
 }
