@@ -12,13 +12,21 @@ from tasador.llm.licenses import license_summary
 from tasador.llm.ngram_join import near_duplicates
 from tasador.llm.packing import pack_documents
 from tasador.llm.permutation_search import nearest
+from tasador.llm.pii import personal_data_summary
 from tasador.llm.scratch import table
 from tasador.llm.sharding import shard_documents
+from tasador.llm.suffix_dedup import repeat_summary
+from tasador.llm.toxicity import toxicity
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("key")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels that are not held out."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("key")
 
 
 def op3_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +52,16 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms of every document."""
+    return personal_data_summary(table(spark, sf_dir, "documents"))
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that begin in an earlier one."""
+    return repeat_summary(table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and labels of every document."""
     return license_summary(table(spark, sf_dir, "documents"))
@@ -54,7 +72,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_bit_sliced_top_k, op4_byte_bpe, op5_permutation_index, op6_best_fit_packing, op9_license_scan, op10_sharding)}
+OPERATORS = (op1_ngram_jaccard_join, op2_toxicity, op3_bit_sliced_top_k, op4_byte_bpe, op5_permutation_index, op6_best_fit_packing, op7_pii, op8_suffix_array_dedup, op9_license_scan, op10_sharding)
+QUERIES = {f.__name__: f for f in OPERATORS}
 
 SQL = {
     "op1_ngram_jaccard_join": r"""

@@ -45,6 +45,7 @@ def pieces(batches, size: int = PIECE, column: str = "text") -> Iterator[pa.Reco
             to = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
             yield batch.slice(at, to - at)
             at, done = to, ends[to - 1]
+        pa.default_memory_pool().release_unused()
 
 
 def utf8(column: pa.Array, pad: int = 64) -> tuple[np.ndarray, np.ndarray]:
