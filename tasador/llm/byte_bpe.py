@@ -99,8 +99,8 @@ class Vocabulary:
         starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)]
         return hash_spans(data, starts, ends), hash_spans(data, starts, ends, 7)
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text; a text is split by the pattern, each match is encoded alone."""
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has; a text is split by the pattern, each match is encoded alone."""
         found = [self.pattern.findall(t.decode()) for t in texts]
         tokens = [t.encode() for t in chain.from_iterable(found)]
         keys, checks = self._keys(tokens)
@@ -109,11 +109,10 @@ class Vocabulary:
         ids, ranks = self.of[place].tolist(), self.ranks
         for i in np.flatnonzero(~whole).tolist():
             ids[i] = merge(tokens[i], ranks)
-        out, at = [], 0
-        for pre in found:
-            mine, at = ids[at : at + len(pre)], at + len(pre)
-            out.append([*chain.from_iterable(x if isinstance(x, list) else (x,) for x in mine)])
-        return out
+        sizes = [len(x) if isinstance(x, list) else 1 for x in ids]
+        flat = np.fromiter(chain.from_iterable(x if isinstance(x, list) else (x,) for x in ids), np.uint32, sum(sizes))
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum([*map(len, found)])]).astype(np.int64)]
+        return flat, np.diff(cuts).astype(np.int64)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the ids."""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tasador.llm.scratch import columns, stored
 from tasador.llm.spancache import SpanCache, parts
 from tasador.llm.text import pieces, utf8
+from tasador.llm.word_bpe import WordEncoder
 
 CAPACITY = 2048
 #: Pieces packed together, on average. More pack a little better; a group is one task's work.
@@ -49,18 +50,11 @@ def sum_of_squares(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndar
     return sequence, offset
 
 
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    return lambda texts: [x.ids for x in tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
-
-
 def piece_batches(path: str, capacity: int, with_ids: bool):
     """Pieces of each document: ids of its words, the end id 0, cut only if longer than a sequence."""
 
     def run(batches):
-        cache = SpanCache(_tokenizer(path))
+        cache = SpanCache(WordEncoder(path))
         for batch in pieces(batches):
             data, bounds = utf8(batch.column("text"))
             starts, ends, rows = parts(data, bounds, lead=False)
