@@ -66,5 +66,5 @@ def nearest(embeddings: DataFrame, k: int = 20, pivots: int = PIVOTS, reranked:
     """
     vectors = usable_vectors(embeddings, not_zero=True)
     sample = vectors.orderBy(F.xxhash64("vec_id", F.lit(5)), "vec_id").limit(pivots).select("embedding").collect()
-    chosen = np.array([r.embedding for r in sample], float).reshape(len(sample), -1)
+    chosen = np.array([r.embedding for r in sample], float).reshape(len(sample), len(sample[0].embedding) if sample else 0)
     return search(vectors, k, "double", lambda m: places(m, chosen).tobytes() + np.ascontiguousarray(m, "<f8").tobytes(), lambda m: np.ascontiguousarray(m, "<f8").tobytes(), best_of(chosen, k, reranked))
