@@ -37,7 +37,7 @@ TEMPLATES = (
 #: Pairs of two such words are too frequent in any prose to vote.
 COMMON = frozenset("the of and to in a is that it for was with as on be at by this or any you may not can from are an".split())
 #: Diagonals this far apart belong to one span; the part of a template's pairs that a span must have; its most words against the template's.
-NEAR, ENOUGH, STRETCH = 3, 0.6, 1.5
+NEAR, ENOUGH, STRETCH = 3, 0.7, 1.5
 
 
 def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
