@@ -24,6 +24,8 @@ TERMS, CHI_SQUARE, SHARE = 4096, 40.0, 0.5
 PREFIXES = (4, 6)
 NEIGHBOURS, BLOCK = 15, 32
 THRESHOLD = 0.7
+#: Numbers of terms from which on a document counts as richer in them, and the weight of that against all its terms.
+RICHNESS, RICH_WEIGHT = np.array([1, 2, 3, 4, 6, 9, 13]), 0.8
 _NO_IDS = np.zeros(0, np.int64)
 
 
@@ -82,7 +84,7 @@ class Examples:
     def __init__(self, rows: list, idf: np.ndarray):
         self.idf = idf
         empty = [r[3] for r in rows if not len(r[1])]
-        rows = [(r[0], np.asarray(r[1]), self.weights(r[1], r[2]), r[3]) for r in rows if len(r[1])]
+        rows = [(r[0], *self.vector(r[1], r[2]), r[3]) for r in rows if len(r[1])]
         # examples with the same main terms lie together, so that block maxima are tight
         rows.sort(key=lambda r: (r[1][np.argsort(-r[2], kind="stable")].tolist(), r[0]))
         self.id, self.label = np.array([r[0] for r in rows], np.int64), np.array([r[3] for r in rows], float)
@@ -96,7 +98,7 @@ class Examples:
         at = np.repeat(np.arange(size), [len(r[1]) for r in rows])
         order = np.lexsort((at, term))
         term, self.at, self.weight = term[order], at[order], weight[order]
-        self.first = np.searchsorted(term, np.arange(len(idf) + 1))
+        self.first = np.searchsorted(term, np.arange(len(idf) + len(RICHNESS) + 1))
         self.block_of, self.block_max, self.block_first = [], [], []
         for a, b in zip(self.first[:-1], self.first[1:]):
             block, begin = np.unique(self.at[a:b] // BLOCK, return_index=True)
@@ -105,9 +107,12 @@ class Examples:
             self.block_first.append(np.append(begin, b - a) + a)
         self.steps, self.levels = np.array([0.0, 1.0]), np.array([0.0, 1.0])
 
-    def weights(self, term, count) -> np.ndarray:
-        w = (1 + np.log(np.asarray(count, float))) * self.idf[np.asarray(term, np.int64)]
-        return w / np.sqrt((w * w).sum())
+    def vector(self, term, count) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights, of length 1. How many terms a document has is a term as well."""
+        term = np.asarray(term, np.int64)
+        w = (1 + np.log(np.asarray(count, float))) * self.idf[term]
+        w = np.append(w, RICH_WEIGHT * np.sqrt((w * w).sum()))
+        return np.append(term, len(self.idf) + np.searchsorted(RICHNESS, len(term), "right") - 1), w / np.sqrt((w * w).sum())
 
     def nearest(self, term, weight, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest cosine above zero, ties by place."""
@@ -122,11 +127,11 @@ class Examples:
             done += len(some)
             for t, w in zip(term, weight):
                 place = np.searchsorted(self.block_of[t], some)
-                for p in place[(place < len(self.block_of[t]))].tolist():
-                    if self.block_of[t][p] in some:
-                        s = slice(self.block_first[t][p], self.block_first[t][p + 1])
-                        for i, x in zip(self.at[s].tolist(), (w * self.weight[s]).tolist()):
-                            score[i] = score.get(i, 0.0) + x
+                inside = place < len(self.block_of[t])
+                for p in place[inside][self.block_of[t][place[inside]] == some[inside]].tolist():
+                    s = slice(self.block_first[t][p], self.block_first[t][p + 1])
+                    for i, x in zip(self.at[s].tolist(), (w * self.weight[s]).tolist()):
+                        score[i] = score.get(i, 0.0) + x
             if len(score) > k:
                 least = np.partition(np.fromiter(score.values(), float, len(score)), -k)[-k]
         score.pop(without, None)
@@ -161,7 +166,7 @@ class Examples:
     def score(self, term, count, k: int) -> tuple[float, np.ndarray, np.ndarray]:
         if not len(term):
             return self.empty_score, _NO_IDS, np.zeros(0)
-        at, value = self.nearest(term, self.weights(term, count), k)
+        at, value = self.nearest(*self.vector(term, count), k)
         if not len(at):
             return self.base, _NO_IDS, np.zeros(0)
         vote = self.vote(at, value)
