@@ -54,8 +54,9 @@ def missing_to_null(text: Column, missing=MISSING_TEXTS) -> Column:
 
 
 def safe_cast(column: Column, kind: str, default=None) -> Column:
-    """Cast that gives ``default`` for a missing value or a failed cast; doubles are cut to int."""
-    out = column.try_cast(kind)
+    """Cast that gives ``default`` for a missing value, NaN included, or a failed cast; doubles are cut to int."""
+    is_nan = F.typeof(column).isin("float", "double") & F.isnan(column.cast("string").try_cast("double"))
+    out = F.when(~is_nan | column.isNull(), column).try_cast(kind)
     return out if default is None else F.coalesce(out, F.lit(default))
 
 

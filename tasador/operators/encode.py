@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCols
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasador.functions.numeric import numeric_columns, text_columns
+from tasador.functions.text import MARK
 from tasador.operators.lookup import lookup
 from tasador.operators.quantiles import exact_quantiles
 from tasador.session import durable
@@ -136,6 +137,18 @@ class ModeImputerModel(Model, _Columns, _Saved):
         )
 
 
+class CategoryLabels(Transformer, _Columns, _Saved):
+    """Give the empty text a label for the time it names a feature: names must not be empty, and no real text holds the mark."""
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCols=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumns({out: F.when(F.col(c) == "", F.lit(MARK)).otherwise(F.col(c)) for c, out in self._columns()})
+
+
 def known_category(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN))
 
@@ -316,10 +329,11 @@ def preprocessor(df: DataFrame, label: str = "price_usd") -> Pipeline:
         stages.append(NumericBlock(inputCols=numbers, outputCols=outs))
         parts += outs
     if low:
-        filled, index, outs = ([f"{p}{c}" for c in low] for p in ("_filled_", "_index_", "cat_low__"))
+        filled, labels, index, outs = ([f"{p}{c}" for c in low] for p in ("_filled_", "_label_", "_index_", "cat_low__"))
         stages += [
             ModeImputer(inputCols=low, outputCols=filled),
-            StringIndexer(inputCols=filled, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"),
+            CategoryLabels(inputCols=filled, outputCols=labels),
+            StringIndexer(inputCols=labels, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"),
             OneHotEncoder(inputCols=index, outputCols=outs, dropLast=True),
         ]
         parts += outs
@@ -335,6 +349,6 @@ def encode(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFram
 
 
 def feature_names(encoded: DataFrame, column: str = "features") -> list[str]:
-    """Names in vector order, from the column metadata."""
+    """Names in vector order, from the column metadata; that of an empty category ends with the underscore."""
     groups = encoded.schema[column].metadata["ml_attr"]["attrs"]
-    return [a["name"] for a in sorted((a for g in groups.values() for a in g), key=lambda a: a["idx"])]
+    return [a["name"].replace(MARK, "") for a in sorted((a for g in groups.values() for a in g), key=lambda a: a["idx"])]

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tasador.operators.lookup import small_enough
+from tasador.operators.lookup import BROADCAST_ROWS, HOT_SHARES, small_enough
 from tasador.session import durable
 
 EXACT_ROWS = 250_000
@@ -144,7 +144,7 @@ def _select_ranks(values: DataFrame, ranks: set[tuple[int, int]], sizes, exact_r
 
 def grouped_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], exact_rows: int = EXACT_ROWS,
-    sizes: DataFrame | None = None,
+    sizes: DataFrame | None = None, broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per group: ``keys`` and ``quantiles``, an array in the order of ``probs``.
 
@@ -161,15 +161,34 @@ def grouped_quantiles(
     peak = sizes.agg(F.max("size")).first()[0]
     if peak is None or peak <= exact_rows:
         return pairs.groupBy(*keys).agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in probs])).alias("quantiles"))
-    return _bracket_groups(pairs, sizes, list(keys), probs, exact_rows)
+    pairs.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _bracket_groups(pairs, sizes, list(keys), probs, exact_rows, broadcast_rows)
+    finally:
+        pairs.unpersist()
 
 
-def _join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Null-safe join of the rows with a table that has few rows per group."""
+def _join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], weight: str | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Null-safe join of the rows with a table that has few rows per group.
+
+    A small table is broadcast. Of a large one only the groups are whose ``weight`` is at least a thousandth of the whole (a thousand groups at most); their rows are
+    served where they are, and only the others are shuffled, so that no hot group meets in one task.
+    """
     groups = groups.withColumnsRenamed({k: f"_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    side = F.broadcast(groups) if small_enough(groups) else groups
-    return rows.join(side, same, "inner").drop(*[f"_{k}" for k in keys])
+    names = [f"_{k}" for k in keys]
+    if small_enough(groups, broadcast_rows):
+        return rows.join(F.broadcast(groups), same, "inner").drop(*names)
+    if weight is None:
+        return rows.join(groups, same, "inner").drop(*names)
+    by_group = groups.groupBy(*names).agg(F.max(weight).alias("_weight"))
+    total = by_group.agg(F.sum("_weight")).first()[0] or 0
+    hot_keys = by_group.where(F.col("_weight") * HOT_SHARES >= total).drop("_weight")
+    again = [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names]
+    hot = groups.join(F.broadcast(hot_keys.withColumnsRenamed({n: f"_{n}" for n in names})), again, "inner").drop(*[f"_{n}" for n in names])
+    served = rows.join(F.broadcast(hot), same, "inner").drop(*names)
+    shuffled = rows.join(F.broadcast(hot_keys), same, "left_anti").join(groups, same, "inner").drop(*names)
+    return served.unionByName(shuffled)
 
 
 def _in_bracket() -> Column:
@@ -178,8 +197,7 @@ def _in_bracket() -> Column:
     return above & under
 
 
-def _bracket_groups(pairs: DataFrame, sizes: DataFrame, keys: list[str], probs, exact_rows: int) -> DataFrame:
-    pairs.persist(StorageLevel.MEMORY_AND_DISK)
+def _bracket_groups(pairs: DataFrame, sizes: DataFrame, keys: list[str], probs, exact_rows: int, broadcast_rows: int) -> DataFrame:
     position = [F.lit(float(p)) * (F.col("size") - 1) for p in probs]
     ranks = F.array(*[r for x in position for r in (F.floor(x), F.ceil(x))])
     state = durable(
@@ -200,7 +218,7 @@ def _bracket_groups(pairs: DataFrame, sizes: DataFrame, keys: list[str], probs,
         if wide.isEmpty():
             break
         cuts = (
-            _join_groups(pairs, wide, keys).where(_in_bracket())
+            _join_groups(pairs, wide, keys, "inside", broadcast_rows).where(_in_bracket())
             .groupBy(*group, "low", "high", "below", "inside")
             .agg(F.percentile_approx("v", GRID, ACCURACY).alias("cuts"))
         )
@@ -213,7 +231,7 @@ def _bracket_groups(pairs: DataFrame, sizes: DataFrame, keys: list[str], probs,
         )
         v, a, b = F.col("v"), F.col("a"), F.col("b")
         counted = (
-            _join_groups(pairs, cuts, keys).where(_in_bracket())
+            _join_groups(pairs, cuts, keys, "inside", broadcast_rows).where(_in_bracket())
             .groupBy(*group, "low", "high", "below", "inside", "a", "b")
             .agg(
                 F.count_if(v < a).alias("under"),
@@ -241,7 +259,7 @@ def _bracket_groups(pairs: DataFrame, sizes: DataFrame, keys: list[str], probs,
         state = durable(settled.unionByName(moved), "brackets")
     few = state.where(F.col("found").isNull())
     picked = (
-        _join_groups(pairs, few, keys).where(_in_bracket())
+        _join_groups(pairs, few, keys, "inside", broadcast_rows).where(_in_bracket())
         .groupBy(*group, "below")
         .agg(F.sort_array(F.collect_list("v")).alias("sorted"))
         .select(*group, F.get("sorted", (F.col("rank") - F.col("below")).cast("int")).alias("found"))
@@ -255,6 +273,4 @@ def _bracket_groups(pairs: DataFrame, sizes: DataFrame, keys: list[str], probs,
         )
         for x in position
     ]
-    result = durable(at.select(*keys, F.array(*quantiles).alias("quantiles")), "quantiles")
-    pairs.unpersist()
-    return result
+    return durable(at.select(*keys, F.array(*quantiles).alias("quantiles")), "quantiles")

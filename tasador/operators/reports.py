@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from tasador.functions.numeric import numeric_columns, text_columns
 from tasador.functions.text import clean_feature_name, feature_group, fixed, quality_label
 from tasador.operators.profile import describe, null_counts
+from tasador.sources.listing_files import dataset_info
 
 # Rows of the importance charts, columns of the comparison.
 TOP_GROUPS = 20
@@ -60,17 +61,20 @@ def with_quality(scores: DataFrame, r2: str) -> DataFrame:
     return scores.withColumn("quality", quality_label(F.col(r2)))
 
 
-def exploration_document(df: DataFrame, target: str = "price_usd") -> str:
-    """Shape, columns, types, missing values and target figures as JSON text."""
+# The keys of the exploration document, in order.
+DOCUMENT_KEYS = ("shape", "columns", "dtypes", "missing_values", "numeric_columns", "categorical_columns")
+
+
+def exploration_document(df: DataFrame, target: str = "price_usd", source: DataFrame | None = None) -> str:
+    """Shape, columns, types, missing values and target figures as JSON text; ``source`` adds the rows, files and bytes of a frame that reads files directly."""
     missing = null_counts(df).collect()
-    document = {
-        "shape": [missing[0]["n_rows"] if missing else 0, len(df.columns)],
-        "columns": df.columns,
-        "dtypes": dict(df.dtypes),
-        "missing_values": {r["column"]: r["n_missing"] for r in missing},
-        "numeric_columns": numeric_columns(df),
-        "categorical_columns": text_columns(df),
-    }
+    figures = (
+        [missing[0]["n_rows"] if missing else 0, len(df.columns)], df.columns, dict(df.dtypes),
+        {r["column"]: r["n_missing"] for r in missing}, numeric_columns(df), text_columns(df),
+    )
+    document = dict(zip(DOCUMENT_KEYS, figures))
+    if source is not None:
+        document["original_dataset_info"] = dataset_info(source).first().asDict()
     if target in df.columns:
         document["target_stats"] = describe(df, target).first().asDict()
     return json.dumps(document, indent=2, default=str, ensure_ascii=False)
@@ -89,7 +93,8 @@ def report_lines(scores: DataFrame, r2: str, rmse: str, mae: str, n_rows: int, d
             (6, "| model | R² | RMSE | MAE |"), (7, "|---|---|---|---|")]
     best = with_quality(ranked.where("_rank = 1"), r2).select(
         F.lit(4).alias("position"),
-        F.concat(F.lit("- Best model: "), F.col("model"), F.lit(" (R² "), fixed(F.col(r2), 4), F.lit(", "), F.col("quality"), F.lit(")")).alias("line"),
+        F.concat(F.lit("- Best model: "), F.col("model"), F.lit(" (R² "), fixed(F.col(r2), 4), F.lit(", RMSE "), fixed(F.col(rmse), decimals), F.lit(", MAE "), fixed(F.col(mae), decimals),
+                 F.lit("), explains "), fixed(100 * F.col(r2), 1), F.lit(" % of the variation: "), F.col("quality")).alias("line"),
     )
     return scores.sparkSession.createDataFrame(head, "position int, line string").unionByName(best).unionByName(table)
 

@@ -25,8 +25,19 @@ INNER_SALT = "inner"
 
 
 def random_sample(df: DataFrame, size: int = SCATTER_ROWS, identity: str = "id", seed: int = SEED) -> DataFrame:
-    """Exactly min(size, rows) rows; every task keeps at most ``size`` of them."""
-    return df.orderBy(random_key(F.col(identity), seed), identity).limit(size)
+    """Exactly min(size, rows) rows: those with the smallest hash.
+
+    A threshold on the hash, from the number of rows, drops nearly all others before the sort, so that what meets in one task grows with ``size`` and not with the tasks.
+    """
+    total, spare = df.count(), 6.0
+    if total <= size:
+        return df
+    while True:
+        part = (size + spare * sqrt(size) + 10) / total
+        near = df.where(random_unit(random_key(F.col(identity), seed)) < min(UNITS, int(UNITS * part)))
+        if part >= 1 or near.count() >= size:
+            return near.orderBy(random_key(F.col(identity), seed), identity).limit(size)
+        spare *= 4
 
 
 def is_test(identity: Column, share: float = TEST_SHARE, seed: int = SEED) -> Column:

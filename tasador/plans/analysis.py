@@ -26,6 +26,7 @@ from tasador.sources.listing_store import ListingStore
 
 log = logging.getLogger(__name__)
 
+# Fixed value: the version of the stored results.
 VERSION = "1.0_cv5_target_enc"
 NOT_FEATURES = ("created_at", "raw_data")
 
@@ -41,7 +42,7 @@ class Comparison:
     test_metrics: DataFrame
     predictions: dict[str, DataFrame]
     importance: dict[str, dict[str, float] | None]
-    parameters: dict[str, dict[str, str]]
+    parameters: dict[str, dict]
 
     def summary(self) -> DataFrame:
         return summarise_folds(self.by_fold)
@@ -76,25 +77,32 @@ def compare_models(
     test_rows = encode(fitted, test, keep).persist(StorageLevel.MEMORY_AND_DISK)
     out = Comparison({}, fitted, by_fold, None, None, {}, {}, {})
     on_train, on_test = [], []
-    for name in (n for n in models if n in done):
-        try:
-            model = models[name].fit(fit_rows)
-        except Exception:
-            log.exception("model %s failed in the final fit", name)
-            continue
-        out.models[name] = PipelineModel(stages=[*fitted.stages, model])
-        out.importance[name] = importance(model, fit_rows)
-        out.parameters[name] = hyperparameters(models[name])
-        out.predictions[name] = durable(model.transform(test_rows).select(*keep, "prediction"), "predictions")
-        on_train.append((name, *metrics(model.transform(train_rows), target, "prediction").first()))
-        on_test.append((name, *metrics(out.predictions[name], target, "prediction").first()))
-    for encoded in (fit_rows, train_rows, test_rows):
-        encoded.unpersist()
+    try:
+        for name in (n for n in models if n in done):
+            try:
+                model = models[name].fit(fit_rows)
+            except Exception:
+                log.exception("model %s failed in the final fit", name)
+                continue
+            out.models[name] = PipelineModel(stages=[*fitted.stages, model])
+            out.importance[name] = cleaned(importance(model, fit_rows))
+            out.parameters[name] = hyperparameters(models[name])
+            out.predictions[name] = durable(model.transform(test_rows).select(*keep, "prediction"), "predictions")
+            on_train.append((name, *metrics(model.transform(train_rows), target, "prediction").first()))
+            on_test.append((name, *metrics(out.predictions[name], target, "prediction").first()))
+    finally:
+        for encoded in (fit_rows, train_rows, test_rows):
+            encoded.unpersist()
     out.train_metrics = spark.createDataFrame(on_train, METRIC_SCHEMA)
     out.test_metrics = spark.createDataFrame(on_test, METRIC_SCHEMA)
     return out
 
 
+def cleaned(weights: dict[str, float] | None) -> dict[str, float] | None:
+    """Importance by feature name without its block."""
+    return None if weights is None else {n.split("__")[-1]: w for n, w in weights.items()}
+
+
 def registry_rows(result: Comparison) -> list[dict]:
     """One row per model for the results table, with the keys that the table reads."""
     test = {r["model"]: r for r in result.test_metrics.collect()}

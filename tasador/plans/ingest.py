@@ -32,9 +32,6 @@ def ingest(spark: SparkSession, path: str, store: ListingStore, rules: CleaningR
     return store.store_listings(process(load_listings(spark, path, multiline), rules))
 
 
-def load_or_sample(raw: DataFrame, size: int = SAMPLE_ROWS, save_to: str | None = None, target: str = "price_usd", identity: str = "property_id") -> DataFrame:
-    """A stratified sample if there are more rows than ``size``, else everything; optionally saved as CSV."""
-    chosen = stratified_sample(raw, size, target, identity)
-    if save_to and chosen is not raw:
-        write_csv(chosen, save_to, single=False)
-    return chosen
+def save_sample(raw: DataFrame, save_to: str, size: int = SAMPLE_ROWS, target: str = "price_usd", identity: str = "property_id") -> None:
+    """Write a stratified sample of ``size`` rows as CSV. Only a call of this takes a sample; nothing else does."""
+    write_csv(stratified_sample(raw, size, target, identity), save_to, single=False)

@@ -153,9 +153,27 @@ def key_from_id(spark, folder):
     return listing_files.add_property_id(listings(spark, folder)).select("id", "property_id")
 
 
-@query("key_from_row_position", "SELECT CAST(i AS VARCHAR) AS property_id FROM (SELECT unnest(range((SELECT count(*) FROM lineitem))) AS i)")
+@query("key_from_row_position", """
+SELECT CAST(row_number() OVER () - 1 AS VARCHAR) AS property_id, l_orderkey, l_linenumber, l_extendedprice FROM lineitem""")
 def key_from_row_position(spark, folder):
-    return listing_files.add_property_id(table(spark, folder, "lineitem")).select("property_id")
+    return listing_files.add_property_id(table(spark, folder, "lineitem")).select("property_id", "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@query("csv_differing_headers", with_listings("SELECT CAST(id AS VARCHAR) AS id, price, surface_total, l2 FROM listings WHERE id % 2 = 0 UNION ALL SELECT CAST(id AS VARCHAR), price, surface_total, NULL FROM listings WHERE id % 2 = 1"))
+def csv_differing_headers(spark, folder):
+    """Files of one folder whose columns come in another order, one without a column."""
+    path, df = scratch_path(spark, "differing"), listings(spark, folder)
+    even = F.col("id") % 2 == 0
+    for part in (df.where(even).select("id", "price", "surface_total", "l2"), df.where(~even).select("surface_total", "price", "id")):
+        part.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    return listing_files.load_listings(spark, path).select("id", "price", "surface_total", "l2")
+
+
+@query("csv_probe_line_breaks", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name || chr(10) || n_name AS note FROM nation")
+def csv_probe_line_breaks(spark, folder):
+    """A probe reads quoted line breaks as a load does."""
+    nations = table(spark, folder, "nation").select("n_nationkey", F.concat("n_name", F.lit("\n"), "n_name").alias("note"))
+    return listing_files.probe(spark, csv_copy(spark, folder, nations)).select("n_nationkey", "note")
 
 
 @query("csv_folder", with_listings(f"""
@@ -182,6 +200,13 @@ def store_and_read_listings(spark, folder):
     return store_all(spark, folder).read_listings().drop("id", "created_at", "raw_data")
 
 
+@query("tables_made_again", with_clean("SELECT count(*) AS n, round(avg(price_usd), 2) AS mean_price FROM stored"))
+def tables_made_again(spark, folder):
+    """Making the tables where they are leaves what is in them."""
+    again = ListingStore(spark, store_all(spark, folder).root)
+    return again.read_listings().agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("price_usd"), 2).alias("mean_price"))
+
+
 @query("read_listings_limit", with_clean(STORED_SQL + " ORDER BY property_id LIMIT 100"))
 def read_listings_limit(spark, folder):
     return store_all(spark, folder).read_listings(limit=100, order_by="property_id").drop("id", "created_at", "raw_data")
@@ -189,12 +214,13 @@ def read_listings_limit(spark, folder):
 
 @query("safe_casts", with_listings("""
 SELECT id, coalesce(l3, '') AS department, CAST(trunc(price) AS INTEGER) AS whole_price, bedrooms,
-       CAST(NULL AS INTEGER) AS text_as_number FROM listings"""))
+       CAST(NULL AS INTEGER) AS text_as_number, CASE WHEN id % 2 = 0 THEN -1.0 ELSE coalesce(price, -1.0) END AS price_or_default FROM listings"""))
 def safe_casts(spark, folder):
     return listings(spark, folder).select(
         "id", text.safe_cast(F.col("l3"), "string", "").alias("department"),
         text.safe_cast(F.col("price"), "int").alias("whole_price"), text.safe_cast(F.col("bedrooms"), "bigint").alias("bedrooms"),
         text.safe_cast(F.col("property_type"), "int").alias("text_as_number"),
+        text.safe_cast(F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.col("price")), "double", -1.0).alias("price_or_default"),
     )
 
 
@@ -243,16 +269,18 @@ def results_history_of_model(spark, folder):
 
 
 @query("config_history", with_clean("""
-SELECT 'Ridge' AS model_name, 'by_province' AS config_name, province, count(*) AS n_train, 1 AS is_active FROM train GROUP BY province"""))
+SELECT m AS model_name, 'config_v_1.0' AS config_name, a AS alpha, n AS n_train, 1 AS is_active
+FROM (VALUES ('Ridge', 1.0::DOUBLE), ('Lasso', 0.1::DOUBLE)) t(m, a), (SELECT count(*) AS n FROM train)"""))
 def config_history(spark, folder):
     store = ListingStore(spark, scratch_path(spark, "store"))
     train, _ = sample.train_test(stored(spark, folder))
+    chosen, n_train = models.catalogue("full", TARGET), train.count()
     store.store_configs(
-        [{"model_name": "Ridge", "config_name": "by_province", "parameters": {"province": r[0], "n_train": r[1]}, "preprocessing_steps": {}}
-         for r in train.groupBy("province").count().collect()]
+        [{"model_name": n, "config_name": "config_v_1.0", "parameters": {**models.hyperparameters(chosen[n]), "n_train": n_train}, "preprocessing_steps": {}}
+         for n in ("Ridge", "Lasso")]
     )
     return store.configs().select(
-        "model_name", "config_name", F.get_json_object("parameters", "$.province").alias("province"),
+        "model_name", "config_name", F.get_json_object("parameters", "$.alpha").cast("double").alias("alpha"),
         F.get_json_object("parameters", "$.n_train").cast("bigint").alias("n_train"), "is_active",
     )
 
@@ -278,9 +306,8 @@ chosen AS (SELECT id, price_usd FROM ranked JOIN shares USING (stratum) WHERE rk
 @query("sample_csv", with_clean("SELECT CAST(id AS VARCHAR) AS id, price_usd FROM chosen", STRATA))
 def sample_csv(spark, folder):
     path, rows = scratch_path(spark, "sample"), stored(spark, folder)
-    chosen = ingest.load_or_sample(rows, SAMPLE, path, identity="id")
-    saved = chosen if chosen is rows else listing_files.load_listings(spark, path)
-    return saved.select(F.col("id").cast("string").alias("id"), TARGET)
+    ingest.save_sample(rows, path, SAMPLE, identity="id")
+    return listing_files.load_listings(spark, path).select(F.col("id").cast("string").alias("id"), TARGET)
 
 
 @query("exploration_document", with_clean("""
@@ -755,6 +782,17 @@ def one_hot(spark, folder):
     return long_vectors(encode.encode(fitted, test.select("id", *chosen), ["id"]))
 
 
+@query("one_hot_empty_category", with_clean("""
+SELECT id, 'cat_low__operation_type_' || CASE WHEN operation_type = 'Venta' THEN '' ELSE operation_type END AS feature, 1.0::DOUBLE AS value FROM test
+WHERE operation_type IN (SELECT operation_type FROM train)"""))
+def one_hot_empty_category(spark, folder):
+    """An empty text is a category like any other."""
+    train, test = sample.train_test(stored(spark, folder))
+    kind = F.when(F.col("operation_type") == "Venta", F.lit("")).otherwise(F.col("operation_type")).alias("operation_type")
+    rows = train.select("id", kind, TARGET)
+    return long_vectors(encode.encode(encode.preprocessor(rows, TARGET).fit(rows), test.select("id", kind), ["id"]))
+
+
 @query("unknown_category", with_listings("SELECT id, coalesce(l3, 'Desconocido') AS department FROM listings"))
 def unknown_category(spark, folder):
     return listings(spark, folder).select("id", encode.known_category("l3").alias("department"))

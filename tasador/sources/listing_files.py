@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -10,26 +12,56 @@ from tasador.functions.numeric import nan_to_null
 from tasador.functions.text import missing_to_null
 from tasador.operators.lookup import small_enough
 
+#: Names of the columns that keep where a row was read, and the size of its file.
+FILE, BLOCK, BYTES = "_file", "_block", "_bytes"
+
 # The listing columns that hold numbers; ``id`` and the place columns are texts.
 NUMBER_COLUMNS = (
     "price", "price_usd", "surface_total", "surface_covered", "rooms", "bedrooms", "bathrooms",
 )
 TEXT_COLUMNS = ("id", "l1", "l2", "l3", "state_name", "operation_type", "property_type")
 
-# monotonically_increasing_id: the partition in the upper bits, the row in the lower 33.
-ROW_BITS = 33
+BYTE_ORDER_MARK = "\ufeff"
+
+
+def first_lines(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """The first line of each file, read through the file system that Spark itself uses."""
+    java = spark.sparkContext._jvm.java.io
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def read(file: str) -> str:
+        path = hadoop.Path(spark.sparkContext._jvm.java.net.URI(file))
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            return java.BufferedReader(java.InputStreamReader(stream, "UTF-8")).readLine() or ""
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip(files, pool.map(read, files)))
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = True, pattern: str = "*.csv") -> DataFrame:
-    """All matching files below ``path`` as texts, columns by header.
+    """All matching files below ``path`` as texts, columns by header, with the file, its bytes and the block of each row.
 
-    Quoted line breaks need ``multiline``, which gives each file to one task. Files without
-    them split into many tasks with ``multiline=False``.
+    Files whose headers differ are read by their own header each; a column that a file lacks is missing in its rows. Quoted line breaks need
+    ``multiline``, which gives each file to one task. Files without them split into many tasks with ``multiline=False``.
     """
-    return (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-        .option("pathGlobFilter", pattern).csv(path)
-    )
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path")
+    files = sorted(r.path for r in listed.collect())  # paths only
+    groups: dict[str, list[str]] = {}
+    for file, line in first_lines(spark, files).items():
+        groups.setdefault(line.removeprefix(BYTE_ORDER_MARK), []).append(file)
+    if len(groups) <= 1:
+        parts = [reader.option("pathGlobFilter", pattern).csv(path)]
+    else:
+        parts = [reader.csv(group) for group in groups.values()]
+    placed = [p.withColumns({FILE: F.col("_metadata.file_path"), BLOCK: F.col("_metadata.file_block_start"), BYTES: F.col("_metadata.file_size")}) for p in parts]
+    whole = placed[0]
+    for part in placed[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole
 
 
 def _typed(name: str, kind: str | None) -> Column:
@@ -64,15 +96,16 @@ def load_listings(spark: SparkSession, path: str, multiline: bool = True, infer:
     one pass that types the others, which otherwise stay texts.
     """
     texts = read_csv(spark, path, multiline)
-    kinds = {n: "double" if n in NUMBER_COLUMNS else None for n in texts.columns}
+    names = [n for n in texts.columns if n not in (FILE, BLOCK, BYTES)]
+    kinds = {n: "double" if n in NUMBER_COLUMNS else None for n in names}
     if infer:
-        kinds.update(infer_kinds(texts, [n for n in texts.columns if n not in NUMBER_COLUMNS + TEXT_COLUMNS]))
-    return add_property_id(nan_to_null(texts.select(*[_typed(n, k) for n, k in kinds.items()])))
+        kinds.update(infer_kinds(texts, [n for n in names if n not in NUMBER_COLUMNS + TEXT_COLUMNS]))
+    return add_property_id(nan_to_null(texts.select(*[_typed(n, k) for n, k in kinds.items()], FILE, BLOCK))).drop(FILE, BLOCK)
 
 
-def probe(spark: SparkSession, path: str, rows: int = 1000) -> DataFrame:
-    """The first rows of the files, for a look at their columns."""
-    return load_listings(spark, path, multiline=False).limit(rows)
+def probe(spark: SparkSession, path: str, rows: int = 1000, multiline: bool = True) -> DataFrame:
+    """The first rows of the files as a load with the same option gives them, for a look at their columns."""
+    return load_listings(spark, path, multiline).limit(rows)
 
 
 def add_property_id(df: DataFrame) -> DataFrame:
@@ -84,23 +117,27 @@ def add_property_id(df: DataFrame) -> DataFrame:
 
 
 def add_row_position(df: DataFrame, name: str) -> DataFrame:
-    """Contiguous positions from 0 in scan order, for a frame that reads files directly.
+    """Contiguous positions from 0 in the order of files (by path), blocks and rows, for a frame that reads files directly.
 
-    Each task numbers its own rows. The only exchange is the row count of each scan task.
+    Each row knows its file and block, and each task numbers the rows of a block in turn. The only exchange is the row count of each block.
     """
-    tagged = df.withColumn("_tag", F.monotonically_increasing_id())
-    task = F.shiftright("_tag", ROW_BITS)
-    sizes = tagged.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = F.sum("_rows").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select("_task", F.coalesce(before, F.lit(0)).alias("_start"))
+    if FILE in df.columns:
+        tagged, added = df, []
+    else:
+        tagged, added = df.withColumns({FILE: F.col("_metadata.file_path"), BLOCK: F.col("_metadata.file_block_start")}), [FILE, BLOCK]
+    tagged = tagged.withColumn("_tag", F.monotonically_increasing_id())
+    sizes = tagged.groupBy(F.col(FILE).alias("_of"), F.col(BLOCK).alias("_at")).agg(F.count(F.lit(1)).alias("_rows"), F.min("_tag").alias("_first"))
+    before = F.sum("_rows").over(Window.orderBy("_of", "_at").rowsBetween(Window.unboundedPreceding, -1))  # a row for each block
+    starts = sizes.select("_of", "_at", "_first", F.coalesce(before, F.lit(0)).alias("_start"))
     side = F.broadcast(starts) if small_enough(starts) else starts
-    position = F.col("_start") + F.col("_tag").bitwiseAND((1 << ROW_BITS) - 1)
-    return tagged.withColumn("_task", task).join(side, "_task").withColumn(name, position).drop("_tag", "_task", "_start")
+    joined = tagged.join(side, (F.col(FILE) == F.col("_of")) & (F.col(BLOCK) == F.col("_at")))
+    return joined.withColumn(name, F.col("_start") + F.col("_tag") - F.col("_first")).drop("_tag", "_of", "_at", "_first", "_start", *added)
 
 
 def dataset_info(files: DataFrame) -> DataFrame:
     """Rows, files and bytes of a frame that reads files directly; one pass, no column is read."""
-    parts = files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+    path, size = (FILE, BYTES) if BYTES in files.columns else ("_metadata.file_path", "_metadata.file_size")
+    parts = files.select(F.col(path).alias("path"), F.col(size).alias("size"))
     per_file = parts.groupBy("path").agg(F.count(F.lit(1)).alias("rows"), F.max("size").alias("size"))
     return per_file.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from tasador.functions.numeric import nan_to_null
 from tasador.functions.text import row_json, safe_cast
 
 # Columns of the stored tables.
@@ -60,6 +61,7 @@ class NoListings(LookupError):
 
 def stored_listing_columns(df: DataFrame) -> DataFrame:
     """The stored projection: safe casts, empty text for missing texts, the whole row as JSON."""
+    df = nan_to_null(df)
     have = set(df.columns)
     column = lambda c: F.col(c) if c in have else F.lit(None)
     made = {

@@ -71,10 +71,10 @@ def test_no_models(spark, folder):
         scoring.load_models(spark, folder)
 
 
-def test_load_or_sample(spark, folder):
+def test_saved_sample(spark, folder):
     rows = spark.range(500).select(F.col("id").cast("string").alias("property_id"), F.col("id").cast("double").alias("price_usd"))
-    assert ingest.load_or_sample(rows, 500, folder) is rows
-    assert ingest.load_or_sample(rows, 100, folder).count() == 100
+    ingest.save_sample(rows, folder, 100)
+    assert spark.read.option("header", True).csv(folder).count() == 100
     assert spark.read.option("header", True).csv(folder).count() == 100
 
 
@@ -91,4 +91,20 @@ def test_ranking_and_importance_tables(spark):
 def test_report_lines_of_the_test_scores(spark):
     scores = spark.createDataFrame([("a", 0.85, 10.04, 5.5), ("b", 0.5, 20.0, 7.25)], "model string, r2 double, rmse double, mae double")
     lines = [r.line for r in reports.report_lines(scores, "r2", "rmse", "mae", 12, 4).orderBy("position").collect()]
-    assert lines[3].endswith("a (R² 0.8500, excelente)") and lines[-2:] == ["| a | 0.8500 | 10.0400 | 5.5000 |", "| b | 0.5000 | 20.0000 | 7.2500 |"]
+    assert lines[3].endswith("a (R² 0.8500, RMSE 10.0400, MAE 5.5000), explains 85.0 % of the variation: excelente") and lines[-2:] == ["| a | 0.8500 | 10.0400 | 5.5000 |", "| b | 0.5000 | 20.0000 | 7.2500 |"]
+
+
+def test_from_files_without_operation_type_to_the_report(spark, tmp_path):
+    """Missing columns are stored as empty texts, which are categories like any other."""
+    from tasador.operators.clean import CleaningRules
+    from tasador.plans import analysis
+    from tasador.sources.driver_tables import COUNTRIES, listings
+    from tasador.sources.listing_store import ListingStore
+
+    raw, store = str(tmp_path / "raw"), ListingStore(spark, str(tmp_path / "store"))
+    reports.write_csv(listings(spark, "/root/testdata/sf0.001").drop("operation_type"), raw, single=False)
+    assert ingest.ingest(spark, raw, store, CleaningRules(countries=COUNTRIES)) > 100
+    result = analysis.analyse(store, str(tmp_path / "out"), kind="core")
+    assert set(result.models) == {"Linear Regression", "Ridge"}
+    assert any(n == "operation_type_" for n in result.importance["Ridge"])
+    assert "Best model" in "\n".join(r.value for r in spark.read.text(str(tmp_path / "out" / "reports" / "analysis_report")).collect())

@@ -45,6 +45,30 @@ def test_lasso_meets_its_optimality_conditions(arrays):
     assert gradient[used] == pytest.approx(2.0 * np.sign(w[used]), abs=1e-4)
 
 
+def test_lasso_on_complete_blocks(spark):
+    """Columns of a block add up to one, so weights are not unique in the fit and the penalty decides."""
+    rng = np.random.default_rng(1)
+    kind, x = rng.integers(0, 3, 300), rng.normal(size=300)
+    z = np.column_stack([x, np.eye(3)[kind]])
+    y = 200_000 + 5_000 * x + np.array([1_200.0, 0.0, -700.0])[kind] + rng.normal(size=300) * 100
+    df = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(z, y)], ["features", "label"])
+    model = models.lasso("label", alpha=2.0).fit(df.repartition(3))
+    w = np.array(model.coefficients)
+    zc, yc = z - z.mean(0), y - y.mean()
+    gradient = zc.T @ (yc - zc @ w) / len(y)
+    assert (w[1:] == 0).any() and np.all(np.abs(gradient[w == 0]) <= 2.0 + 1e-6)
+    assert gradient[w != 0] == pytest.approx(2.0 * np.sign(w[w != 0]), abs=1e-6)
+    predicted = [r.prediction for r in model.transform(df).collect()]
+    assert predicted == pytest.approx((z @ w + model.intercept).tolist())
+
+
+@pytest.mark.parametrize("alpha", [1.0, 25.0])
+def test_both_ridge_solvers_agree(arrays, alpha):
+    _, _, df = arrays
+    normal, steps = (models.Ridge(alpha=alpha, solver=s, labelCol="label").fit(df) for s in ("normal", "l-bfgs"))
+    assert list(normal.coefficients) == pytest.approx(list(steps.coefficients), rel=1e-5)
+
+
 @pytest.mark.parametrize("kind,size", [("core", 2), ("full", 5), ("trainer", 5)])
 def test_catalogues(spark, kind, size):
     chosen = models.catalogue(kind)

@@ -1,5 +1,7 @@
 import numpy as np
 import pytest
+
+from tasador.operators import quantiles
 from pyspark.sql import functions as F
 
 from tasador.operators.lookup import lookup
@@ -60,3 +62,15 @@ def test_lookup_is_the_same_on_both_ways(spark, broadcast_rows):
     got = lookup(df, table, "key", "n", broadcast_rows=broadcast_rows).select("id", "key", "top").collect()
     tops = {r["key"]: r["top"] for r in table.collect()}
     assert sorted(map(tuple, got), key=str) == sorted([(i, k, tops.get(k)) for i, k in enumerate(keys)], key=str)
+
+
+def test_hot_group_in_the_shuffled_branch(spark):
+    """One group has nine of ten rows; the table of groups is not broadcast as a whole, its hot part is."""
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 10 > 0 THEN 'hot' ELSE concat('g', id % 70) END AS k", "CAST(hash(id) AS DOUBLE) AS v").repartition(6)
+    want = {r.k: r.quantiles for r in quantiles.grouped_quantiles(rows, ["k"], "v", [0.25, 0.5]).collect()}
+    got = {r.k: r.quantiles for r in quantiles.grouped_quantiles(rows, ["k"], "v", [0.25, 0.5], exact_rows=50, broadcast_rows=0).collect()}
+    assert got == want
+    groups = rows.groupBy("k").count()
+    plan = quantiles._join_groups(rows, groups, ["k"], "count", broadcast_rows=0)
+    sizes = [n for n in plan.where("k = 'hot'").rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect() if n]
+    assert sum(sizes) == 2700 and max(sizes) < 1000

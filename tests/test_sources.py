@@ -54,6 +54,26 @@ def test_all_csv_files_of_a_folder_and_nothing_else(spark, tmp_path):
         load_listings(spark, str(tmp_path / "absent"))
 
 
+def test_headers_that_differ(spark, tmp_path):
+    write(tmp_path, "a.csv", "id,price,surface_total\n1,100,50\n")
+    write(tmp_path, "b.csv", "surface_total,id,price,l1\n51,2,101,A\n")
+    rows = load_listings(spark, str(tmp_path)).orderBy("id").select("id", "price", "surface_total", "l1").collect()
+    assert [tuple(r) for r in rows] == [("1", 100.0, 50.0, None), ("2", 101.0, 51.0, "A")]
+    assert listing_files.dataset_info(listing_files.read_csv(spark, str(tmp_path))).first().n_files == 2
+
+
+def test_positions_follow_the_files(spark, tmp_path):
+    for name, n in (("a", 2), ("b", 400), ("c", 3)):
+        write(tmp_path, f"{name}.csv", "l1\n" + "".join(f"{name}{i}\n" for i in range(n)))
+    rows = {int(r.property_id): r.l1 for r in load_listings(spark, str(tmp_path)).collect()}
+    assert [rows[i] for i in (0, 1, 2, 401, 402, 404)] == ["a0", "a1", "b0", "b399", "c0", "c2"]
+
+
+def test_probe_reads_line_breaks_as_the_load_does(spark, tmp_path):
+    path = write(tmp_path, "a.csv", 'id,note\n1,"a\nb"\n2,c\n')
+    assert listing_files.probe(spark, path).collect() == load_listings(spark, path).collect()
+
+
 def test_probe_and_info(spark, tmp_path, raw):
     path = str(tmp_path / "out")
     write_csv(raw, path)

@@ -11,6 +11,12 @@ WORDS = [
 ]
 
 
+def test_safe_cast_takes_nan_as_missing(spark):
+    df = spark.createDataFrame([(float("nan"), "x"), (None, "y"), (1.5, "NaN")], "a double, b string")
+    got = df.select(text.safe_cast(F.col("a"), "double", -1.0), text.safe_cast(F.col("a"), "string", ""), text.safe_cast(F.col("a"), "int"), text.safe_cast(F.col("b"), "string", "")).collect()
+    assert [tuple(r) for r in got] == [(-1.0, "", None, "x"), (-1.0, "", None, "y"), (1.5, "1.5", 1, "NaN")]
+
+
 def test_title_case_is_that_of_python(spark):
     df = spark.createDataFrame([(w,) for w in WORDS], "t string")
     got = [r[0] for r in df.select(text.normalise_text(F.col("t"))).collect()]
