@@ -27,7 +27,7 @@ def process(raw: DataFrame, rules: CleaningRules = CleaningRules(), stage: bool
     return create_features(fitted.apply(raw), fitted.surface_range)
 
 
-def ingest(spark: SparkSession, path: str, store: ListingStore, rules: CleaningRules = CleaningRules(), multiline: bool = True) -> int:
+def ingest(spark: SparkSession, path: str, store: ListingStore, rules: CleaningRules = CleaningRules(), multiline: bool | None = None) -> int:
     """Load, clean, enrich and store; returns the stored rows. Errors are raised."""
     return store.store_listings(process(load_listings(spark, path, multiline), rules))
 

@@ -66,7 +66,7 @@ stored AS (
 train AS (SELECT * FROM stored WHERE u >= 858993459),
 test AS (SELECT * FROM stored WHERE u < 858993459)"""
 
-# One-feature models on surface_total, in closed form.
+# One-feature models on surface_total, in closed form; within folds the feature is standardised, which shrinks the ridge slope by n / (n + 1).
 LINE = """
 moments AS (SELECT count(*) AS n, avg(surface_total) AS mx, avg(price_usd) AS my,
                    count(*) * var_pop(surface_total) AS sxx, count(*) * covar_pop(price_usd, surface_total) AS sxy FROM train),
@@ -79,7 +79,7 @@ fold_moments AS (SELECT f AS fold, count(*) AS n, avg(surface_total) AS mx, avg(
                         count(*) * var_pop(surface_total) AS sxx, count(*) * covar_pop(price_usd, surface_total) AS sxy
                  FROM train, range(5) t(f) WHERE train.fold <> f GROUP BY f),
 fold_lines AS (SELECT fold, 'Linear Regression' AS model, sxy / sxx AS slope, my - mx * sxy / sxx AS intercept FROM fold_moments
-               UNION ALL SELECT fold, 'Ridge', sxy / (sxx + 1.0), my - mx * sxy / (sxx + 1.0) FROM fold_moments),
+               UNION ALL SELECT fold, 'Ridge', sxy / sxx * n / (n + 1.0), my - mx * sxy / sxx * n / (n + 1.0) FROM fold_moments),
 fold_scored AS (SELECT model, t.fold, price_usd, intercept + slope * surface_total AS prediction
                 FROM train t JOIN fold_lines l ON l.fold = t.fold),
 fold_metrics AS (SELECT model, fold, count(*) AS n, sqrt(avg((price_usd - prediction) ** 2)) AS rmse,

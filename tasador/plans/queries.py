@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tasador.functions import numeric, text
@@ -97,18 +97,10 @@ def scored_lines(spark, folder, names=("Linear Regression", "Ridge", "Lasso")) -
 
 
 def line_folds(spark, folder) -> DataFrame:
-    """Fold figures of one-feature models; the fold frames of the full preprocessing are not needed here."""
-    train, _ = sample.train_test(one_feature(stored(spark, folder)))
-    train = sample.add_fold(train).persist()
+    """Fold figures of one-feature models, by the fold loop with its whole preprocessing."""
+    train, _ = sample.train_test(stored(spark, folder).select("id", "surface_total", TARGET))
     chosen = {n: m for n, m in line_models().items() if n != "Lasso"}
-    rows = []
-    for fold in range(sample.FOLDS):
-        held = F.col("fold") == fold
-        for name, model in chosen.items():
-            scored = model.fit(train.where(~held)).transform(train.where(held))
-            rows.append((name, fold, *evaluate.metrics(scored, TARGET, "prediction").first()))
-    train.unpersist()
-    return spark.createDataFrame(rows, evaluate.CV_SCHEMA)
+    return evaluate.cross_validate(train, chosen, TARGET, parallelism=sample.FOLDS)
 
 
 # --- sources and sinks -------------------------------------------------------------------------
@@ -677,8 +669,9 @@ def dataset_info(spark, folder):
 
 @query("model_ranking", with_lines("SELECT model, CAST(row_number() OVER (ORDER BY cv_r2 DESC, model) AS INTEGER) AS place, round(cv_r2, 6) AS cv_r2 FROM cv"))
 def model_ranking(spark, folder):
-    ordered = reports.comparison(evaluate.summarise_folds(line_folds(spark, folder))).collect()
-    return spark.createDataFrame([(r["model"], i + 1, round(r["cv_r2"], 6)) for i, r in enumerate(ordered)], "model string, place int, cv_r2 double")
+    table_ = reports.comparison(evaluate.summarise_folds(line_folds(spark, folder)))
+    place = F.row_number().over(Window.orderBy(F.desc("cv_r2"), "model"))  # a row for each model
+    return table_.select("model", place.alias("place"), rounded("cv_r2", 6))
 
 
 @query("test_comparison", with_lines("""
@@ -766,8 +759,9 @@ def mode_imputation(spark, folder):
 def long_vectors(encoded: DataFrame, digits: int = 6) -> DataFrame:
     """One row per listing and non-zero feature, with the feature's name."""
     names = F.array(*[F.lit(n) for n in encode.feature_names(encoded)])
-    pairs = encoded.select("id", F.posexplode(vector_to_array("features")).alias("index", "value"))
-    return pairs.where(F.col("value") != 0).select("id", F.get(names, F.col("index")).alias("feature"), F.round("value", digits).alias("value"))
+    values = F.filter(F.transform(vector_to_array("features"), lambda v, i: F.struct(i.alias("index"), v.alias("value"))), lambda p: p.value != 0)
+    pairs = encoded.select("id", F.inline(values))
+    return pairs.select("id", F.get(names, F.col("index")).alias("feature"), F.round("value", digits).alias("value"))
 
 
 @query("one_hot", with_clean("""
@@ -951,12 +945,8 @@ def train_and_test_metrics(spark, folder):
 
 @query("cross_validation", with_lines("SELECT model, CAST(fold AS INTEGER) AS fold, n, round(rmse, 3) AS rmse, round(mae, 3) AS mae, round(r2, 6) AS r2 FROM fold_metrics"))
 def cross_validation(spark, folder):
-    """One feature through the whole fold loop: numeric preprocessing learned per fold leaves least squares unchanged."""
-    rows = stored(spark, folder).select("id", "surface_total", TARGET)
-    train, _ = sample.train_test(rows)
-    scaled = evaluate.cross_validate(train, {"Linear Regression": models.linear(TARGET)}, TARGET, parallelism=sample.FOLDS)
-    plain = line_folds(spark, folder).where("model = 'Ridge'")
-    return scaled.unionByName(plain).select("model", "fold", "n", rounded("rmse", 3), rounded("mae", 3), rounded("r2", 6))
+    """One feature through the whole fold loop."""
+    return line_folds(spark, folder).select("model", "fold", "n", rounded("rmse", 3), rounded("mae", 3), rounded("r2", 6))
 
 
 @query("cross_validated_r2", with_lines("SELECT model, round(cv_r2, 6) AS cv_mean, round(cv_r2_std, 6) AS cv_std FROM cv"))

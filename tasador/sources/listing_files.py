@@ -41,22 +41,34 @@ def first_lines(spark: SparkSession, files: list[str]) -> dict[str, str]:
         return dict(zip(files, pool.map(read, files)))
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = True, pattern: str = "*.csv") -> DataFrame:
+def files_with_line_breaks(spark: SparkSession, path: str, pattern: str = "*.csv") -> set[str]:
+    """Files with a line that holds an odd number of quotes, so that a quoted text goes on in the next one. One pass that splits large files."""
+    lines = spark.read.option("pathGlobFilter", pattern).text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return {r.path for r in lines.where(quotes % 2 == 1).select("path").distinct().collect()}
+
+
+def read_csv(spark: SparkSession, path: str, multiline: bool | None = None, pattern: str = "*.csv") -> DataFrame:
     """All matching files below ``path`` as texts, columns by header, with the file, its bytes and the block of each row.
 
     Files whose headers differ are read by their own header each; a column that a file lacks is missing in its rows. Quoted line breaks need
-    ``multiline``, which gives each file to one task. Files without them split into many tasks with ``multiline=False``.
+    ``multiline``, which gives each file to one task. Files without them split into many tasks with ``multiline=False``. By default one pass
+    finds the files that have line breaks in quotes, and only these are read whole; the rows are the same.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    broken = files_with_line_breaks(spark, path, pattern) if multiline is None else set()
     listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path")
     files = sorted(r.path for r in listed.collect())  # paths only
-    groups: dict[str, list[str]] = {}
+    groups: dict[tuple[str, bool], list[str]] = {}
     for file, line in first_lines(spark, files).items():
-        groups.setdefault(line.removeprefix(BYTE_ORDER_MARK), []).append(file)
+        groups.setdefault((line.removeprefix(BYTE_ORDER_MARK), bool(multiline) or file in broken), []).append(file)
+
+    def reader(whole: bool):
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", whole)
+
     if len(groups) <= 1:
-        parts = [reader.option("pathGlobFilter", pattern).csv(path)]
+        parts = [reader(any(whole for _, whole in groups)).option("pathGlobFilter", pattern).csv(path)]
     else:
-        parts = [reader.csv(group) for group in groups.values()]
+        parts = [reader(whole).csv(group) for (_, whole), group in groups.items()]
     placed = [p.withColumns({FILE: F.col("_metadata.file_path"), BLOCK: F.col("_metadata.file_block_start"), BYTES: F.col("_metadata.file_size")}) for p in parts]
     whole = placed[0]
     for part in placed[1:]:
@@ -89,7 +101,7 @@ def infer_kinds(texts: DataFrame, names: list[str]) -> dict[str, str | None]:
     return kinds
 
 
-def load_listings(spark: SparkSession, path: str, multiline: bool = True, infer: bool = False) -> DataFrame:
+def load_listings(spark: SparkSession, path: str, multiline: bool | None = None, infer: bool = False) -> DataFrame:
     """Listings with typed columns, NaN as NULL, and ``property_id``.
 
     The known columns have declared types, so no pass over the data is needed; ``infer`` adds
@@ -103,7 +115,7 @@ def load_listings(spark: SparkSession, path: str, multiline: bool = True, infer:
     return add_property_id(nan_to_null(texts.select(*[_typed(n, k) for n, k in kinds.items()], FILE, BLOCK))).drop(FILE, BLOCK)
 
 
-def probe(spark: SparkSession, path: str, rows: int = 1000, multiline: bool = True) -> DataFrame:
+def probe(spark: SparkSession, path: str, rows: int = 1000, multiline: bool | None = None) -> DataFrame:
     """The first rows of the files as a load with the same option gives them, for a look at their columns."""
     return load_listings(spark, path, multiline).limit(rows)
 

@@ -69,6 +69,22 @@ def test_positions_follow_the_files(spark, tmp_path):
     assert [rows[i] for i in (0, 1, 2, 401, 402, 404)] == ["a0", "a1", "b0", "b399", "c0", "c2"]
 
 
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    write(tmp_path, "a.csv", 'id,note\n1,"a\nb ""q"""\n2,c\n')
+    big = "id,note\n" + "".join(f'{i},"say ""{i}"" again"\n' for i in range(10, 40_000))
+    write(tmp_path, "b.csv", big)
+    path = str(tmp_path)
+    assert {p.rsplit("/", 1)[1] for p in listing_files.files_with_line_breaks(spark, path)} == {"a.csv"}
+    rows = load_listings(spark, path)
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, load_listings(spark, path, multiline=True).collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        assert listing_files.read_csv(spark, path).rdd.getNumPartitions() > 5
+        assert listing_files.read_csv(spark, path, multiline=True).rdd.getNumPartitions() <= 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_probe_reads_line_breaks_as_the_load_does(spark, tmp_path):
     path = write(tmp_path, "a.csv", 'id,note\n1,"a\nb"\n2,c\n')
     assert listing_files.probe(spark, path).collect() == load_listings(spark, path).collect()
