@@ -2,7 +2,8 @@
 
 1. Anchors. In every window of LENGTH bytes the gram with the smallest hash is its anchor; windows with one anchor make a segment. Equal windows have equal anchors, so
    all that can match meets at the anchor. Only hashes of anchors and segments are exchanged. An anchor met in one document only is done with. Equal segments need no
-   comparison: all but those of the smallest document go, and only those of it go on.
+   comparison: all but those of the smallest document go, and only those of it go on. A window reaches SIDE bytes beyond its anchor on the left or on the right, so segments
+   that share a window agree in these bytes on one side; those that agree with no other document's on either side are done with as well.
 2. Shards. Segments whose anchor has different segments are sent, as bytes, to the shard of their anchor. Each shard builds the suffix array of its segments by
    induced sorting and the permuted common prefixes; windows that share LENGTH bytes are neighbours in it, and all but those of the smallest document go.
    Segments of an anchor with very many of them are sent window by window, by the hash of the window, so no anchor makes a shard large.
@@ -23,22 +24,24 @@ from tasador.llm.text import M1, M2, M3, U64, eights, gather, mix, pieces, utf8
 LENGTH = 50
 #: Bytes of a gram.
 GRAM = 16
+#: Bytes that any window has beyond the anchor on one side at least.
+SIDE = (LENGTH - GRAM + 1) // 2
 #: Segments of one exchange group and bytes of one shard, on average.
 A_GROUP, A_SHARD = 1_000_000, 1_500_000
 #: Distinct segments from which on an anchor is sent window by window.
 MANY = 2048
 
-_ENTRY = np.dtype([("gram", "<u8"), ("segment", "<u8"), ("at", "<u4"), ("more", "u1"), ("owner", "<u2")])
+_ENTRY = np.dtype([("gram", "<u4"), ("gram_high", "<u2"), ("left", "<u2"), ("right", "<u2"), ("segment", "<u8"), ("at", "<u4"), ("more", "u1"), ("owner", "<u2")])
 _ASK = np.dtype([("gram", "<u8"), ("at", "<u4"), ("more", "u1"), ("many", "u1")])
 
 
 def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """row, at, more, gram, segment: segments of windows with one anchor. The windows begin at ``at`` .. ``at + more`` (from the row's first byte);
-    gram and segment are hashes of the anchor and of all bytes of the segment with the anchor's place."""
+    """row, at, more, gram, segment, left, right: segments of windows with one anchor. The windows begin at ``at`` .. ``at + more`` (from the row's first byte);
+    gram and segment are hashes of the anchor and of all bytes of the segment with the anchor's place, left and right of the SIDE bytes beside the anchor (0: fewer)."""
     n, reach = int(bounds[-1]), LENGTH - GRAM
     empty = np.zeros(0, np.int64)
     if n < LENGTH:
-        return empty, empty, empty, empty.view(U64), empty.view(U64)
+        return empty, empty, empty, empty.view(U64), empty.view(U64), empty, empty
     words = eights(data)
     gram = mix(words[:n] * M1 ^ words[8 : n + 8] * M2 + M3)
     least, place, width = gram, np.arange(n, dtype=np.int32), 1
@@ -68,7 +71,12 @@ def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     anchor = place[begin]
     whole = mix(whole + (end - begin).astype(U64) * M1 + (anchor - begin).astype(U64) * M3)
     row = np.searchsorted(bounds, begin, "right") - 1
-    return row, begin - bounds[row], end - begin, gram[anchor], whole
+    sides = []
+    for first, there in ((anchor - SIDE, anchor - SIDE >= bounds[row]), (anchor + GRAM, anchor + GRAM + SIDE <= bounds[row + 1])):
+        first = np.where(there, first, 0)
+        side = mix(words[first] * M1 ^ mix(words[first + 8] + M2) ^ words[first + SIDE - 8] * M3)
+        sides.append(np.where(there, (side >> U64(48)) | U64(1), U64(0)))
+    return row, begin - bounds[row], end - begin, gram[anchor], whole, *sides
 
 
 def _exchange(groups: int):
@@ -78,9 +86,10 @@ def _exchange(groups: int):
         for piece in pieces(batches, 1 << 20):
             for at in range(0, piece.num_rows, 60_000):
                 part = piece.slice(at, 60_000)
-                row, begin, more, gram, segment = segments(*utf8(part.column("text")))
+                row, begin, more, gram, segment, left, right = segments(*utf8(part.column("text")))
                 entries = np.empty(len(row), _ENTRY)
-                entries["gram"], entries["segment"], entries["at"], entries["more"], entries["owner"] = gram, segment, begin, more, row
+                entries["gram"], entries["gram_high"], entries["left"], entries["right"] = gram & U64(2**32 - 1), gram >> U64(48), left, right
+                entries["segment"], entries["at"], entries["more"], entries["owner"] = segment, begin, more, row
                 group = (gram % U64(groups)).astype(np.int64)
                 order = np.argsort(group.astype(np.uint16) if groups < 65536 else group, kind="stable")
                 entries, cuts = entries[order], np.searchsorted(group[order], np.arange(groups + 1))
@@ -121,6 +130,18 @@ def _ranges(start, end) -> bytes:
 _FOUND = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("ranges", pa.binary()), ("asks", pa.binary()), ("bytes", pa.int64())])
 
 
+def _beside(group: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which entries have the bytes of one side in common with an entry of their group and another document."""
+    order = np.lexsort((side, group))
+    g, s, d = group[order], side[order], doc[order]
+    out = np.zeros(len(order), bool)
+    if len(order):
+        begin = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (s[1:] != s[:-1])]))
+        several = np.minimum.reduceat(d, begin) != np.maximum.reduceat(d, begin)
+        out[order] = np.repeat(several, np.diff(np.append(begin, len(order)))) & (s > 0)
+    return out
+
+
 def _meet(many: int):
     """Rows of documents: ranges to remove, and segments to compare."""
 
@@ -130,7 +151,7 @@ def _meet(many: int):
         docs = np.array([len(x) // 8 for x in packs.column("ids").to_pylist()])
         owner = entries["owner"] + np.repeat(np.cumsum(docs) - docs, [len(x) // _ENTRY.itemsize for x in packs.column("entries").to_pylist()])
         del packs
-        gram = entries["gram"].copy()
+        gram = entries["gram"].astype(np.uint64) | entries["gram_high"].astype(np.uint64) << U64(32)
         order = np.argsort(gram)
         repeated = np.flatnonzero(gram[order[1:]] == gram[order[:-1]])
         order = order[np.unique(np.concatenate([repeated, repeated + 1]))]
@@ -149,6 +170,7 @@ def _meet(many: int):
         kinds = np.add.reduceat(distinct, begin) if len(begin) else begin
         differ = (np.minimum.reduceat(lowest, begin) != np.maximum.reduceat(lowest, begin)) if len(begin) else begin
         compare = ~remove & ((kinds > 1) & differ)[group] if len(begin) else remove
+        compare[compare] = _beside(group[compare], entries["left"][compare], doc[compare]) | _beside(group[compare], entries["right"][compare], doc[compare])
         out = {}
         start = entries["at"].astype(np.int64)
         for who, a, b in _by_owner(owner[remove], start[remove], (start + entries["more"] + LENGTH)[remove]):
