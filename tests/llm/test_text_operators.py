@@ -66,7 +66,9 @@ def test_linked_sets_share_a_cell():
             b = np.unique(np.concatenate([a[rng.permutation(len(a))[drop:]], rng.integers(0, 2**63, drop, dtype=np.uint64)]))
             inter = len(np.intersect1d(a, b))
             if len(b) and 100 * inter >= 75 * (len(a) + len(b) - inter):
-                hot = rng.permutation(a)[: n // 2]
+                hot = np.zeros(ngram_join.FLAGS // 8, np.uint8)
+                for token in rng.permutation(a)[: n // 2].tolist():
+                    hot[token % ngram_join.FLAGS >> 3] |= 1 << (token % 8)
                 assert len(np.intersect1d(ngram_join.cells(a, hot), ngram_join.cells(b, hot)))
                 x, y = (np.frombuffer(ngram_join.bit_sketch(s), np.uint8) for s in (a, b))
                 bits = min(len(x), len(y))
