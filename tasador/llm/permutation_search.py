@@ -50,7 +50,7 @@ def best_of(pivots: np.ndarray, k: int, reranked: float):
             at = np.flatnonzero(others(query_ids[i], ids))
             n = max(LEAST, k, int(len(at) * reranked))
             if len(at) > n:
-                at = at[np.argpartition(distance[at], n - 1)[:n]]
+                at = at[np.argpartition(distance[at].astype(np.int64) * len(ids) + at, n - 1)[:n]]  # of equal ones the smaller vec_id
             score = inner(rows[at], q)
             order = np.lexsort((ids[at], -score))[:k]
             yield i, at[order], score[order]
