@@ -223,7 +223,8 @@ def toxicity(documents: DataFrame, labels: DataFrame, examples: int = EXAMPLES)
     idf = np.full(len(chosen), np.log(1 + total))
     for r in frequency:
         idf[r.term] = np.log((1 + total) / (1 + r["count"])) + 1e-6
-    rows = vectors.join(F.broadcast(sample), "doc_id").select("doc_id", "terms", "counts", "toxic").orderBy("doc_id").collect()  # the sample
+    known = vectors.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min(F.struct("key", "terms", "counts", "toxic")).alias("r"))
+    rows = known.select("doc_id", "r.terms", "r.counts", "r.toxic").orderBy("doc_id").collect()  # a row for each example
     index = Examples([tuple(r) for r in rows], idf)
     index.calibrate(NEIGHBOURS)
     kinds = "doc_id long, key long, score double, examples array<long>, similarities array<double>"

@@ -56,6 +56,12 @@ def limited(small):
     return run
 
 
+def test_one_id_with_two_texts(spark):
+    rows = [(1, SENTENCE), (1, "other words that stand for themselves alone"), (2, SENTENCE.replace("ships", "boats"))]
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(documents(spark, rows)).collect()}
+    assert got == {(1, 20, 1), (1, 3, 1), (2, 20, 1)}
+
+
 def test_linked_sets_share_a_cell():
     rng = np.random.default_rng(0)
     for n in [1, 2, 3, 4, 5, 7, 8, 20, 100, 127, 128, 129, 300, 1000, 5000]:

@@ -162,6 +162,14 @@ def test_vectors_of_empty_tables(spark, vectors):
     assert bit_search.top_k(none).collect() == [] and permutation_search.nearest(none).collect() == [] and usable_vectors(none).count() == 0
 
 
+def test_equal_vectors_come_by_vec_id(spark):
+    """Also when more rows are equal than are reranked."""
+    frame = spark.createDataFrame([(i, [1.0, 0.5] if i % 3 else [0.0, -1.0]) for i in range(2400)], "vec_id long, embedding array<double>")
+    for run in (bit_search.top_k, permutation_search.nearest):
+        got = [r.vec_id for r in run(frame).where("query_id = 20").orderBy("rank").collect()]
+        assert got == [i for i in range(60) if i % 3 and i != 20][:20]
+
+
 def test_few_candidates(spark):
     frame = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>")
     assert [(r.rank, r.vec_id) for r in bit_search.top_k(frame).orderBy("rank").collect()] == [(1, 1), (2, 2)]
