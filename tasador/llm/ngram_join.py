@@ -9,8 +9,8 @@ hold an equal cell. The common order puts cells made only of frequent tokens las
 bring them together. Equal cells give candidate pairs; a bit sketch (one parity bit per token) whose Hamming distance is a lower bound
 of the symmetric difference drops most of the wrong ones; the sets themselves decide.
 
-Equal sets are one class and meet once. In cells with more than ``SMALL`` classes, each class is first tried with the smallest;
-only classes that are still in different components afterwards are compared with one another, by sketches in square blocks of bounded size.
+Equal sets are one class and meet once. Cells with more than ``SMALL`` classes send no pairs. Classes that such cells connect are a crowd; a crowd is compared in square
+blocks of bounded size, each in one task, by sketches first and then by the sets, and only the links of a spanning forest leave the task.
 """
 
 from __future__ import annotations
@@ -27,13 +27,16 @@ from tasador.llm.text import BLANK, LOWER, M1, M2, M3, U64, hash_spans, mix, pie
 WIDTH = 5
 #: A pair links when PART * |intersection| >= share * |union|, as whole numbers out of 100.
 SHARE = 75
-#: Cells shared by more classes are handled through components and blocks.
+#: Cells shared by more classes are compared in blocks; classes of a crowd on one side of a block.
 SMALL = 24
 BLOCK = 1024
 #: Cells of one group in the exchange, on average.
-CELLS_A_GROUP = 1_000_000
-#: A token is frequent if it is in this part of the documents; changes the order of cells, never the result.
-FREQUENT = 0.004
+CELLS_A_GROUP = 2_000_000
+#: Bytes of a cell and of a set's fingerprint in the exchange. Cells that agree only in these are candidates too many, dropped on the sets.
+CELL, NODE = 6, 16
+#: A token is frequent if it was counted so often, where only counts of LOCAL and more within a batch of rows are added up. Frequent tokens are kept as a table of
+#: FLAGS bits, of one size for any input; tokens that share a bit with one count as frequent too. All this changes the order of cells, never the result.
+OFTEN, LOCAL, FLAGS = 12, 3, 1 << 25
 _FACTORS = np.array([M1, M2, M3, M1, M2], U64) * np.array([1, 1, 1, 3, 5], U64)
 
 
@@ -90,7 +93,8 @@ def cells(tokens: np.ndarray, frequent: np.ndarray, share: int = SHARE) -> np.nd
     """The cells under which a set is posted, for its own band and the next one that a linked larger set may be in."""
     n, out = len(tokens), []
     largest = n * 100 // share
-    rare = ~np.isin(tokens, frequent) if len(frequent) else np.ones(n, bool)
+    place = (tokens & U64(FLAGS - 1)).astype(np.int64)
+    rare = (frequent[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 0
     for j in range(band(n), band(largest) + 1):
         partner = min(largest, (2 << j) - 1)
         if j < 7:  # small sets: a cell for each token
@@ -107,34 +111,41 @@ def cells(tokens: np.ndarray, frequent: np.ndarray, share: int = SHARE) -> np.nd
     return np.concatenate(out)
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("sketch", pa.binary()), ("token", pa.int64())])
+_SETS = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("sketch", pa.binary()), ("token", pa.int64())])
 
 
 def _describe(batches):
-    """A row of each document, and rows (n: documents, token) of tokens frequent within a piece."""
-    for piece in pieces(batches):
-        sets = shingle_sets(*utf8(piece.column("text")))
-        empty = np.zeros(0, U64)
-        token, count = np.unique(np.concatenate([empty, *sets]), return_counts=True)
-        often = count >= max(3, FREQUENT * len(sets))
-        m = int(often.sum())
-        yield pa.RecordBatch.from_arrays([
-            pa.concat_arrays([piece.column("doc_id").cast(pa.int64()), pa.nulls(m, pa.int64())]),
-            pa.array([*map(len, sets), *count[often].tolist()], pa.int64()),
-            pa.array([*(fingerprint(s) if len(s) else None for s in sets), *[None] * m], pa.binary()),
-            pa.array([*(bit_sketch(s) if len(s) else None for s in sets), *[None] * m], pa.binary()),
-            pa.concat_arrays([pa.nulls(len(sets), pa.int64()), pa.array(token[often].view(np.int64))]),
-        ], schema=_SETS)
-
-
-_PACK = "group int, cells binary, owner binary, nodes binary, sizes binary"
+    """A row of each document, and rows (n: documents, token) of tokens that many documents of a batch have."""
+    for batch in batches:
+        seen = [np.zeros(0, U64)]
+        for piece in pieces([batch]):
+            sets = shingle_sets(*utf8(piece.column("text")))
+            seen += sets
+            none = pa.nulls(len(sets), pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                piece.column("doc_id").cast(pa.int64()), piece.column("key"), pa.array([*map(len, sets)], pa.int64()), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()),
+                pa.array([bit_sketch(s) if len(s) else None for s in sets], pa.binary()), none,
+            ], schema=_SETS)
+        token = np.sort(np.concatenate(seen))
+        del seen
+        begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
+        count = np.diff(np.append(begin, len(token)))
+        token, count = token[begin[count >= LOCAL]], count[count >= LOCAL]
+        for at in range(0, len(token), 100_000):
+            some = token[at : at + 100_000]
+            none = pa.nulls(len(some), pa.int64())
+            binary = pa.nulls(len(some), pa.binary())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(count[at : at + 100_000], pa.int64()), binary, binary, pa.array(some.view(np.int64))], schema=_SETS)
+
+
+_PACK = "group int, cells binary, nodes binary, counts binary"
 
 
 def _post(frequent: np.ndarray, groups: int, share: int):
-    """Deal the cells of each piece of text into groups: one pack of cells and their sets for each group."""
+    """Deal the cells of each piece of text into groups: one pack of sets and their cells for each group."""
 
     def run(batches):
-        for piece in pieces(batches, 4 << 20):
+        for piece in pieces(batches):
             known = {}
             for s in shingle_sets(*utf8(piece.column("text"))):
                 if len(s):
@@ -143,16 +154,16 @@ def _post(frequent: np.ndarray, groups: int, share: int):
                 continue
             posted = [cells(s, frequent, share) for s in known.values()]
             cell, owner = np.concatenate(posted), np.repeat(np.arange(len(posted)), [*map(len, posted)])
+            del posted
             group = (cell % U64(groups)).astype(np.int64)
             order = np.argsort(group, kind="stable")
-            cell, owner = cell[order], owner[order]
+            cell, owner = cell[order].view(np.uint8).reshape(-1, 8)[:, 8 - CELL :], owner[order]
             cuts = np.searchsorted(group[order], np.arange(groups + 1))
-            nodes, sizes = np.frombuffer(b"".join(known), "V16"), np.array([*map(len, known.values())], np.int32)
-            rows = []
+            nodes, rows = np.frombuffer(b"".join(known), f"V{NODE}"), []
             for g in np.flatnonzero(np.diff(cuts)):
-                used, place = np.unique(owner[cuts[g] : cuts[g + 1]], return_inverse=True)
-                rows.append((int(g), cell[cuts[g] : cuts[g + 1]].tobytes(), place.astype(np.int32).tobytes(), nodes[used].tobytes(), sizes[used].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], names=["group", "cells", "owner", "nodes", "sizes"])
+                used, counts = np.unique(owner[cuts[g] : cuts[g + 1]], return_counts=True)
+                rows.append((int(g), cell[cuts[g] : cuts[g + 1]].tobytes(), nodes[used].tobytes(), counts.astype("<u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 3))], names=["group", "cells", "nodes", "counts"])
 
     return run
 
@@ -160,55 +171,59 @@ def _post(frequent: np.ndarray, groups: int, share: int):
 _MET = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("cell", pa.int64())])
 
 
-def _meet(share: int):
-    """Pairs (a, b) of sets that share a cell; of large cells, pairs with the smallest set and rows (a, null, cell) of all."""
-
-    def run(packs: pa.Table) -> pa.Table:
-        read = lambda name, kind: np.frombuffer(b"".join(packs.column(name).to_pylist()), kind)
-        counts = np.array([len(x) // 16 for x in packs.column("nodes").to_pylist()])
-        owner = read("owner", np.int32) + np.repeat(np.cumsum(counts) - counts, [len(x) // 4 for x in packs.column("owner").to_pylist()])
-        halves = read("nodes", np.uint64).reshape(-1, 2)
-        order = np.lexsort((halves[:, 1], halves[:, 0]))
-        new = np.ones(len(order), bool)
-        new[1:] = (halves[order[1:]] != halves[order[:-1]]).any(1)
-        name = np.empty(len(order), np.int64)
-        name[order] = np.cumsum(new) - 1
-        nodes, sizes = halves[order[new]], read("sizes", np.int32)[order[new]].astype(np.int64)
-        cell, who = read("cells", np.uint64), name[owner]
-        order = np.argsort(cell)
-        repeated = np.flatnonzero(cell[order[1:]] == cell[order[:-1]])
-        order = order[np.unique(np.concatenate([repeated, repeated + 1]))]  # only cells that occur twice
-        order = order[np.lexsort((who[order], cell[order]))]
-        cell, who = cell[order], who[order]
-        once = np.ones(len(cell), bool)
-        once[1:] = (cell[1:] != cell[:-1]) | (who[1:] != who[:-1])
-        cell, who = cell[once], who[once]
-        begin = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
-        size = np.diff(np.append(begin, len(cell)))
-        large = np.repeat(size > SMALL, size)
-        left, right = [np.repeat(who[begin], size)[large]], [who[large]]
-        x, c = who[~large], cell[~large]
-        for k in range(1, SMALL):
-            same = np.flatnonzero(c[k:] == c[: len(c) - k]) if len(c) > k else np.zeros(0, np.int64)
-            if not len(same):
-                break
-            left.append(x[same])
-            right.append(x[same + k])
-        pair = np.unique(np.concatenate(left) * len(nodes) + np.concatenate(right))
-        a, b = np.divmod(pair, max(len(nodes), 1))
-        fit = (a != b) & (100 * np.minimum(sizes[a], sizes[b]) >= share * np.maximum(sizes[a], sizes[b]))
-        key = lambda i: pa.array([nodes[k].tobytes() for k in i], pa.binary())
-        a, b, member = a[fit], b[fit], who[large]
-        return pa.table({"a": pa.concat_arrays([key(a), key(member)]), "b": pa.concat_arrays([key(b), pa.nulls(len(member), pa.binary())]), "cell": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(cell[large].view(np.int64))])}, schema=_MET)
-
-    return run
+def _meet(packs: pa.Table) -> pa.Table:
+    """Pairs (a, b) of sets that share a cell; of large cells rows (a, null, cell) of all sets."""
+    read = lambda name, kind: np.frombuffer(b"".join(packs.column(name).to_pylist()), kind)
+    halves, counts, raw = read("nodes", np.uint64).reshape(-1, 2), read("counts", np.uint32), read("cells", np.uint8).reshape(-1, CELL)
+    del packs
+    order = np.lexsort((halves[:, 1], halves[:, 0]))
+    new = np.ones(len(order), bool)
+    new[1:] = (halves[order[1:]] != halves[order[:-1]]).any(1)
+    name = np.empty(len(order), np.int64)
+    name[order] = np.cumsum(new) - 1
+    nodes, who = halves[order[new]], np.repeat(name, counts)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, 8 - CELL :] = raw
+    cell = wide.view(np.uint64)[:, 0]
+    del raw, wide
+    order = np.argsort(cell)
+    repeated = np.flatnonzero(cell[order[1:]] == cell[order[:-1]])
+    order = order[np.unique(np.concatenate([repeated, repeated + 1]))]  # only cells that occur twice
+    order = order[np.lexsort((who[order], cell[order]))]
+    cell, who = cell[order], who[order]
+    once = np.ones(len(cell), bool)
+    once[1:] = (cell[1:] != cell[:-1]) | (who[1:] != who[:-1])
+    cell, who = cell[once], who[once]
+    begin = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+    size = np.diff(np.append(begin, len(cell)))
+    large = np.repeat(size > SMALL, size)
+    left, right = [who[:0]], [who[:0]]
+    x, c = who[~large], cell[~large]
+    for k in range(1, SMALL):
+        same = np.flatnonzero(c[k:] == c[: len(c) - k]) if len(c) > k else np.zeros(0, np.int64)
+        if not len(same):
+            break
+        left.append(x[same])
+        right.append(x[same + k])
+    pair = np.unique(np.concatenate(left) * len(nodes) + np.concatenate(right))
+    a, b = np.divmod(pair, max(len(nodes), 1))
+    key = lambda i: pa.array([nodes[k].tobytes() for k in i], pa.binary())
+    a, b, member = a[a != b], b[a != b], who[large]
+    return pa.table({"a": pa.concat_arrays([key(a), key(member)]), "b": pa.concat_arrays([key(b), pa.nulls(len(member), pa.binary())]), "cell": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(cell[large].view(np.int64))])}, schema=_MET)
+
+
+def _thin(batches, rows: int = 512):
+    """Slices of few rows, as rows are wide."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def _near(share: int):
     """Keep pairs whose bit sketches do not rule a link out."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _thin(batches):
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
             most = most_apart(na, nb, share)
             keep = []
@@ -224,14 +239,16 @@ def _near(share: int):
 def _sets_of(batches):
     for piece in pieces(batches):
         sets = shingle_sets(*utf8(piece.column("text")))
-        yield pa.RecordBatch.from_arrays([piece.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "tokens"])
+        batch = pa.RecordBatch.from_arrays([piece.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "tokens"])
+        # another row of the same doc_id may have another text
+        yield batch.filter(pa.array([len(s) > 0 and fingerprint(s) == n for s, n in zip(sets, piece.column("node").to_pylist())], pa.bool_()))
 
 
 def _linked(share: int):
     """Keep pairs whose sets link, decided on the sets."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _thin(batches):
             keep = []
             for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
                 p, q = np.frombuffer(x, U64), np.frombuffer(y, U64)
@@ -243,90 +260,112 @@ def _linked(share: int):
     return run
 
 
+def _tokens(wanted: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """node, tokens of the wanted classes (node, rep), from the text of the representative."""
+    sets = docs.join(wanted, docs.doc_id == wanted.rep).select("node", "text").mapInArrow(_sets_of, "node binary, tokens binary")
+    return stored(sets.dropDuplicates(["node"]), name)
+
+
 def _decide(pairs: DataFrame, classes: DataFrame, docs: DataFrame, share: int) -> DataFrame:
     """Links (u, v) between class representatives, of the candidate pairs (a, b)."""
     side = lambda x: classes.select(F.col("node").alias(x), F.col("rep").alias(f"r{x}"), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_near(share), "a binary, b binary, ra long, rb long")
+    fit = 100 * F.least("na", "nb") >= share * F.greatest("na", "nb")
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where(fit).mapInArrow(_near(share), "a binary, b binary, ra long, rb long")
     near = stored(near, "near")
-    wanted = near.select(F.col("a").alias("node"), F.col("ra").alias("rep")).union(near.select("b", "rb")).distinct()
-    sets = docs.join(wanted, docs.doc_id == wanted.rep).select("node", "text").mapInArrow(_sets_of, "node binary, tokens binary")
-    sets = stored(sets.dropDuplicates(["node"]), "sets")
+    sets = _tokens(near.select(F.col("a").alias("node"), F.col("ra").alias("rep")).union(near.select("b", "rb")).distinct(), docs, "near_sets")
     pick = lambda x: sets.select(F.col("node").alias(x), F.col("tokens").alias(f"t{x}"))
     links = near.join(pick("a"), "a").join(pick("b"), "b").select("ra", "rb", "ta", "tb").mapInArrow(_linked(share), "ra long, rb long")
     return stored(links.select(F.col("ra").alias("u"), F.col("rb").alias("v")), "links")
 
 
 def _compare(share: int):
-    """Candidate pairs between two blocks of one large cell, in different components."""
+    """A spanning forest of the links between two blocks of one crowd, decided on the sets."""
 
     def run(rows: pa.Table) -> pa.Table:
-        part, n = rows.column("part").to_numpy(), rows.column("n").to_numpy()
-        component, node = rows.column("component").to_numpy(), rows.column("node").to_pylist()
+        part, n, rep = rows.column("part").to_numpy(), rows.column("n").to_numpy(), rows.column("rep").to_numpy()
         sketches = [np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()]
-        size = min(map(len, sketches))
-        bits = np.stack([fold(s, size) for s in sketches]).view(np.uint64)
+        tokens = [np.frombuffer(x, U64) for x in rows.column("tokens").to_pylist()]
         one = bool((rows.column("i").to_numpy() == rows.column("j").to_numpy())[0])
-        right = np.arange(len(part)) if one else np.flatnonzero(part == 1)
-        a, b = [], []
-        for i in np.arange(len(part)) if one else np.flatnonzero(part == 0):
-            other = right[(component[right] != component[i]) & (100 * np.minimum(n[right], n[i]) >= share * np.maximum(n[right], n[i]))]
-            if one:
-                other = other[other > i]
-            apart = np.bitwise_count(bits[other] ^ bits[i]).sum(1)
-            hit = other[apart <= most_apart(n[other], n[i], share)]
-            a += [node[i]] * len(hit)
-            b += [node[k] for k in hit]
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        del rows
+        # sketches by length; those of longer ones folded to it
+        bits = {k: np.stack([fold(s, k) if len(s) >= k else np.zeros(k, np.uint8) for s in sketches]).view(np.uint64) for k in {*map(len, sketches)}}
+        part = np.zeros(len(n), np.int64) if one else part
+        component, out = np.arange(len(n)), []
+        order = np.argsort(n, kind="stable")
+        for k, i in enumerate(order.tolist()):
+            # partners are as large or larger, up to where the sizes alone rule a link out
+            other = order[k + 1 : np.searchsorted(n[order], n[i] * 100 // share, "right")]
+            other = other[(component[other] != component[i]) & (one | (part[other] != part[i]))]
+            if not len(other):
+                continue
+            mine = bits[len(sketches[i])]
+            near = np.bitwise_count(mine[other] ^ mine[i]).sum(1) <= most_apart(n[other], n[i], share)
+            for j in other[near].tolist():
+                if component[i] != component[j]:
+                    both = np.sort(np.concatenate([tokens[i], tokens[j]]))
+                    inter = int((both[1:] == both[:-1]).sum())
+                    if 100 * inter >= share * (len(both) - inter):
+                        component[component == component[j]] = component[i]
+                        out.append((i, j))
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"u": pa.array(rep[pairs[:, 0]]), "v": pa.array(rep[pairs[:, 1]])})
 
     return run
 
 
+def _crowds(crowd: DataFrame, classes: DataFrame, docs: DataFrame, share: int) -> DataFrame:
+    """Links (u, v) of the classes (cell, node) of large cells."""
+    crowd = crowd.select("cell", "node", F.xxhash64("node").alias("v"))
+    crowd = stored(crowd, "crowd")
+    lead = crowd.groupBy("cell").agg(F.min("v").alias("u"))
+    tied = components(crowd.join(lead, "cell").select("u", "v")).withColumnsRenamed({"node": "v", "component": "crowd"})
+    nodes = crowd.select("node", "v").distinct().join(tied, "v").join(classes, "node").select("crowd", "node", "n", "rep", "sketch")
+    nodes = stored(nodes, "crowds")
+    sets = _tokens(nodes.select("node", "rep"), docs, "crowd_sets")
+    sizes = nodes.groupBy("crowd").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = (
+        nodes.join(sizes, "crowd").join(sets, "node")
+        .withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("crowd", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("part"), "n", "rep", "sketch", "tokens")
+    )
+    return stored(dealt.groupBy("crowd", "i", "j").applyInArrow(_compare(share), "u long, v long"), "crowd_links")
+
+
 def similarity_join(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Membership, links and components of the documents.
 
-    Returns ``members`` (doc_id, n_shingles, class_id), ``links`` (u, v) between class representatives (class_id: the smallest doc_id with
+    Returns ``members`` (doc_id, key: a hash of the text, n_shingles, class_id), ``links`` (u, v) between class representatives (class_id: the smallest doc_id with
     exactly that set), enough of them to connect every pair that links, and ``parts`` (node, component) of the linked classes.
     Null and blank texts have an empty set and are their own class. Repeated rows are members of one class. A null doc_id takes
     no part in links: its class is null. Other columns are ignored. Sets are compared by 64-bit token hashes.
     """
-    spark, docs = documents.sparkSession, columns(documents, "doc_id", "text")
-    seen = stored(docs.mapInArrow(_describe, "doc_id long, n long, node binary, sketch binary, token long"), "sets")
+    docs = columns(documents, "doc_id", "text").withColumn("key", F.xxhash64("text"))
+    seen = stored(docs.mapInArrow(_describe, "doc_id long, key long, n long, node binary, sketch binary, token long"), "sets")
     rows = seen.where("token IS NULL")
-    total, count = rows.agg(F.sum("n"), F.count("*")).first()
+    total = rows.agg(F.sum("n")).first()[0]
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("node", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
     classes = stored(classes, "classes")
-    # at most 1 / FREQUENT times the mean set size
-    often = seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= max(FREQUENT * count, 8)).select("token")
-    frequent = np.sort(np.array([r.token for r in often.toLocalIterator()], np.int64).view(U64))
+    often = seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
+    frequent = np.zeros(FLAGS // 8, np.uint8)
+    for r in often.select(F.col("token").bitwiseAND(FLAGS - 1).alias("place")).distinct().toLocalIterator():  # FLAGS rows at the most
+        frequent[r.place >> 3] |= 1 << (r.place & 7)
     groups = max(16, int((total or 0) * 0.5) // CELLS_A_GROUP)
     packs = docs.where("doc_id IS NOT NULL").mapInArrow(_post(frequent, groups, share), _PACK)
-    met = stored(packs.groupBy("group").applyInArrow(_meet(share), "a binary, b binary, cell long"), "met")
+    met = stored(packs.groupBy("group").applyInArrow(_meet, "a binary, b binary, cell long"), "met")
     pairs = met.where("b IS NOT NULL").select("a", "b").distinct()
     links = _decide(pairs, classes, docs, share)
-    parts = components(links)
     crowd = met.where("b IS NULL").select("cell", F.col("a").alias("node"))
     if not crowd.isEmpty():
-        crowd = crowd.join(classes, "node").join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        crowd = stored(crowd.select("cell", "node", "n", "sketch", "component"), "crowd")
-        open_cells = crowd.groupBy("cell").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        dealt = (
-            crowd.join(open_cells.select("cell", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "cell")
-            .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("part"), "node", "n", "sketch", "component")
-        )
-        more = dealt.groupBy("cell", "i", "j").applyInArrow(_compare(share), "a binary, b binary").distinct()
-        more = _decide(stored(more, "more"), classes, docs, share)
-        if not more.isEmpty():
-            links = links.union(more)
-            parts = components(links)
-    members = rows.join(classes.select("node", "rep"), "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("class_id"))
+        links = links.union(_crowds(crowd, classes, docs, share))
+    parts = components(links)
+    members = rows.join(classes.select("node", "rep"), "node", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("class_id"))
     members = members.withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")))
     return members, links, parts
 
 
 def near_duplicates(documents: DataFrame, share: int = SHARE) -> DataFrame:
-    """A row per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach, its own included)."""
+    """A row per document: doc_id, key, n_shingles, component_id (the smallest doc_id that links reach, its own included)."""
     members, _, parts = similarity_join(documents, share)
     found = members.join(parts.withColumnRenamed("node", "class_id"), "class_id", "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"))
+    return found.select("doc_id", "key", "n_shingles", F.coalesce("component", "class_id").alias("component_id"))
