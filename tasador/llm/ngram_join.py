@@ -260,9 +260,26 @@ def _linked(share: int):
     return run
 
 
+def _flagged(table: np.ndarray):
+    """Rows whose place is set in the table."""
+
+    def run(batches):
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            keep = (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(keep.astype(bool))).select(["doc_id", "text"])
+
+    return run
+
+
 def _tokens(wanted: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     """node, tokens of the wanted classes (node, rep), from the text of the representative."""
-    sets = docs.join(wanted, docs.doc_id == wanted.rep).select("node", "text").mapInArrow(_sets_of, "node binary, tokens binary")
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FLAGS)).cast("int").alias("place")
+    table = np.zeros(FLAGS // 8, np.uint8)
+    for r in wanted.select(place("rep")).distinct().toLocalIterator():  # FLAGS rows at the most
+        table[r.place >> 3] |= 1 << (r.place & 7)
+    few = docs.select("doc_id", "text", place("doc_id")).mapInArrow(_flagged(table), "doc_id long, text string")  # only these are shuffled
+    sets = few.join(wanted, few.doc_id == wanted.rep).select("node", "text").mapInArrow(_sets_of, "node binary, tokens binary")
     return stored(sets.dropDuplicates(["node"]), name)
 
 
