@@ -80,7 +80,7 @@ SQL = {
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
 g AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i+4], ' '))
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' '))
                                       WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS gram FROM w),
 s AS (SELECT w.doc_id, count(gram) AS n FROM w LEFT JOIN g USING (doc_id) GROUP BY w.doc_id),
 met AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
@@ -88,8 +88,8 @@ links AS (SELECT u, v FROM met JOIN s x ON x.doc_id = u JOIN s y ON y.doc_id = v
 reach AS (SELECT doc_id, doc_id AS far FROM s UNION SELECT doc_id, v FROM reach JOIN links ON far = u)
 SELECT s.doc_id, n AS n_shingles, min(far) AS component_id FROM s JOIN reach USING (doc_id) GROUP BY s.doc_id, n""",
     "op3_bit_sliced_top_k": """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(c.e) + 1), i -> q.e[i] * c.e[i])) AS BIGINT) AS score
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(c.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s
 QUALIFY rank <= 20""",
