@@ -22,8 +22,8 @@ KINDS = ("email", "ip", "card", "phone")
 GENERAL = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 #: Words on either side of an entity that may disclose it; characters searched for them.
 WORDS, CHARACTERS = 6, 120
-#: A term discloses an entity if it reveals this part of its information and was seen near it in so many documents.
-DISCLOSED, SUPPORT = 0.9, 3
+#: A term discloses an entity if it reveals this part of its information.
+DISCLOSED = 0.9
 #: Bits of the table that keeps counts to terms seen near entities; a full table only means more counting.
 TABLE = 1 << 22
 
@@ -34,7 +34,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def luhn(digits: str) -> bool:
@@ -145,7 +145,7 @@ def _join(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, (F.col("key") == F.col("other_key")) & F.col("doc_id").eqNullSafe(F.col("other_id")), "left").drop("other_id", "other_key")
 
 
-def personal_data(documents: DataFrame, disclosed: float = DISCLOSED, support: int = SUPPORT) -> DataFrame:
+def personal_data(documents: DataFrame, disclosed: float = DISCLOSED) -> DataFrame:
     """doc_id, key, spans, terms of each document: the patterns' spans (kind, start, end in code points) by kind and start, and the disclosing terms' by start.
 
     Null and empty texts have no spans. Repeated rows get the same spans, and count as documents each; key is a hash of the text that tells rows of one doc_id apart. An
@@ -156,7 +156,7 @@ def personal_data(documents: DataFrame, disclosed: float = DISCLOSED, support: i
     found = stored(docs.mapInArrow(_find, f"doc_id long, key long, spans {_SPAN_SQL}, near {near}"), "entities")
     total = found.count()
     pairs = found.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x.entity.alias("entity"), x.term.alias("term"))))).alias("p")).select("p.*")
-    pairs = stored(pairs.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support), "pairs")
+    pairs = stored(pairs.groupBy("entity", "term").agg(F.count("*").alias("both")), "pairs")
     table = np.zeros(TABLE, bool)
     place = F.col("term").bitwiseAND(TABLE - 1)
     for r in pairs.select(place.alias("place")).distinct().toLocalIterator():  # TABLE rows at the most

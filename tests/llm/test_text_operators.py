@@ -141,6 +141,18 @@ def test_disclosing_terms(spark):
     assert set(clean) == set(range(4)) and "[EMAIL]" in clean[0] and "zanzibar" not in clean[0] and "ann" not in clean[0]
 
 
+def disclosed_words(spark, rows):
+    return {r.doc_id: {rows[r.doc_id][1][s.start : s.end] for s in r.terms} for r in pii.personal_data(documents(spark, rows)).collect()}
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_terms_that_disclose_rare_entities(spark, copies):
+    """An entity in one or two documents has disclosing terms as well; what other documents have too reveals little."""
+    texts = [f"the note of Zanzibar goes to ann@example.org and the others {'again ' * i}" for i in range(copies)] + ["the note of me goes to the others and again"] * 200
+    got = disclosed_words(spark, [*enumerate(texts)])
+    assert all(got[i] == ({"Zanzibar"} if i < copies else set()) for i in got)
+
+
 def test_license_scan_of_awkward_rows(spark):
     got = licenses.license_summary(documents(spark)).collect()
     assert len(got) == len(ROWS)
