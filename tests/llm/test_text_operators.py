@@ -153,6 +153,39 @@ def test_terms_that_disclose_rare_entities(spark, copies):
     assert all(got[i] == ({"Zanzibar"} if i < copies else set()) for i in got)
 
 
+def test_disclosing_terms_anywhere(spark):
+    """Far from the entity, again in the same text, and in a document without it."""
+    far = "and so it goes on with many words about nothing " * 10
+    texts = [f"é Mary {far} ann@example.org {far} mary, mary@example.org and MARY", f"ann@example.org {far} Mary", f"Ann {far} ann@example.org", f"{far} of Mary"] + [far] * 2000
+    rows = [*enumerate(texts)]
+    got = {r.doc_id: [rows[r.doc_id][1][s.start : s.end] for s in r.terms] for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert got[0] == ["é", "Mary", "mary", "MARY"] and got[1] == ["Mary"] and got[2] == ["Ann"] and "Mary" in got[3]
+    assert all(not got[i] for i in range(4, len(rows)))
+
+
+def test_disclosing_terms_by_plain_counts(spark):
+    """Also terms and entities in a large part of all documents."""
+    rng = random.Random(5)
+    names = [f"p{i}@example.org" for i in range(12)] + ["10.0.0.1"] * 20
+    texts = []
+    for i in range(400):
+        some = rng.sample(names, rng.choice([0, 0, 1, 2]))
+        words = [f"Near{n[:2]}" for n in some if rng.random() < 0.9] + [f"w{int(rng.paretovariate(0.4)) % 997}" for _ in range(30)]
+        texts.append(" ".join(rng.sample(words + some, len(words) + len(some))))
+    of = [{w.lower() for w in t.split() if "." not in w} for t in texts]
+    holds = [{w for w in t.split() if "." in w} for t in texts]
+    count = lambda sets, x: sum(x in s for s in sets)
+    risky = set()
+    for e in set(names):
+        n, shared = count(holds, e), {w for h, s in zip(holds, of) if e in h for w in s}
+        for w in shared:
+            both = sum(e in h and w in s for h, s in zip(holds, of))
+            if np.log(both * 400 / (n * (count(of, w) + 0.5))) >= 0.9 * np.log(400 / n):
+                risky.add(w)
+    got = disclosed_words(spark, [*enumerate(texts)])
+    assert risky and {i: {w.lower() for w in s} for i, s in got.items()} == {i: s & risky for i, s in enumerate(of)}
+
+
 def test_license_scan_of_awkward_rows(spark):
     got = licenses.license_summary(documents(spark)).collect()
     assert len(got) == len(ROWS)
