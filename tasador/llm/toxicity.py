@@ -1,7 +1,7 @@
 """Toxicity scores from the nearest labelled examples.
 
-Terms are words and the first four and six bytes of words. From a bounded sample of labelled documents, the terms that go with the label are chosen by a
-chi-square test; each document is its TF-IDF vector over them, with document frequencies counted over all documents. The examples are kept as a block-max inverted index: per
+Terms are words and the first four and six bytes of words. From a bounded sample of labelled documents, the terms that go with the label are chosen so
+that few of them can be expected to go with it by chance, whatever the number of labels; each document is its TF-IDF vector over them, with document frequencies counted over all documents. The examples are kept as a block-max inverted index: per
 term the postings by block of examples and the largest weight in each block. A query adds these maxima up to a bound on the cosine in each block and scores blocks in order of
 the bound until no other block can hold one of the k nearest, which makes the search exact. The neighbours vote with the square of their similarity; isotonic
 regression over the examples (each without itself) turns votes into probabilities.
@@ -19,8 +19,8 @@ from tasador.llm.text import LOWER, NOT_WORD, hash_spans, pieces, spans, utf8
 
 #: Labelled rows that are learned from: those with the smallest hash of doc_id.
 EXAMPLES = 20_000
-#: Terms kept at most (by chi-square); the least chi-square and share of toxic documents of a term.
-TERMS, CHI_SQUARE, SHARE = 4096, 40.0, 0.5
+#: The least share of toxic documents of a term; the part of the chosen terms that may be expected to have it by chance.
+SHARE, CHANCE = 0.5, 0.2
 PREFIXES = (4, 6)
 NEIGHBOURS, BLOCK = 15, 32
 THRESHOLD = 0.7
@@ -61,6 +61,36 @@ def _counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(toxic), pa.array(both - toxic)], names=["term", "toxic", "clean"])
 
 
+def least_toxic(many: dict[int, int], seen: dict[tuple[int, int], int], toxic: int, clean: int) -> list[tuple[int, int]]:
+    """(documents, least toxic documents) of the terms that are chosen.
+
+    ``many``: numbers of terms by the documents that have them; ``seen``: by (toxic, clean) documents. The probability that a term of so many documents has so many toxic ones by chance is
+    hypergeometric. Of all bounds on it, the largest is taken under which the terms expected by chance, counted over all terms, are at most the part CHANCE of those seen.
+    """
+    fact = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, toxic + clean + 1)))])
+    ways = lambda a, b: fact[a] - fact[b] - fact[a - b]
+    tails = {}
+    for d in sorted(many):
+        t = np.arange(max(int(np.ceil(SHARE * d)), d - clean, 1), min(d, toxic) + 1)
+        if len(t):
+            tail = np.exp(ways(toxic, t) + ways(clean, d - t) - ways(toxic + clean, d))
+            tails[d] = t, np.minimum(np.cumsum(tail[::-1])[::-1], 1)
+    found = [(tails[t + c][1][t - tails[t + c][0][0]], k) for (t, c), k in seen.items()]
+    if not found:
+        return []
+    chance, terms_ = np.array(found).T
+    bounds = np.unique(chance) * (1 + 1e-9)
+    expected = np.zeros(len(bounds))
+    for d, (_, tail) in tails.items():
+        expected += many[d] * np.append(0.0, tail[::-1])[np.searchsorted(tail[::-1], bounds, "right")]
+    order = np.argsort(chance)
+    number = np.append(0, np.cumsum(terms_[order]))[np.searchsorted(chance[order], bounds, "right")]
+    good = bounds[expected <= CHANCE * number]
+    if not len(good):
+        return []
+    return [(d, int(t[tail <= good[-1]][0])) for d, (t, tail) in tails.items() if tail[-1] <= good[-1]]
+
+
 def _vectors(chosen: np.ndarray):
     """doc_id, key, places of chosen terms and how often they occur."""
 
@@ -200,6 +230,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, examples: int = EXAMPLES)
     left out, of repeated labels the largest counts. Null and empty texts and texts without any chosen term get the rate of such examples. Without
     any label the score is 0.5. Repeated rows are scored each. Labels, lang, source and doc_id are no input of a score.
     """
+    spark = documents.sparkSession
     docs = columns(documents, "doc_id", "text").withColumn("key", F.xxhash64("text"))
     known = labels.select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = stored(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labels")
@@ -210,16 +241,17 @@ def toxicity(documents: DataFrame, labels: DataFrame, examples: int = EXAMPLES)
     learned = stored(docs.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic"), "examples")
     learned = learned.where("text IS NOT NULL")
     toxic, clean = (x or 0 for x in learned.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
-    t, c = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    n = float(toxic + clean)
-    cross = t * (clean - c) - c * (toxic - t)
-    chi = cross * cross * n / ((t + c) * (n - t - c) * max(toxic, 1) * max(clean, 1))
     counts = learned.repartition(F.xxhash64("doc_id")).mapInArrow(_counts, "term long, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    chosen = counts.withColumn("chi", F.when(t + c < n, chi)).where((F.col("chi") >= CHI_SQUARE) & (t >= SHARE * (t + c)))
-    chosen = np.sort(np.array([r.term for r in chosen.orderBy(F.desc("chi"), "term").limit(TERMS).collect()], np.int64).view(np.uint64))
+    counts = stored(counts.withColumn("documents", F.col("toxic") + F.col("clean")), "counts")
+    many = {r.documents: r.terms for r in counts.groupBy("documents").agg(F.count("*").alias("terms")).collect()}  # at most a row for each example
+    shared = counts.where((F.col("toxic") > 0) & (F.col("toxic") >= SHARE * F.col("documents")))
+    seen = {(r.toxic, r.clean): r.terms for r in shared.groupBy("toxic", "clean").agg(F.count("*").alias("terms")).collect()}  # few: most terms of a mostly toxic use are rare
+    least = spark.createDataFrame(least_toxic(many, seen, int(toxic), int(clean)), "documents long, least long")
+    chosen = shared.join(F.broadcast(least), "documents").where("toxic >= least").select("term").collect()  # some of the terms of toxic examples
+    chosen = np.sort(np.array([r.term for r in chosen], np.int64).view(np.uint64))
     vectors = stored(docs.mapInArrow(_vectors(chosen), "doc_id long, key long, terms array<int>, counts array<int>"), "vectors")
     total = vectors.count()
-    frequency = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect()  # at most TERMS rows
+    frequency = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect()  # a row for each chosen term
     idf = np.full(len(chosen), np.log(1 + total))
     for r in frequency:
         idf[r.term] = np.log((1 + total) / (1 + r["count"])) + 1e-6

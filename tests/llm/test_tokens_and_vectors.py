@@ -205,6 +205,24 @@ def test_toxicity_on_held_out_labels(spark):
     assert precision >= 0.9 and recall >= 0.75 and order >= 0.85
 
 
+@pytest.mark.parametrize("sf,least_recall,least_order", [("sf0.001", 0.4, 0.7), ("sf0.01", 0.75, 0.9)])
+def test_toxicity_of_few_labels(spark, sf, least_recall, least_order):
+    """Terms are chosen from a few dozen labels as well."""
+    from measures import scores
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet") for name in ("documents", "labels"))
+    got = toxicity.toxicity(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").where("held_out").collect()
+    precision, recall, order = scores([(r.score, r.toxic) for r in got], 0.7)
+    assert precision >= 0.9 and recall >= least_recall and order >= least_order
+
+
+def test_terms_go_with_the_label_by_more_than_chance():
+    """Three toxic documents of three are much among 52 labels, and as chance has it among many rare terms."""
+    assert toxicity.least_toxic({3: 300, 2: 1500}, {(3, 0): 9, (2, 0): 10, (2, 1): 4}, 6, 46) == [(3, 3)]
+    assert toxicity.least_toxic({3: 9000, 2: 1500}, {(3, 0): 9, (2, 0): 10}, 6, 46) == []
+    assert toxicity.least_toxic({1: 5}, {}, 0, 52) == toxicity.least_toxic({}, {}, 0, 0) == []
+
+
 def test_toxicity_of_awkward_rows_and_without_labels(spark):
     labels = spark.createDataFrame([(10, 1), (11, None), (None, 1), (1, 0), (1, 0)], "doc_id long, toxic int")
     for known in (labels, labels.where("false")):
