@@ -1,8 +1,8 @@
 """License scan by diagonal voting.
 
 Hashes of all word pairs of all documents are joined to the word pairs of license templates. A match at document place p and template place t votes for the diagonal
-p - t: the template would begin there. Neighbouring diagonals, as missing or added words make them, are merged, and a merged span is kept if enough of the template's pairs
-are in it within a bounded stretch.
+p - t: the template would begin there. Neighbouring diagonals, as missing or added words make them, are chained. A chain of bounded length is one span; in a longer one, the
+best bounded stretches are spans. A span is kept if enough of the template's pairs are in it.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasador.llm.scratch import columns, ship, stored
@@ -78,6 +78,54 @@ def _rolling(batches):
         number += n
 
 
+def stretches(votes: list[tuple[int, int]], pairs: int, words: int):
+    """(first place, last place, pairs in it) of the spans among the (diagonal, place in the document) of one document and template, in time linear in the sorted votes."""
+    longest, chains = STRETCH * words + NEAR - 2, []
+    for diagonal, at in sorted(votes):
+        if not chains or diagonal - chains[-1][-1][1] > NEAR:
+            chains.append([])
+        chains[-1].append((at, diagonal))
+    for chain in chains:
+        chain.sort()
+        if chain[-1][0] - chain[0][0] <= longest:
+            places = len({at - d for at, d in chain})
+            if places >= ENOUGH * pairs:
+                yield chain[0][0], chain[-1][0], places
+            continue
+        i = j = 0
+        inside, best, limit, after = {}, None, 0, 0
+        while j < len(chain) or best:
+            if best and (j == len(chain) or chain[j][0] > limit):
+                yield best
+                inside, best, i, j = {}, None, after, after
+                continue
+            at, d = chain[j]
+            j += 1
+            inside[at - d] = inside.get(at - d, 0) + 1
+            # what is too far back goes, and what stands again further on
+            while at - chain[i][0] > longest or inside[chain[i][0] - chain[i][1]] > 1:
+                inside[chain[i][0] - chain[i][1]] -= 1
+                if not inside[chain[i][0] - chain[i][1]]:
+                    del inside[chain[i][0] - chain[i][1]]
+                i += 1
+            if len(inside) >= ENOUGH * pairs and (not best or len(inside) > best[2]):
+                limit = limit if best else chain[i][0] + longest
+                best, after = (chain[i][0], at, len(inside)), j
+
+
+def _verify(batches):
+    """row, label, exact, first_word, last_word, score of each span."""
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            for lo, hi, n in stretches([(v["diagonal"], v["at"]) for v in r["votes"]], r["pairs"], r["words"]):
+                out.append({"row": r["row"], "label": r["label"], "exact": False, "first_word": lo, "last_word": hi + 1, "score": n / r["pairs"]})
+        yield pa.RecordBatch.from_pylist(out, _FOUND)
+
+
+_FOUND = pa.schema([("row", pa.int64()), ("label", pa.string()), ("exact", pa.bool_()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("score", pa.float64())])
+
+
 def scan(documents: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> tuple[DataFrame, DataFrame]:
     """(rows, found). rows: row, doc_id, n_words of each document. found: row, label, exact, first_word, last_word, score of each span, where score is
     the part of the template's pairs in the span, and exact spans are the phrases' places. Words are numbered from 0.
@@ -92,18 +140,13 @@ def scan(documents: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> tuple[Da
     met = stored(met.select("row", "doc_id", "at", "template", "label", "place", "pairs", "words", "exact"), "votes")
     rows = met.where("template IS NULL").select("row", "doc_id", F.col("at").cast("long").alias("n_words"))
     votes = met.where("template IS NOT NULL").withColumn("diagonal", F.col("at") - F.col("place"))
-    voted = votes.groupBy("row", "template", "label", "pairs", "words", "exact", "diagonal").agg(
-        F.expr("bit_or(shiftleft(1L, place))").alias("places"), F.min("at").alias("lo"), F.max("at").alias("hi"))
-    exact = voted.where(F.col("exact") & (F.bit_count("places") == F.col("pairs")))
-    exact = exact.select("row", "label", "exact", F.col("lo").cast("long").alias("first_word"), (F.col("hi") + 1).cast("long").alias("last_word"), F.lit(1.0).alias("score"))
-    of = Window.partitionBy("row", "template").orderBy("diagonal")
-    gap = F.col("diagonal") - F.lag("diagonal").over(of)
-    loose = voted.where(~F.col("exact")).withColumn("new", F.coalesce((gap > NEAR).cast("int"), F.lit(1))).withColumn("span", F.sum("new").over(of))
-    merged = loose.groupBy("row", "template", "label", "pairs", "words", "span").agg(F.bit_or("places").alias("places"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    score = F.bit_count("places") / F.col("pairs")
-    fits = F.col("hi") + 2 - F.col("lo") <= STRETCH * F.col("words") + NEAR
-    merged = merged.withColumn("score", score).where(fits & (F.col("score") >= ENOUGH))
-    merged = merged.select("row", "label", F.lit(False).alias("exact"), F.col("lo").cast("long").alias("first_word"), (F.col("hi") + 1).cast("long").alias("last_word"), "score")
+    # a diagonal has each place of a template once at most
+    exact = votes.where("exact").groupBy("row", "template", "label", "pairs", "diagonal").agg(F.count("*").alias("places"), F.min("at").alias("lo"), F.max("at").alias("hi"))
+    exact = exact.where("places = pairs")
+    exact = exact.select("row", "label", F.lit(True).alias("exact"), F.col("lo").cast("long").alias("first_word"), (F.col("hi") + 1).cast("long").alias("last_word"), F.lit(1.0).alias("score"))
+    loose = votes.where(~F.col("exact")).groupBy("row", "label", "template", "pairs", "words").agg(F.collect_list(F.struct("diagonal", "at")).alias("votes"))
+    loose = loose.where(F.size("votes") >= ENOUGH * F.col("pairs"))
+    merged = loose.mapInArrow(_verify, "row long, label string, exact boolean, first_word long, last_word long, score double")
     return rows, exact.union(merged)
 
 

@@ -202,6 +202,18 @@ def test_license_templates_with_gaps(spark):
     assert got[1].labels == "mit" and got[1].base_labels == "" and got[2].labels == "" and got[3].labels == "cc-by-nc"
 
 
+def test_license_stretches_of_long_chains(spark):
+    """Words of a template that go on after it do not hide it, and a template may have more words than a number has bits."""
+    rows = [(1, "licensed under cc by sa 4 0 4 0 4 0 4 0 4 0"), (2, "released under the mit license mit license mit license mit license"), (3, "4 0 " * 30)]
+    rows.append((4, " ".join(["licensed under cc by sa 4 0" + " 4 0" * 9] * 2)))
+    of = {r.row: r.doc_id for r in licenses.scan(documents(spark, rows))[0].collect()}
+    found = sorted((of[r.row], r.label, r.first_word, r.last_word, r.score) for r in licenses.scan(documents(spark, rows), phrases=())[1].collect())
+    assert found == [(1, "cc-by-sa", 0, 6, 1.0), (2, "mit", 0, 4, 1.0), (4, "cc-by-sa", 0, 6, 1.0), (4, "cc-by-sa", 25, 31, 1.0)]
+    text = " ".join(f"word{i}" for i in range(300))
+    found = licenses.scan(documents(spark, [(1, "x " + text + " y")]), phrases=((text, "phrase"),), templates=((text, "whole"),))[1].collect()
+    assert sorted((r.label, r.exact, r.first_word, r.last_word, r.score) for r in found) == [("phrase", True, 1, 300, 1.0), ("whole", False, 1, 300, 1.0)]
+
+
 @pytest.mark.parametrize("run", [ngram_join.near_duplicates, suffix_dedup.repeat_summary, pii.personal_data_summary, licenses.license_summary])
 def test_empty_tables(spark, run):
     assert run(documents(spark, [])).collect() == []
