@@ -13,6 +13,7 @@ from tasador.llm.ngram_join import near_duplicates
 from tasador.llm.packing import pack_documents
 from tasador.llm.permutation_search import nearest
 from tasador.llm.pii import personal_data_summary
+from tasador.llm.resampling import resample
 from tasador.llm.scratch import table
 from tasador.llm.sharding import shard_documents
 from tasador.llm.suffix_dedup import repeat_summary
@@ -72,7 +73,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-OPERATORS = (op1_ngram_jaccard_join, op2_toxicity, op3_bit_sliced_top_k, op4_byte_bpe, op5_permutation_index, op6_best_fit_packing, op7_pii, op8_suffix_array_dedup, op9_license_scan, op10_sharding)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the benchmark texts."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OPERATORS = (op1_ngram_jaccard_join, op2_toxicity, op3_bit_sliced_top_k, op4_byte_bpe, op5_permutation_index, op6_best_fit_packing, op7_pii, op8_suffix_array_dedup, op9_license_scan, op10_sharding, op11_importance_resampling)
 QUERIES = {f.__name__: f for f in OPERATORS}
 
 SQL = {
@@ -93,4 +99,28 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(
       FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s
 QUALIFY rank <= 20""",
+    "op11_importance_resampling": r"""
+WITH tab AS (SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) r(i)),
+w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+v AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+own AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(words) AS word FROM w) GROUP BY ALL),
+far AS (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM v) GROUP BY word),
+spelled AS (SELECT word, hex(word) AS h FROM (SELECT word FROM own UNION SELECT word FROM far)),
+hashed AS (
+  SELECT word, xor(list_reduce(list_transform(range(1, len(h) // 2 + 1), lambda k: CAST('0x' || substr(h, 2 * k - 1, 2) AS BIGINT)),
+                               lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) % 10000 AS bucket FROM spelled, tab),
+s AS (SELECT bucket, sum(n)::DOUBLE AS s FROM own JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n)::DOUBLE AS t FROM far JOIN hashed USING (word) GROUP BY bucket),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000) / ((s + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)))) AS BIGINT) AS g
+  FROM s LEFT JOIN t USING (bucket)),
+weighed AS (SELECT doc_id, sum(n) AS n, sum(n * g) AS weight FROM own JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || w.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM w LEFT JOIN weighed USING (doc_id)),
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored LEFT JOIN placed USING (doc_id)""",
 }
