@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tasador.llm.bit_search import top_k
 from tasador.llm.byte_bpe import encode_decode
+from tasador.llm.hard_negatives import hard_negatives
 from tasador.llm.licenses import license_summary
 from tasador.llm.ngram_join import near_duplicates
 from tasador.llm.packing import pack_documents
@@ -78,7 +79,13 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
 
 
-OPERATORS = (op1_ngram_jaccard_join, op2_toxicity, op3_bit_sliced_top_k, op4_byte_bpe, op5_permutation_index, op6_best_fit_packing, op7_pii, op8_suffix_array_dedup, op9_license_scan, op10_sharding, op11_importance_resampling)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive; rows whose vec_id is divisible by 7 take the next of ten labels first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved)).drop("anchor")
+
+
+OPERATORS = (op1_ngram_jaccard_join, op2_toxicity, op3_bit_sliced_top_k, op4_byte_bpe, op5_permutation_index, op6_best_fit_packing, op7_pii, op8_suffix_array_dedup, op9_license_scan, op10_sharding, op11_importance_resampling, op13_hard_negatives)
 QUERIES = {f.__name__: f for f in OPERATORS}
 
 SQL = {
@@ -123,4 +130,14 @@ scored AS (
   FROM w LEFT JOIN weighed USING (doc_id)),
 placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored LEFT JOIN placed USING (doc_id)""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, CAST(list_sum(list_transform(range(1, len(c.e) + 1), lambda i: a.e[i] * c.e[i])) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5""",
 }
