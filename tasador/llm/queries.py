@@ -10,6 +10,7 @@ from tasador.llm.bit_search import top_k
 from tasador.llm.byte_bpe import encode_decode
 from tasador.llm.hard_negatives import hard_negatives
 from tasador.llm.licenses import license_summary
+from tasador.llm.line_quality import quality
 from tasador.llm.ngram_join import near_duplicates
 from tasador.llm.packing import pack_documents
 from tasador.llm.permutation_search import nearest
@@ -79,13 +80,18 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from the labels of its lines, learned from the document labels that are not held out."""
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("key")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every anchor and positive; rows whose vec_id is divisible by 7 take the next of ten labels first."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved)).drop("anchor")
 
 
-OPERATORS = (op1_ngram_jaccard_join, op2_toxicity, op3_bit_sliced_top_k, op4_byte_bpe, op5_permutation_index, op6_best_fit_packing, op7_pii, op8_suffix_array_dedup, op9_license_scan, op10_sharding, op11_importance_resampling, op13_hard_negatives)
+OPERATORS = (op1_ngram_jaccard_join, op2_toxicity, op3_bit_sliced_top_k, op4_byte_bpe, op5_permutation_index, op6_best_fit_packing, op7_pii, op8_suffix_array_dedup, op9_license_scan, op10_sharding, op11_importance_resampling, op12_line_quality, op13_hard_negatives)
 QUERIES = {f.__name__: f for f in OPERATORS}
 
 SQL = {
