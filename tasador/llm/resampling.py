@@ -159,8 +159,8 @@ def top_ranks(rows: DataFrame, draw: int, per_segment: int = ROWS, most: int = S
         place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the run
         sampled = rows.select(*ORDER).sortWithinPartitions(*ORDER).withColumn("place", place).where(F.col("place") % stride == stride // 2).drop("place")
         sampled = stored(sampled, "samples")
-        step, at = F.lit(number / max(sampled.count(), 1)), F.row_number().over(Window.orderBy(*ORDER))
-        marked = sampled.withColumn("at", at).where(F.floor(F.col("at") * step) > F.floor((F.col("at") - 1) * step)).orderBy(*ORDER)
+        upto = F.floor(F.row_number().over(Window.orderBy(*ORDER)).cast("long") * number / F.lit(max(sampled.count(), 1)))  # shares of the samples up to each
+        marked = sampled.withColumn("upto", upto).where(F.col("upto") < number).groupBy("upto").agg(F.min(F.struct(*ORDER)).alias("first")).where("upto > 0").orderBy("upto").select("first.*")
         splitters = np.array([tuple(r[c] for c in ORDER) for r in marked.collect()], np.int64).reshape(-1, len(ORDER))  # at most one for each segment
     dealt = rows.mapInArrow(_segments(splitters), T.StructType([*rows.schema.fields, T.StructField("segment", T.IntegerType())]))
     counts = dict(dealt.groupBy("segment").count().collect())
