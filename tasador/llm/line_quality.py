@@ -2,7 +2,8 @@
 
 A line is described by binned shares and counts (case, punctuation, repeated words, symbols, lengths, a copy of the line in the same document), and sees those of the line before and the line
 after it. Labels exist for documents only, so the field learns from "all lines are good" for good documents and "not all lines are good" for bad ones: the likelihood of either
-follows from the same forward sums. Forward and backward sums of all documents of a batch are computed at once, by doubling. A document's raw quality is the mean of its lines' marginals, each weighted
+follows from the same forward sums. That alone leaves open which lines are bad, so a second, piecewise term asks each line's own features for its document's label: features that only bad
+documents have then speak against the lines that have them, and lines of any document stay good. Forward and backward sums of all documents of a batch are computed at once, by doubling. A document's raw quality is the mean of its lines' marginals, each weighted
 by its length; a logistic curve over the labelled documents turns it into a probability.
 """
 
@@ -150,6 +151,16 @@ class Chains:
         _, forward, backward, total = self.sums(w)
         return np.exp(np.minimum(forward[:, 1] + backward[:, 1] - total[self.doc], 0))
 
+    def pieces(self, w: np.ndarray, good: np.ndarray, sizes: np.ndarray) -> tuple[float, np.ndarray]:
+        """Log likelihood of each line's document label by the line's own features, a mean over the bytes of the document, and its gradient."""
+        own = np.clip(w[BIAS] + _sums(w, self.places, 0), -500, 500)
+        part, target = sizes / np.bincount(self.doc, sizes, self.docs)[self.doc], good[self.doc]
+        value = -(part * np.log1p(np.exp(np.where(target, -own, own)))).sum()
+        by_line, gradient = part * (target - 1 / (1 + np.exp(-own))), np.zeros(PARAMETERS)
+        gradient[:TABLE] = np.bincount(self.places.ravel(), np.repeat(by_line, FEATURES), TABLE)
+        gradient[BIAS] = by_line.sum()
+        return float(value), gradient
+
     def likelihood(self, w: np.ndarray, good: np.ndarray) -> tuple[float, np.ndarray]:
         """Log likelihood of the documents' labels, and its gradient. ``good``: label of each document."""
         odds, forward, backward, total = self.sums(w)
@@ -217,14 +228,19 @@ def _chains(bins: pa.Array) -> tuple[Chains, np.ndarray]:
     return Chains(flat, np.repeat(np.arange(len(some)), lines[some]), len(some)), some
 
 
+def _sizes(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("sizes").to_pylist()), "<i4")
+
+
 def _learn(w: np.ndarray):
     def run(batches):
         value, gradient = 0.0, np.zeros(PARAMETERS)
         for batch in batches:
             chains, some = _chains(batch.column("bins"))
             if len(some):
-                v, g = chains.likelihood(w, batch.column("good").to_numpy()[some] == 1)
-                value, gradient = value + v, gradient + g
+                good, sizes = batch.column("good").to_numpy()[some] == 1, _sizes(batch)
+                for v, g in (chains.likelihood(w, good), chains.pieces(w, good, sizes)):
+                    value, gradient = value + v, gradient + g
         yield pa.RecordBatch.from_arrays([pa.array([value]), pa.array([gradient.tobytes()], pa.binary())], names=["value", "gradient"])
 
     return run
@@ -309,8 +325,7 @@ def learn(documents: DataFrame, labels: DataFrame, examples: int = EXAMPLES, rou
         for batch in batches:
             chains, some = _chains(batch.column("bins"))
             if len(some):
-                sizes = np.frombuffer(b"".join(batch.column("sizes").to_pylist()), "<i4")
-                value = raw_quality(chains.marginals(weights), sizes, chains.doc, chains.docs)
+                value = raw_quality(chains.marginals(weights), _sizes(batch), chains.doc, chains.docs)
                 yield pa.RecordBatch.from_arrays([pa.array(value), batch.column("good").take(pa.array(some))], names=["raw", "good"])
 
     found = packed.mapInArrow(raw, "raw double, good int").collect()  # at most ``examples`` pairs of numbers
