@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCols
 from pyspark.ml.util import (
@@ -153,7 +152,7 @@ def known_category(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN))
 
 
-def _merged(parts: Column) -> tuple[Column, Column, Column]:
+def merged_parts(parts: Column) -> tuple[Column, Column, Column]:
     """Rows, mean and sum of squared deviations over an array of parts that hold the same."""
     n = F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, q: a + q["n"])
     total = F.aggregate(parts, F.lit(0.0), lambda a, q: a + q["n"] * q["mean"])
@@ -161,9 +160,9 @@ def _merged(parts: Column) -> tuple[Column, Column, Column]:
     return n, mean, F.aggregate(parts, F.lit(0.0), lambda a, q: a + q["m2"] + q["n"] * (q["mean"] - mean) * (q["mean"] - mean))
 
 
-def _encoding(parts: Column, mean: Column, variance: Column) -> Column:
+def encoding_of(parts: Column, mean: Column, variance: Column) -> Column:
     """Mean of a category drawn towards the overall mean, the more the noisier the category is."""
-    n, own, squares = _merged(parts)
+    n, own, squares = merged_parts(parts)
     trust = F.try_divide(variance * n, variance * n + F.try_divide(squares, n))
     return F.coalesce(trust * own + (1 - trust) * mean, mean)
 
@@ -214,17 +213,17 @@ class FoldTargetEncoder(Estimator, _EncoderParams, _Saved):
 
         def without(p: Column) -> Column:
             others = F.filter("parts", lambda q: q["fold"] != p["fold"])
-            encoding = _encoding(others, mean[p["fold"]], variance[p["fold"]])
+            encoding = encoding_of(others, mean[p["fold"]], variance[p["fold"]])
             return F.struct(p["fold"].alias("fold"), p["n"].alias("n"), encoding.alias("encoding"))
 
         of_all = F.struct(
-            F.lit(-1).alias("fold"), _merged(F.col("parts"))[0].alias("n"),
-            _encoding(F.col("parts"), mean[-1], variance[-1]).alias("encoding"),
+            F.lit(-1).alias("fold"), merged_parts(F.col("parts"))[0].alias("n"),
+            encoding_of(F.col("parts"), mean[-1], variance[-1]).alias("encoding"),
         )
         folds = F.filter("parts", lambda p: p["fold"] >= 0)
         entries = whole.select("column", "category", F.inline(F.concat(F.array(of_all), F.transform(folds, without))))
         table = durable(
-            entries.select("column", _key(F.col("fold"), F.col("category")).alias("_key"), "n", "encoding"), "encodings"
+            entries.select("column", encoding_key(F.col("fold"), F.col("category")).alias("_key"), "n", "encoding"), "encodings"
         )
         sizes = {r[0]: r[1] for r in table.groupBy("column").count().collect()}
         model = FoldTargetEncoderModel(
@@ -235,7 +234,7 @@ class FoldTargetEncoder(Estimator, _EncoderParams, _Saved):
         return self._copyValues(model)
 
 
-def _key(fold: Column, category: Column) -> Column:
+def encoding_key(fold: Column, category: Column) -> Column:
     return F.concat(fold.cast("string"), F.lit(":"), category)
 
 
@@ -297,7 +296,7 @@ class FoldTargetEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
         means = F.create_map(*[F.lit(v) for f, m in zip(known, self.getOrDefault("means")) for v in (f, m)])
         for (column, out), rows in zip(self._columns(), self.getOrDefault("sizes")):
             encodings = self.table.where(F.col("column") == column).select("_key", "n", "encoding")
-            keyed = dataset.withColumn("_key", _key(fold, known_category(column)))
+            keyed = dataset.withColumn("_key", encoding_key(fold, known_category(column)))
             joined = lookup(keyed, encodings, "_key", "n", rows=rows)
             dataset = joined.withColumn(out, F.coalesce("encoding", means[fold])).drop("_key", "encoding")
         return dataset
@@ -317,31 +316,14 @@ def feature_roles(df: DataFrame, label: str) -> tuple[list[str], list[str], list
     return numeric_columns(df, skip), [c for c in texts if c not in HIGH_CARDINALITY], [c for c in HIGH_CARDINALITY if c in texts]
 
 
-def preprocessor(df: DataFrame, label: str = "price_usd") -> Pipeline:
-    """Unfitted preprocessing for the columns of ``df``; the vector column is ``features``.
+def preprocessor(df: DataFrame, label: str = "price_usd") -> Estimator:
+    """Unfitted preprocessing for the columns of the frame it is fitted on; the vector column is ``features``.
 
     Block order and names: ``num__<column>``, ``cat_low__<column>_<value>``, ``cat_high__<column>``.
     """
-    numbers, low, high = feature_roles(df, label)
-    stages, parts = [], []
-    if numbers:
-        outs = [f"num__{c}" for c in numbers]
-        stages.append(NumericBlock(inputCols=numbers, outputCols=outs))
-        parts += outs
-    if low:
-        filled, labels, index, outs = ([f"{p}{c}" for c in low] for p in ("_filled_", "_label_", "_index_", "cat_low__"))
-        stages += [
-            ModeImputer(inputCols=low, outputCols=filled),
-            CategoryLabels(inputCols=filled, outputCols=labels),
-            StringIndexer(inputCols=labels, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"),
-            OneHotEncoder(inputCols=index, outputCols=outs, dropLast=True),
-        ]
-        parts += outs
-    if high:
-        outs = [f"cat_high__{c}" for c in high]
-        stages.append(FoldTargetEncoder(inputCols=high, outputCols=outs, labelCol=label))
-        parts += outs
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=parts, outputCol="features")])
+    from tasador.operators.fold_statistics import Preprocessor  # which uses the stages of this module
+
+    return Preprocessor(label)
 
 
 def encode(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasador.operators.encode import feature_names
+from tasador.operators.leafwise import LeafwiseBoosting
 
 # Penalties, tree counts, depths, seed.
 SEED = 42
@@ -23,7 +24,7 @@ RIDGE_ALPHA = 1.0
 LASSO_ALPHA = 0.1
 FOREST_TREES, FOREST_DEPTH = 50, 15
 GRADIENT_ROUNDS, GRADIENT_DEPTH, GRADIENT_RATE = 100, 3, 0.1
-BOOSTED_ROUNDS, BOOSTED_DEPTH, BOOSTED_LEAF_ROWS = 200, 5, 20
+BOOSTED_ROUNDS, BOOSTED_LEAVES, BOOSTED_LEAF_ROWS = 200, 31, 20
 
 #: Split candidates of a column; more bins give finer splits at a higher cost. An argument of every tree model.
 MAX_BINS = 64
@@ -184,9 +185,9 @@ def gradient_boosting(
     )
 
 
-def boosted(label: str, bins: int = MAX_BINS) -> GBTRegressor:
-    """Stands in for leaf-wise boosting with 31 leaves: more rounds of deeper trees, no tiny leaves."""
-    return gradient_boosting(label, BOOSTED_ROUNDS, BOOSTED_DEPTH, bins=bins).setMinInstancesPerNode(BOOSTED_LEAF_ROWS)
+def boosted(label: str, rounds: int = BOOSTED_ROUNDS, leaves: int = BOOSTED_LEAVES, leaf_rows: int = BOOSTED_LEAF_ROWS, bins: int = MAX_BINS) -> LeafwiseBoosting:
+    """Leaf-wise boosting: no bound on the depth, but on the leaves of a tree and the rows of a leaf."""
+    return LeafwiseBoosting(labelCol=label, rounds=rounds, leaves=leaves, leafRows=leaf_rows, bins=bins, rate=GRADIENT_RATE)
 
 
 def catalogue(kind: str = "full", label: str = "price_usd", bins: int = MAX_BINS, leaf_rows: int = 1) -> dict[str, Estimator]:
@@ -198,7 +199,7 @@ def catalogue(kind: str = "full", label: str = "price_usd", bins: int = MAX_BINS
             "Ridge": Ridge(alpha=RIDGE_ALPHA, labelCol=label),
             "Lasso": lasso(label),
             "Random Forest": random_forest(label, bins=bins),
-            "Boosted Trees": boosted(label, bins),
+            "Boosted Trees": boosted(label, bins=min(bins, 256)),
         },
         "trainer": lambda: {
             "Linear Regression": linear(label),

@@ -37,18 +37,22 @@ def _blend(low_value: float, high_value: float, low: int, position: float) -> fl
 
 
 def exact_quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], exact_rows: int = EXACT_ROWS
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], exact_rows: int = EXACT_ROWS, sizes: Sequence[int] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Quantiles of whole columns. Only scalars reach the driver; missing values are left out."""
+    """Quantiles of whole columns. Only scalars reach the driver; missing values are left out.
+
+    ``sizes`` has the present values of each column if they have been counted before, for a frame that is cheap to read again: it is not kept then, and columns of few rows take one pass.
+    """
     names = list(wanted)
     values = df.select(
         *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(names)]
     )
-    cached = df.is_cached
+    cached = df.is_cached or sizes is not None
     if not cached:
         values.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes = values.agg(*[F.count(c) for c in values.columns]).first()
+        if sizes is None:
+            sizes = values.agg(*[F.count(c) for c in values.columns]).first()
         found: dict[str, list[float | None]] = {c: [None] * len(wanted[c]) for c in names}
         small = [i for i in range(len(names)) if 0 < sizes[i] <= exact_rows]
         if small:

@@ -11,15 +11,16 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
 
 from tasador.operators.clean import drop_columns, drop_missing
-from tasador.operators.encode import INNER_FOLD, encode, preprocessor
-from tasador.operators.evaluate import cross_validate, metrics, prediction_pairs, summarise_folds
+from tasador.operators.encode import encode
+from tasador.operators.evaluate import cross_validate, mark_folds, metrics, prediction_pairs, summarise_folds
+from tasador.operators.fold_statistics import ALL, learn_sets
 from tasador.operators.models import catalogue, hyperparameters, importance
 from tasador.operators.profile import density, histogram, scatter
 from tasador.operators.reports import (
     best_model, comparison, exploration_document, importance_frame, report_lines, top_groups, write_csv, write_document,
     write_lines,
 )
-from tasador.operators.sample import FOLDS, add_inner_fold, random_sample, train_test
+from tasador.operators.sample import FOLDS, random_sample, train_test
 from tasador.operators.scoring import save_model
 from tasador.session import durable
 from tasador.sources.listing_store import ListingStore
@@ -62,15 +63,16 @@ def compare_models(
 ) -> Comparison:
     """Cross-validate on the training part, refit on all of it, score train and test rows.
 
-    Preprocessing is learned once per fold and once for the final fit, and shared by all models.
+    Preprocessing is learned once, for all folds and the final fit together, and shared by all models.
     """
     models = models or catalogue("full", target)
     spark = rows.sparkSession
     train, test = train_test(rows, identity=identity)
-    by_fold = cross_validate(train, models, target, identity, folds, parallelism=parallelism)
+    marked = mark_folds(train, identity, folds)
+    by_set = learn_sets(marked, target, [*range(folds), ALL])
+    by_fold = cross_validate(train, models, target, identity, folds, parallelism=parallelism, fitted=by_set)
     done = {r["model"] for r in by_fold.select("model").distinct().collect()}
-    marked = add_inner_fold(train, INNER_FOLD, identity=identity)
-    fitted = preprocessor(train, target).fit(marked)
+    fitted = by_set[ALL]
     keep = [identity, target]
     fit_rows = encode(fitted, marked, keep).persist(StorageLevel.MEMORY_AND_DISK)
     train_rows = encode(fitted, train, keep).persist(StorageLevel.MEMORY_AND_DISK)

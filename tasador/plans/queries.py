@@ -949,6 +949,34 @@ SELECT '{_name}' AS model, count(*) AS n, round(1 - sum((price_usd - p) ** 2) /
     )
 
 
+def leafwise_sql(leaves: int, leaf_rows: int) -> str:
+    """The leaves of one tree on rooms and bathrooms, split by split: of all cuts of all leaves the one with the largest gain."""
+    steps = ["""
+mean_price AS (SELECT avg(price_usd) AS m FROM train),
+cells_0 AS (SELECT rooms, bathrooms, count(*) FILTER (u >= 858993459) AS n, coalesce(sum(price_usd - m) FILTER (u >= 858993459), 0) AS s, 0 AS leaf FROM stored, mean_price GROUP BY ALL),
+cuts AS (SELECT DISTINCT 0 AS f, rooms AS c FROM cells_0 UNION SELECT DISTINCT 1, bathrooms FROM cells_0)"""]
+    for k in range(leaves - 1):
+        steps.append(f"""
+sides_{k} AS (SELECT leaf, f, c, sum(n) FILTER (CASE f WHEN 0 THEN rooms ELSE bathrooms END <= c) AS nl, sum(s) FILTER (CASE f WHEN 0 THEN rooms ELSE bathrooms END <= c) AS sl, sum(n) AS n, sum(s) AS s
+              FROM cells_{k}, cuts GROUP BY ALL),
+gains_{k} AS (SELECT leaf, f, c, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM sides_{k} WHERE nl >= {leaf_rows} AND n - nl >= {leaf_rows}),
+best_{k} AS (SELECT leaf, f, c FROM gains_{k}, (SELECT max(gain) AS top FROM gains_{k}) WHERE gain >= top * (1 - 1e-9) ORDER BY leaf, f, c LIMIT 1),
+cells_{k + 1} AS (SELECT rooms, bathrooms, n, s, CASE WHEN (CASE f WHEN 0 THEN rooms ELSE bathrooms END) > c THEN {k + 1} ELSE cells_{k}.leaf END AS leaf
+                 FROM cells_{k} LEFT JOIN best_{k} USING (leaf))""")
+    steps.append(f"leaf_means AS (SELECT leaf, sum(s) / sum(n) AS residual FROM cells_{leaves - 1} GROUP BY leaf)")
+    return ",".join(steps)
+
+
+@query("boosted_leaves", with_clean("""
+SELECT t.id, round(m + 0.1 * residual, 2) AS prediction FROM test t JOIN cells_7 USING (rooms, bathrooms) JOIN leaf_means USING (leaf), mean_price""", leafwise_sql(8, 20)))
+def boosted_leaves(spark, folder):
+    """One leaf-wise tree of eight leaves, which SQL can grow split by split."""
+    whole = [F.col(c).cast("double").alias(c) for c in ("rooms", "bathrooms")]
+    rows = VectorAssembler(inputCols=["rooms", "bathrooms"], outputCol="features").transform(stored(spark, folder).select("id", TARGET, *whole))
+    train, test = sample.train_test(rows)
+    return models.boosted(TARGET, rounds=1, leaves=8).fit(train).transform(test).select("id", rounded("prediction", 2))
+
+
 @query("predictions", with_lines("SELECT model, id, price_usd, round(prediction, 2) AS prediction FROM scored"))
 def predictions(spark, folder):
     return scored_lines(spark, folder).select("model", "id", TARGET, rounded("prediction", 2))
