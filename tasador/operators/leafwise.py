@@ -1,6 +1,7 @@
 """Leaf-wise gradient boosting of squared errors: the open leaf with the largest gain is split next, wherever it lies in the tree.
 
-Rows are binned once; a row is then one byte for each feature. A pass over the rows adds up residuals by open leaf, feature and bin: each task sends its sums, whose size does not depend on
+Rows are binned once; a row is then one byte for each feature, and the rows of a task lie in a few arrays (an RDD of arrays, as a pass is numpy on whole partitions and there are thousands of
+passes). A pass over the rows adds up residuals by open leaf, feature and bin: each task sends its sums, whose size does not depend on
 its rows. Splitting one leaf at a time would take a pass for each split; here a pass serves all leaves that the queue would split if nothing better came up, so that a tree takes about as many
 passes as it is deep. Nodes that turn out not to be among the best are dropped, and the tree is the one that a queue alone gives.
 """
@@ -8,11 +9,12 @@ passes as it is deep. Nodes that turn out not to be among the best are dropped,
 from __future__ import annotations
 
 import heapq
+import sys
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, keyword_only
+from pyspark import RDD, StorageLevel, cloudpickle, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
@@ -22,13 +24,16 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasador.session import durable
+from tasador.session import durable, shared_folder
+
+# tasks of any cluster get the functions of this module with their work
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rounds, learning rate, leaves of a tree, least rows of a leaf.
 ROUNDS, RATE, LEAVES, LEAF_ROWS = 200, 0.1, 31, 20
 #: Bins of a feature (at most 256), accuracy of the quantiles that bound them.
 BINS, ACCURACY = 64, 10_000
-#: Rows that one task should have at least; rounds after which the predictions so far are stored; bytes of sums that are sent straight to the driver.
+#: Rows that one task should have at least; rounds after which the rows are checkpointed; bytes of sums that are sent straight to the driver.
 TASK_ROWS, KEEP, DIRECT = 65_536, 20, 32 << 20
 #: Gains whose parts differ by less are equal, and the smaller feature and bin decide.
 SAME = 1e-9
@@ -45,6 +50,7 @@ class Node:
     bin: int = -1
     left_total: float = 0.0
     left_rows: int = 0
+    parent: int = -1
     children: tuple[int, int] | None = None
 
 
@@ -98,54 +104,67 @@ def queue(nodes: list[Node], leaves: int) -> tuple[list[int], list[int]]:
     return split, unknown
 
 
-def _sums_of(state: DataFrame, tasks: int, trees: list, tree: tuple, slots: np.ndarray, size: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
-    """Residuals and rows by leaf, feature and bin. ``trees``: those not yet in the stored predictions; ``tree``: the growing one; ``slots``: number of a node among the open leaves, or -1."""
-    cells = int(slots.max()) + 1
-    shape = (cells, size, bins)
-
-    def leaf_of(tree: tuple, x: np.ndarray) -> np.ndarray:
-        feature, cut, left, right = tree[:4]
-        at, every = np.zeros(len(x), np.int64), np.arange(len(x))
-        while len(every):
-            every = every[left[at[every]] >= 0]
-            k = at[every]
-            at[every] = np.where(x[every, feature[k]] <= cut[k], left[k], right[k])
-        return at
-
-    def run(batches):
-        total, rows = np.zeros(cells * size * bins), np.zeros(cells * size * bins)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            packed = batch.column("bins")
-            x = np.frombuffer(packed.buffers()[2], np.uint8)[packed.offset * size : (packed.offset + len(packed)) * size].reshape(-1, size)
-            residual = batch.column("y").to_numpy() - batch.column("f").to_numpy()
-            for t in trees:
-                residual = residual - t[4][leaf_of(t, x)]
-            slot = slots[leaf_of(tree, x)]
+def _leaf_of(tree: tuple, x: np.ndarray) -> np.ndarray:
+    """The leaf of each binned row."""
+    feature, cut, left, right = tree[:4]
+    at, every = np.zeros(len(x), np.int64), np.arange(len(x))
+    while len(every):
+        every = every[left[at[every]] >= 0]
+        k = at[every]
+        at[every] = np.where(x[every, feature[k]] <= cut[k], left[k], right[k])
+    return at
+
+
+def _sums_of(state: RDD, tasks: int, tree: tuple, slots: np.ndarray, size: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """Residuals and rows by leaf, feature and bin. ``slots``: number of a node of the growing tree among the open leaves, or -1."""
+    shape = (2, int(slots.max()) + 1, size, bins)
+    def run(parts):
+        cells = shape[1] * size * bins
+        total, rows = np.zeros(cells), np.zeros(cells)
+        for x, residual in parts:
+            slot = slots[_leaf_of(tree, x)]
             some = np.flatnonzero(slot >= 0)
             key = ((slot[some, None] * size + np.arange(size)) * bins + x[some]).ravel()
-            total += np.bincount(key, np.repeat(residual[some], size), len(total))
-            rows += np.bincount(key, minlength=len(rows))
-        for i in range(cells):
-            s = slice(i * size * bins, (i + 1) * size * bins)
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([total[s].tobytes()], pa.binary()), pa.array([rows[s].tobytes()], pa.binary())], names=["leaf", "total", "rows"])
-
-    def add(table: pa.Table) -> pa.Table:
-        parts = [np.sum([np.frombuffer(b) for b in table.column(c).to_pylist()], 0).tobytes() for c in ("total", "rows")]
-        return pa.table({"leaf": table.column("leaf")[:1], "total": pa.array([parts[0]], pa.binary()), "rows": pa.array([parts[1]], pa.binary())})
-
-    kind = "leaf int, total binary, rows binary"
-    found = state.mapInArrow(run, kind)
-    if tasks * cells * size * bins * 16 > DIRECT:
-        found = found.groupBy("leaf").applyInArrow(add, kind)
-    total, rows = np.zeros(shape), np.zeros(shape)
-    for r in found.collect():  # as many numbers as open leaves, features and bins, times the tasks if they are few
-        total[r.leaf] += np.frombuffer(r.total).reshape(shape[1:])
-        rows[r.leaf] += np.frombuffer(r.rows).reshape(shape[1:])
+            total += np.bincount(key, np.repeat(residual[some], size), cells)
+            rows += np.bincount(key, minlength=cells)
+        yield np.concatenate([total, rows])
+
+    found = state.mapPartitions(run)
+    direct = tasks * np.prod(shape) * 8 <= DIRECT
+    total, rows = (np.sum(found.collect(), 0) if direct else found.treeReduce(lambda a, b: a + b)).reshape(shape)  # as many numbers as open leaves, features and bins
     return total, rows
 
 
+def _advanced(state: RDD, tree: tuple) -> RDD:
+    """The rows with a tree taken off their residuals."""
+    return state.map(lambda part: (part[0], part[1] - tree[4][_leaf_of(tree, part[0])]))
+
+
+def _trees_of(x: np.ndarray, residual: np.ndarray, bins: int, rounds: int, rate: float, leaves: int, leaf_rows: int) -> list[tuple]:
+    """All trees of rows that lie in one place; a row's node is kept from pass to pass."""
+    trees, size = [], x.shape[1]
+    while len(trees) < rounds:
+        at, offsets = np.zeros(len(x), np.int64), np.arange(size) * bins
+
+        def sums_of(nodes: list[Node], open_: list[int]):
+            for k in {nodes[k].parent for k in open_ if k}:
+                mine = np.flatnonzero(at == k)
+                at[mine] = np.where(x[mine, nodes[k].feature] <= nodes[k].bin, *nodes[k].children)
+            slots = np.full(len(nodes), -1)
+            slots[open_] = np.arange(len(open_))
+            some = np.flatnonzero(slots[at] >= 0)
+            key = (slots[at[some]][:, None] * (size * bins) + offsets + x[some]).ravel()
+            shape = len(open_), size, bins
+            return tuple(np.bincount(key, w, int(np.prod(shape))).reshape(shape) for w in (np.repeat(residual[some], size), None))
+
+        nodes, split = grow(sums_of, leaves, leaf_rows)
+        trees.append(_arrays(nodes, set(split), rate))
+        residual = residual - trees[-1][4][_leaf_of(trees[-1], x)]
+        if not split:
+            break
+    return trees
+
+
 def _arrays(nodes: list[Node], split: set[int], rate: float) -> tuple:
     """feature, bin, left, right and value of each node; left is -1 in leaves."""
     inner = [k in split and n.children is not None for k, n in enumerate(nodes)]
@@ -180,7 +199,7 @@ def grow(sums_of, leaves: int, leaf_rows: int) -> tuple[list[Node], list[int]]:
         for k in unknown:
             n = nodes[k]
             n.children = len(nodes), len(nodes) + 1
-            nodes += [Node(n.left_total, n.left_rows), Node(n.total - n.left_total, n.rows - n.left_rows)]
+            nodes += [Node(n.left_total, n.left_rows, parent=k), Node(n.total - n.left_total, n.rows - n.left_rows, parent=k)]
             born += n.children
         look(born)
 
@@ -210,55 +229,46 @@ class LeafwiseBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
 
         def to_bins(batches):
             for batch in batches:
-                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-                packed = np.stack([np.searchsorted(e, x[:, i], "left") for i, e in enumerate(edges)], 1).astype(np.uint8) if len(x) else np.zeros((0, size), np.uint8)
-                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in packed], pa.binary()), batch.column("y"), pa.array(np.full(len(x), mean))], names=["bins", "y", "f"])
+                if batch.num_rows:
+                    x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+                    packed = np.stack([np.searchsorted(e, x[:, i], "left") for i, e in enumerate(edges)], 1).astype(np.uint8)
+                    yield pa.RecordBatch.from_arrays([pa.array([packed.tobytes()], pa.binary()), pa.array([(batch.column("y").to_numpy() - mean).tobytes()], pa.binary())], names=["bins", "residual"])
 
         tasks = max(1, -(-n // TASK_ROWS))
-        state = durable(rows.repartition(tasks).mapInArrow(to_bins, "bins binary, y double, f double"), "binned").persist(StorageLevel.MEMORY_AND_DISK)
-        trees, fresh = [], []
+        binned = durable(rows.repartition(tasks).mapInArrow(to_bins, "bins binary, residual binary"), "binned")
+        if tasks == 1:  # one task would serve every pass: it grows all trees, without a job for each pass
+            def whole(rows):
+                parts = [(np.frombuffer(r.bins, np.uint8).reshape(-1, size), np.frombuffer(r.residual)) for r in rows]
+                yield _trees_of(*(np.concatenate(p) for p in zip(*parts)), bins, rounds, rate, leaves, leaf_rows)
+
+            return self._copyValues(_model(binned.coalesce(1).rdd.mapPartitions(whole).first(), edges, size, float(mean)))
+        state = binned.rdd.map(lambda r: (np.frombuffer(r.bins, np.uint8).reshape(-1, size), np.frombuffer(r.residual))).persist(StorageLevel.MEMORY_AND_DISK)
+        shared_folder(dataset.sparkSession)  # checkpoints go there
+        trees, held = [], [state]
         try:
-            for done in range(1, rounds + 1):
+            while len(trees) < rounds:
 
                 def sums_of(nodes: list[Node], open_: list[int]):
                     slots = np.full(len(nodes), -1)
                     slots[open_] = np.arange(len(open_))
-                    return _sums_of(state, tasks, fresh, _arrays(nodes, set(range(len(nodes))), rate), slots, size, bins)
+                    return _sums_of(state, tasks, _arrays(nodes, set(range(len(nodes))), rate), slots, size, bins)
 
                 nodes, split = grow(sums_of, leaves, leaf_rows)
                 trees.append(_arrays(nodes, set(split), rate))
-                fresh = [*fresh, trees[-1]]
+                while len(held) > 1:
+                    held.pop(0).unpersist()  # the rows of the round before
                 if not split:
                     break
-                if done % KEEP == 0 and done < rounds:
-                    old, state = state, durable(_advanced(state, fresh, size), "binned").persist(StorageLevel.MEMORY_AND_DISK)
-                    old.unpersist()
-                    fresh = []
+                state = _advanced(state, trees[-1]).persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(state)
+                if len(trees) % KEEP == 0:
+                    state.checkpoint()
         finally:
-            state.unpersist()
+            for rdd in held:
+                rdd.unpersist()
         return self._copyValues(_model(trees, edges, size, float(mean)))
 
 
-def _advanced(state: DataFrame, trees: list, size: int) -> DataFrame:
-    """The rows with the given trees in their predictions."""
-
-    def run(batches):
-        for batch in batches:
-            packed = batch.column("bins")
-            x = np.frombuffer(packed.buffers()[2], np.uint8)[packed.offset * size : (packed.offset + len(packed)) * size].reshape(-1, size) if batch.num_rows else np.zeros((0, size), np.uint8)
-            f = batch.column("f").to_numpy()
-            for feature, cut, left, right, value in trees:
-                at, every = np.zeros(len(x), np.int64), np.arange(len(x))
-                while len(every):
-                    every = every[left[at[every]] >= 0]
-                    k = at[every]
-                    at[every] = np.where(x[every, feature[k]] <= cut[k], left[k], right[k])
-                f = f + value[at]
-            yield pa.RecordBatch.from_arrays([packed, batch.column("y"), pa.array(f)], names=["bins", "y", "f"])
-
-    return state.mapInArrow(run, "bins binary, y double, f double")
-
-
 def _model(trees: list, edges: list[np.ndarray], size: int, mean: float) -> "LeafwiseModel":
     feature, threshold, left, right, value, roots, at = [], [], [], [], [], [], 0
     for f, b, lo, hi, v in trees:

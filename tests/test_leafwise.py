@@ -57,11 +57,11 @@ def data(spark):
     return x, y, spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, y)], ["features", "label"]).repartition(3)
 
 
-@pytest.mark.parametrize("leaves, leaf_rows, keep, direct", [(2, 1, 20, 1 << 25), (6, 5, 2, 0), (31, 10, 3, 1 << 25)])
-def test_trees_are_those_of_a_queue(data, monkeypatch, leaves, leaf_rows, keep, direct):
-    monkeypatch.setattr(leafwise, "KEEP", keep)
-    monkeypatch.setattr(leafwise, "DIRECT", direct)
-    monkeypatch.setattr(leafwise, "TASK_ROWS", 200)
+@pytest.mark.parametrize("leaves, leaf_rows, task_rows, keep, direct", [(2, 1, 200, 20, 1 << 25), (6, 5, 200, 2, 0), (31, 10, 200, 3, 1 << 25), (31, 10, 65_536, 20, 1 << 25)])
+def test_trees_are_those_of_a_queue(data, monkeypatch, leaves, leaf_rows, task_rows, keep, direct):
+    """In one task, and over several with the rows checkpointed on the way and the sums added up by tasks or by the driver."""
+    for name, value in (("KEEP", keep), ("DIRECT", direct), ("TASK_ROWS", task_rows)):
+        monkeypatch.setattr(leafwise, name, value)
     x, y, df = data
     model = models.boosted("label", rounds=5, leaves=leaves, leaf_rows=leaf_rows).fit(df)
     want, sizes = plain_boosting(x, y, 5, 0.1, leaves, leaf_rows)
@@ -75,6 +75,7 @@ def test_trees_are_those_of_a_queue(data, monkeypatch, leaves, leaf_rows, keep,
 def test_a_tree_takes_fewer_passes_than_leaves(data, monkeypatch):
     _, _, df = data
     passes = []
+    monkeypatch.setattr(leafwise, "TASK_ROWS", 200)
     plain = leafwise._sums_of
     monkeypatch.setattr(leafwise, "_sums_of", lambda *a: passes.append(1) or plain(*a))
     model = models.boosted("label", rounds=1, leaves=31, leaf_rows=5).fit(df)
@@ -101,4 +102,4 @@ def test_at_least_as_good_as_level_wise_trees(data):
     _, _, df = data
     train, test = df.randomSplit([0.8, 0.2], 1)
     r2 = lambda m: evaluate.metrics(m.fit(train).transform(test), "label", "prediction").first()["r2"]
-    assert r2(models.boosted("label", rounds=60, leaf_rows=5)) > r2(models.gradient_boosting("label", rounds=60)) - 0.01
+    assert r2(models.boosted("label", rounds=30, leaf_rows=5)) > r2(models.gradient_boosting("label", rounds=30)) - 0.01
