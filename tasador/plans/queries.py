@@ -168,6 +168,30 @@ def csv_probe_line_breaks(spark, folder):
     return listing_files.probe(spark, csv_copy(spark, folder, nations)).select("n_nationkey", "note")
 
 
+NOTE_SQL = """o_orderpriority || chr(10) || '"' || o_orderstatus || '",' || chr(10) || o_orderkey AS note"""
+
+
+def noted_orders(spark, folder) -> DataFrame:
+    """Orders with a text of three lines, quotes and commas."""
+    note = F.concat("o_orderpriority", F.lit("\n\""), "o_orderstatus", F.lit("\",\n"), F.col("o_orderkey").cast("string"))
+    return table(spark, folder, "orders").select(F.col("o_orderkey").cast("string").alias("l1"), "o_totalprice", note.alias("note"))
+
+
+@query("csv_split_line_breaks", f"SELECT CAST(o_orderkey AS VARCHAR) AS l1, round(o_totalprice, 2) AS o_totalprice, {NOTE_SQL} FROM orders")
+def csv_split_line_breaks(spark, folder):
+    """Every row holds line breaks in quotes, and the files are read by many tasks all the same."""
+    rows = listing_files.load_listings(spark, csv_copy(spark, folder, noted_orders(spark, folder)))
+    return rows.select("l1", F.round(F.col("o_totalprice").cast("double"), 2).alias("o_totalprice"), "note")
+
+
+@query("csv_probe_first_rows", f"""
+SELECT CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS VARCHAR) AS property_id, CAST(o_orderkey AS VARCHAR) AS l1, {NOTE_SQL} FROM orders ORDER BY o_orderkey LIMIT 1000""")
+def csv_probe_first_rows(spark, folder):
+    """A probe of ordered files gives their first rows, and reads no more than these."""
+    ordered = noted_orders(spark, folder).orderBy(F.col("l1").cast("long"))
+    return listing_files.probe(spark, csv_copy(spark, folder, ordered)).select("property_id", "l1", "note")
+
+
 @query("csv_folder", with_listings(f"""
 SELECT l1, count(*) AS n, round({money('price')}, 2) AS mean_price FROM listings GROUP BY l1"""))
 def csv_folder(spark, folder):

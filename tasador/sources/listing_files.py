@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +11,10 @@ from pyspark.sql import Window
 from tasador.functions.numeric import nan_to_null
 from tasador.functions.text import missing_to_null
 from tasador.operators.lookup import small_enough
+from tasador.sources.csv_records import BLOCK, BYTE_ORDER_MARK, BYTES, FILE, POSITION, first_records, headers, parsed, read_records
 
-#: Names of the columns that keep where a row was read, and the size of its file.
-FILE, BLOCK, BYTES = "_file", "_block", "_bytes"
+#: Columns that keep where a row was read.
+PLACE = (FILE, BLOCK, BYTES, POSITION)
 
 # The listing columns that hold numbers; ``id`` and the place columns are texts.
 NUMBER_COLUMNS = (
@@ -21,25 +22,6 @@ NUMBER_COLUMNS = (
 )
 TEXT_COLUMNS = ("id", "l1", "l2", "l3", "state_name", "operation_type", "property_type")
 
-BYTE_ORDER_MARK = "\ufeff"
-
-
-def first_lines(spark: SparkSession, files: list[str]) -> dict[str, str]:
-    """The first line of each file, read through the file system that Spark itself uses."""
-    java = spark.sparkContext._jvm.java.io
-    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
-
-    def read(file: str) -> str:
-        path = hadoop.Path(spark.sparkContext._jvm.java.net.URI(file))
-        stream = path.getFileSystem(conf).open(path)
-        try:
-            return java.BufferedReader(java.InputStreamReader(stream, "UTF-8")).readLine() or ""
-        finally:
-            stream.close()
-
-    with ThreadPoolExecutor(16) as pool:
-        return dict(zip(files, pool.map(read, files)))
-
 
 def files_with_line_breaks(spark: SparkSession, path: str, pattern: str = "*.csv") -> set[str]:
     """Files with a line that holds an odd number of quotes, so that a quoted text goes on in the next one. One pass that splits large files."""
@@ -51,24 +33,23 @@ def files_with_line_breaks(spark: SparkSession, path: str, pattern: str = "*.csv
 def read_csv(spark: SparkSession, path: str, multiline: bool | None = None, pattern: str = "*.csv") -> DataFrame:
     """All matching files below ``path`` as texts, columns by header, with the file, its bytes and the block of each row.
 
-    Files whose headers differ are read by their own header each; a column that a file lacks is missing in its rows. Quoted line breaks need
-    ``multiline``, which gives each file to one task. Files without them split into many tasks with ``multiline=False``. By default one pass
-    finds the files that have line breaks in quotes, and only these are read whole; the rows are the same.
+    Files whose headers differ are read by their own header each; a column that a file lacks is missing in its rows. By default quoted texts may hold line breaks: the lines are read
+    once, by many tasks for a large file, and kept in the shared folder until their records are put together. Without any line break in quotes ``multiline=False`` saves the stored lines;
+    ``multiline=True`` leaves the parsing to one task for each file. The rows are the same.
     """
-    broken = files_with_line_breaks(spark, path, pattern) if multiline is None else set()
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path")
-    files = sorted(r.path for r in listed.collect())  # paths only
-    groups: dict[tuple[str, bool], list[str]] = {}
-    for file, line in first_lines(spark, files).items():
-        groups.setdefault((line.removeprefix(BYTE_ORDER_MARK), bool(multiline) or file in broken), []).append(file)
-
-    def reader(whole: bool):
-        return spark.read.option("header", True).option("escape", '"').option("multiLine", whole)
-
-    if len(groups) <= 1:
-        parts = [reader(any(whole for _, whole in groups)).option("pathGlobFilter", pattern).csv(path)]
+    if multiline is None:
+        return read_records(spark, path, pattern)
+    found = headers(spark, path, pattern).withColumn("header", F.ltrim(F.col("header"), F.lit(BYTE_ORDER_MARK)))
+    distinct = sorted(r.header for r in found.select("header").distinct().collect())  # distinct headers only
+
+    def reader():
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+
+    if len(distinct) <= 1:
+        parts = [reader().option("pathGlobFilter", pattern).csv(path)]
     else:
-        parts = [reader(whole).csv(group) for (_, whole), group in groups.items()]
+        files = {h: sorted(unquote(r.path) for r in found.where(F.col("header") == h).select("path").collect()) for h in distinct}  # paths only
+        parts = [reader().csv(group) for group in files.values()]
     placed = [p.withColumns({FILE: F.col("_metadata.file_path"), BLOCK: F.col("_metadata.file_block_start"), BYTES: F.col("_metadata.file_size")}) for p in parts]
     whole = placed[0]
     for part in placed[1:]:
@@ -107,23 +88,42 @@ def load_listings(spark: SparkSession, path: str, multiline: bool | None = None,
     The known columns have declared types, so no pass over the data is needed; ``infer`` adds
     one pass that types the others, which otherwise stay texts.
     """
-    texts = read_csv(spark, path, multiline)
-    names = [n for n in texts.columns if n not in (FILE, BLOCK, BYTES)]
+    return _listings(read_csv(spark, path, multiline), infer)
+
+
+def _listings(texts: DataFrame, infer: bool = False) -> DataFrame:
+    names = [n for n in texts.columns if n not in PLACE]
     kinds = {n: "double" if n in NUMBER_COLUMNS else None for n in names}
     if infer:
         kinds.update(infer_kinds(texts, [n for n in names if n not in NUMBER_COLUMNS + TEXT_COLUMNS]))
-    return add_property_id(nan_to_null(texts.select(*[_typed(n, k) for n, k in kinds.items()], FILE, BLOCK))).drop(FILE, BLOCK)
+    place = [c for c in PLACE if c in texts.columns]
+    return add_property_id(nan_to_null(texts.select(*[_typed(n, k) for n, k in kinds.items()], *place))).drop(*PLACE)
 
 
 def probe(spark: SparkSession, path: str, rows: int = 1000, multiline: bool | None = None) -> DataFrame:
-    """The first rows of the files as a load with the same option gives them, for a look at their columns."""
-    return load_listings(spark, path, multiline).limit(rows)
+    """The first rows of the files, by path, as a load with the same option gives them, for a look at their columns.
+
+    Only the beginnings of as many files as needed are read; the driver holds these rows.
+    """
+    parts, before = [], 0
+    for header, records in first_records(spark, path, rows, breaks=multiline is not False):
+        numbered = [(r, "", 0, 0, before + i) for i, r in enumerate(records)]
+        parts.append(parsed(spark.createDataFrame(numbered, "value string, path string, block long, bytes long, position long"), header))
+        before += len(records)
+    if not parts:
+        return load_listings(spark, path, multiline).limit(0)
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return _listings(whole)
 
 
 def add_property_id(df: DataFrame) -> DataFrame:
     """``property_id``: the text of ``id``, or without one the row position from 0."""
     if "id" in df.columns:
         return df.withColumn("property_id", F.coalesce(F.col("id").cast("string"), F.lit("nan")))
+    if POSITION in df.columns:
+        return df.withColumn("property_id", F.col(POSITION).cast("string"))
     placed = add_row_position(df, "property_id")
     return placed.withColumn("property_id", F.col("property_id").cast("string"))
 
