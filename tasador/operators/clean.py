@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tasador.functions.text import normalise_text
 from tasador.operators.quantiles import exact_quantiles
+from tasador.session import durable
 
 log = logging.getLogger(__name__)
 
@@ -123,6 +124,15 @@ def fit_cleaning(df: DataFrame, rules: CleaningRules = CleaningRules()) -> Fitte
         narrow.unpersist()
 
 
-def clean_listings(df: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """The whole chain: country, operation, price name, missing values, price outliers, surfaces, texts."""
-    return fit_cleaning(df, rules).apply(df)
+def staged(df: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+    """The rows that pass the filters which learn nothing, written once to the shared folder, so that the source is read only once."""
+    return durable(select_listings(df, rules), "selected")
+
+
+def clean_listings(df: DataFrame, rules: CleaningRules = CleaningRules(), stage: bool = True) -> DataFrame:
+    """The whole chain: country, operation, price name, missing values, price outliers, surfaces, texts.
+
+    Two numbers are learned from two columns before the last filters; ``stage`` keeps the rows for that, without it the source is read twice.
+    """
+    rows = staged(df, rules) if stage else df
+    return fit_cleaning(rows, rules).apply(rows)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 from math import factorial, isfinite
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ REACH = 9
 
 # Relative size below which a centred sum of squares is rounding noise.
 NO_VARIANCE = 1e-12
+# Groups in which the sums of tasks are added up first.
+SUM_PARTS = 256
 
 
 def _literal(value: float | None) -> Column:
@@ -159,54 +163,58 @@ def density(df: DataFrame, value: str | Column, points: int = DENSITY_POINTS) ->
     )
 
 
+def pair_sums(values: DataFrame, centres: list[float], size: int) -> np.ndarray:
+    """For every pair of columns the number of rows where both are present, and their sums of x, y, x * x, y * y and x * y there, x and y less their centres: arrays of size by size.
+
+    Gaps count 0 in a block of values and in one of marks; products of these blocks are the sums of all pairs at once. A task sends six numbers for each pair, whatever its rows.
+    """
+
+    def run(batches):
+        total = np.zeros((4, size, size))
+        for batch in batches:
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(size)], 1) if batch.num_rows else np.zeros((0, size))
+            here = (~np.isnan(x)).astype(float)
+            x = np.where(here > 0, x - np.array(centres), 0.0)
+            total += np.stack([here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x])
+        part = TaskContext.get().partitionId() % parts
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array([part] * size, pa.int32()), pa.array([total[:, i].tobytes() for i in range(size)], pa.binary())], names=["i", "part", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(b) for b in table.column("sums").to_pylist()], 0)
+        return pa.table({"i": table.column("i")[:1], "part": table.column("part")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
+
+    kind, parts, out = "i int, part int, sums binary", SUM_PARTS, np.zeros((4, size, size))
+    by_part = values.mapInArrow(run, kind).groupBy("i", "part").applyInArrow(add, kind)
+    for r in by_part.groupBy("i").applyInArrow(add, kind).collect():  # the square of the number of columns
+        out[:, r.i] = np.frombuffer(r.sums).reshape(4, size)
+    n, sx, sxx, sxy = out
+    return np.stack([n, sx, sx.T, sxx, sxx.T, sxy])
+
+
 def correlations(df: DataFrame, drop: Sequence[str] = ("id",)) -> DataFrame:
     """Pearson matrix of the numeric columns in long form, rows complete for each pair.
 
-    A first aggregate finds means and which columns have gaps, a second one takes the centred
-    sums of all pairs. Columns without gaps share their sums, so most pairs add just one.
+    A first aggregate finds means and constant columns, a second pass takes the centred sums of all pairs as products of blocks.
     No variance gives NULL, fewer than two columns no row.
     """
-    names = numeric_columns(df, drop)
+    names, spark = numeric_columns(df, drop), df.sparkSession
     schema = "a string, b string, r double"
     if len(names) < 2:
-        return df.sparkSession.createDataFrame([], schema)
-    values = df.select(*[F.col(f"`{n}`").cast("double").alias(f"v{i}") for i, n in enumerate(names)])
-    first = values.agg(
-        F.count(F.lit(1)), *[f(c) for c in values.columns for f in (F.count, F.avg, F.min, F.max)]
-    ).first()
-    gaps, constant, centred = [], [], []
-    for i, c in enumerate(values.columns):
-        present, mean, low, high = first[4 * i + 1 : 4 * i + 5]
-        gaps.append(present < first[0])
-        constant.append(low is None or low == high)
-        centred.append(f"({c} - double('{mean!r}'))")
-
-    def total(term: str, i: int, j: int) -> str:
-        """Sum over the rows where both columns are present."""
-        present = " AND ".join(f"v{k} IS NOT NULL" for k in sorted({i, j}) if gaps[k])
-        return f"sum(CASE WHEN {present} THEN {term} END)" if present else f"sum({term})"
-
-    sums, entries = {}, []
-
-    def named(term: str, i: int, j: int) -> str:
-        return sums.setdefault(total(term, i, j), f"s{len(sums)}")
-
-    for i, j in combinations_with_replacement(range(len(names)), 2):
-        if constant[i] or constant[j] or i == j:
-            r = "double(NULL)" if constant[i] or constant[j] else "1.0D"
-        else:
-            x, y = centred[i], centred[j]
-            n, sx, sy = named("1", i, j), named(x, i, j), named(y, i, j)
-            sxx, syy, sxy = named(f"{x} * {x}", i, j), named(f"{y} * {y}", i, j), named(f"{x} * {y}", i, j)
-            vx, vy = f"({sxx} - try_divide({sx} * {sx}, {n}))", f"({syy} - try_divide({sy} * {sy}, {n}))"
-            r = f"try_divide({sxy} - try_divide({sx} * {sy}, {n}), sqrt({vx}) * sqrt({vy}))"
-            varied = f"{vx} > {sxx} * {NO_VARIANCE} AND {vy} > {syy} * {NO_VARIANCE}"
-            r = f"CASE WHEN {varied} THEN greatest(-1.0D, least(1.0D, {r})) END"
-        entries += [(names[i], names[j], r)] if i == j else [(names[i], names[j], r), (names[j], names[i], r)]
-    row = values.agg(*[F.expr(f"{text} AS {name}") for text, name in sums.items()] or [F.count(F.lit(1))])
-    quoted = [(a.replace("'", "\\'"), b.replace("'", "\\'"), r) for a, b, r in entries]
-    structs = ", ".join(f"struct('{a}' AS a, '{b}' AS b, {r} AS r)" for a, b, r in quoted)
-    return row.select(F.expr(f"inline(array({structs}))"))
+        return spark.createDataFrame([], schema)
+    values = df.select(*[F.when(~F.isnan(F.col(f"`{n}`").cast("double")), F.col(f"`{n}`").cast("double")).alias(f"v{i}") for i, n in enumerate(names)])
+    first = values.agg(*[f(c) for c in values.columns for f in (F.avg, F.min, F.max)]).first()
+    means = [first[3 * i] or 0.0 for i in range(len(names))]
+    constant = np.array([first[3 * i + 1] is None or first[3 * i + 1] == first[3 * i + 2] for i in range(len(names))])
+    n, sx, sy, sxx, syy, sxy = pair_sums(values, means, len(names))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+        r = np.clip((sxy - sx * sy / n) / (np.sqrt(vx) * np.sqrt(vy)), -1.0, 1.0)
+        fine = (vx > sxx * NO_VARIANCE) & (vy > syy * NO_VARIANCE) & ~constant[:, None] & ~constant[None, :]
+    np.fill_diagonal(r, 1.0)
+    np.fill_diagonal(fine, ~constant)
+    size = len(names)
+    table = pa.table({"a": np.repeat(names, size).tolist(), "b": names * size, "r": pa.array(r.ravel(), mask=~fine.ravel())})
+    return spark.createDataFrame(table).select("a", "b", "r")
 
 
 def locations(df: DataFrame) -> DataFrame:

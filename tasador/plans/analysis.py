@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tasador.operators.clean import drop_columns, drop_missing
 from tasador.operators.encode import encode
-from tasador.operators.evaluate import cross_validate, mark_folds, metrics, prediction_pairs, summarise_folds
+from tasador.operators.evaluate import Training, cross_validate, mark_folds, metrics, prediction_pairs, summarise_folds
 from tasador.operators.fold_statistics import ALL, learn_sets
 from tasador.operators.models import catalogue, hyperparameters, importance
-from tasador.operators.profile import density, histogram, scatter
+from tasador.operators.profile import density, histogram, residual_histogram, scatter
 from tasador.operators.reports import (
-    best_model, comparison, exploration_document, importance_frame, report_lines, top_groups, write_csv, write_document,
+    best_model, comparison, exploration_document, importance_frame, report_lines, test_comparison, top_features, top_groups, write_csv, write_document,
     write_lines,
 )
 from tasador.operators.sample import FOLDS, random_sample, train_test
@@ -25,8 +25,6 @@ from tasador.operators.scoring import save_model
 from tasador.session import durable
 from tasador.sources.listing_store import ListingStore
 
-log = logging.getLogger(__name__)
-
 # Fixed value: the version of the stored results.
 VERSION = "1.0_cv5_target_enc"
 NOT_FEATURES = ("created_at", "raw_data")
@@ -52,25 +50,36 @@ class Comparison:
 METRIC_SCHEMA = "model string, n bigint, rmse double, mae double, r2 double"
 
 
-def model_rows(df: DataFrame, target: str = "price_usd") -> DataFrame:
-    """Rows with a target and without the columns that training never uses; the keys stay as identity, not as features."""
-    return drop_columns(drop_missing(df, [target]), NOT_FEATURES)
+# The derived columns that a stored listing only has inside its raw row, and their types.
+ENGINEERED = {"surface_ratio": "double", "total_rooms": "double", "room_density": "double", "surface_category": "string"}
+
+
+def with_engineered(df: DataFrame, raw: str = "raw_data") -> DataFrame:
+    """The derived columns of stored listings, read back from the raw row: it is parsed once, as a variant; what it lacks or cannot be read is missing."""
+    parsed = df.withColumn("_raw", F.try_parse_json(raw))
+    return parsed.withColumns({n: F.try_variant_get("_raw", f"$.{n}", kind) for n, kind in ENGINEERED.items()}).drop("_raw")
+
+
+def model_rows(df: DataFrame, target: str = "price_usd", engineered: bool = False) -> DataFrame:
+    """Rows with a target and without the columns that training never uses; the keys stay as identity, not as features. ``engineered`` adds the derived columns as features."""
+    kept = drop_missing(df, [target])
+    return drop_columns(with_engineered(kept) if engineered else kept, NOT_FEATURES)
 
 
 def compare_models(
     rows: DataFrame, models: Mapping[str, Estimator] | None = None, target: str = "price_usd", identity: str = "id",
-    folds: int = FOLDS, parallelism: int = 1,
+    folds: int = FOLDS, parallelism: int = 1, side_by_side: int = 1,
 ) -> Comparison:
     """Cross-validate on the training part, refit on all of it, score train and test rows.
 
-    Preprocessing is learned once, for all folds and the final fit together, and shared by all models.
+    Preprocessing is learned once, for all folds and the final fit together, and shared by all models, of which ``side_by_side`` are trained at a time.
     """
     models = models or catalogue("full", target)
     spark = rows.sparkSession
     train, test = train_test(rows, identity=identity)
     marked = mark_folds(train, identity, folds)
     by_set = learn_sets(marked, target, [*range(folds), ALL])
-    by_fold = cross_validate(train, models, target, identity, folds, parallelism=parallelism, fitted=by_set)
+    by_fold = cross_validate(train, models, target, identity, folds, parallelism=parallelism, fitted=by_set, side_by_side=side_by_side)
     done = {r["model"] for r in by_fold.select("model").distinct().collect()}
     fitted = by_set[ALL]
     keep = [identity, target]
@@ -78,25 +87,24 @@ def compare_models(
     train_rows = encode(fitted, train, keep).persist(StorageLevel.MEMORY_AND_DISK)
     test_rows = encode(fitted, test, keep).persist(StorageLevel.MEMORY_AND_DISK)
     out = Comparison({}, fitted, by_fold, None, None, {}, {}, {})
-    on_train, on_test = [], []
+    training = Training(spark, side_by_side)
+
+    def final(name: str) -> tuple:
+        model = models[name].fit(fit_rows)
+        predictions = durable(model.transform(test_rows).select(*keep, "prediction"), "predictions")
+        on_train = metrics(model.transform(train_rows), target, "prediction").first()
+        return model, cleaned(importance(model, fit_rows)), predictions, on_train, metrics(predictions, target, "prediction").first()
+
     try:
-        for name in (n for n in models if n in done):
-            try:
-                model = models[name].fit(fit_rows)
-            except Exception:
-                log.exception("model %s failed in the final fit", name)
-                continue
+        found = training.every({n: lambda n=n: final(n) for n in models if n in done})
+        for name, (model, weights, predictions, _, _) in found.items():
             out.models[name] = PipelineModel(stages=[*fitted.stages, model])
-            out.importance[name] = cleaned(importance(model, fit_rows))
-            out.parameters[name] = hyperparameters(models[name])
-            out.predictions[name] = durable(model.transform(test_rows).select(*keep, "prediction"), "predictions")
-            on_train.append((name, *metrics(model.transform(train_rows), target, "prediction").first()))
-            on_test.append((name, *metrics(out.predictions[name], target, "prediction").first()))
+            out.importance[name], out.parameters[name], out.predictions[name] = weights, hyperparameters(models[name]), predictions
     finally:
         for encoded in (fit_rows, train_rows, test_rows):
             encoded.unpersist()
-    out.train_metrics = spark.createDataFrame(on_train, METRIC_SCHEMA)
-    out.test_metrics = spark.createDataFrame(on_test, METRIC_SCHEMA)
+    out.train_metrics = spark.createDataFrame([(n, *r[3]) for n, r in found.items()], METRIC_SCHEMA)
+    out.test_metrics = spark.createDataFrame([(n, *r[4]) for n, r in found.items()], METRIC_SCHEMA)
     return out
 
 
@@ -131,36 +139,44 @@ def store_comparison(result: Comparison, store: ListingStore) -> None:
 
 
 def write_reports(
-    rows: DataFrame, result: Comparison, folder: str, target: str = "price_usd", identity: str = "property_id"
+    rows: DataFrame, result: Comparison, folder: str, target: str = "price_usd", identity: str = "property_id", source: DataFrame | None = None,
 ) -> None:
-    """All report files: exploration, comparison, report text, and the data behind each chart."""
+    """All report files: exploration (with the files of ``source``, if given), comparison, train and test figures, report text, and the data behind each chart."""
     spark, root = rows.sparkSession, folder.rstrip("/")
-    write_document(spark, exploration_document(rows, target), f"{root}/data_exploration")
+    write_document(spark, exploration_document(rows, target, source), f"{root}/data_exploration")
     table = comparison(result.summary())
     write_csv(table, f"{root}/model_comparison")
     write_lines(report_lines(table, "cv_r2", "cv_rmse", "cv_mae", rows.count()), f"{root}/analysis_report")
+    write_csv(test_comparison(result.test_metrics), f"{root}/test_comparison")
+    write_csv(result.train_metrics, f"{root}/train_metrics")
     write_csv(histogram(rows, target), f"{root}/price_histogram")
     write_csv(density(rows, target), f"{root}/price_density")
     write_csv(scatter(random_sample(rows, identity=identity)), f"{root}/price_surface_sample")
     best = best_model(table, "cv_r2").first()
     if best is None:
         return
-    write_csv(prediction_pairs(result.predictions[best["model"]], target), f"{root}/predicted_actual", single=False)
+    predictions = result.predictions[best["model"]]
+    write_csv(prediction_pairs(predictions, target), f"{root}/predicted_actual", single=False)
+    write_csv(residual_histogram(predictions, target, "prediction"), f"{root}/residual_histogram")
     weights = result.importance[best["model"]]
     if weights:
         write_csv(top_groups(importance_frame(spark, weights)), f"{root}/feature_importance")
+        write_csv(top_features(importance_frame(spark, weights)), f"{root}/top_features")
 
 
-def analyse(store: ListingStore, folder: str, kind: str = "full", target: str = "price_usd") -> Comparison:
+def analyse(
+    store: ListingStore, folder: str, kind: str = "full", target: str = "price_usd", source: DataFrame | None = None, engineered: bool = False,
+) -> Comparison:
     """Train the named models on the stored listings; store results, save pipelines, write reports.
 
-    ``property_id`` decides splits and folds: unlike ``id`` it is the same after every load.
+    ``property_id`` decides splits and folds: unlike ``id`` it is the same after every load. ``source`` is the frame that reads the raw files, for the account of them in the
+    exploration document; ``engineered`` trains with the derived columns as well.
     """
-    rows = model_rows(store.read_listings(), target)
+    rows = model_rows(store.read_listings(), target, engineered)
     result = compare_models(rows, catalogue(kind, target), target, "property_id")
     store_comparison(result, store)
     result.preprocessing.write().overwrite().save(f"{folder.rstrip('/')}/models/preprocessor")
     for name, model in result.models.items():
         save_model(model, f"{folder.rstrip('/')}/models", name)
-    write_reports(rows, result, f"{folder.rstrip('/')}/reports", target)
+    write_reports(rows, result, f"{folder.rstrip('/')}/reports", target, source=source)
     return result

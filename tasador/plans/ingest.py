@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasador.operators.clean import CleaningRules, fit_cleaning, select_listings
+from tasador.operators.clean import CleaningRules, fit_cleaning, staged
 from tasador.operators.features import create_features
 from tasador.operators.reports import write_csv
 from tasador.operators.sample import SAMPLE_ROWS, stratified_sample
-from tasador.session import durable
 from tasador.sources.listing_files import load_listings
 from tasador.sources.listing_store import ListingStore
 
@@ -22,7 +21,7 @@ def process(raw: DataFrame, rules: CleaningRules = CleaningRules(), stage: bool
     nothing is written. A raw frame may already be narrow and columnar: then stage nothing.
     """
     if stage:
-        raw = durable(select_listings(raw, rules), "selected")
+        raw = staged(raw, rules)
     fitted = fit_cleaning(raw, rules)
     return create_features(fitted.apply(raw), fitted.surface_range)
 

@@ -1099,6 +1099,81 @@ def stored_comparison(spark, folder):
     return store.results_history().select("model_name", filled.alias("n_figures"), F.size(F.json_object_keys("feature_importance")).alias("n_features"))
 
 
+@query("stored_figures", with_lines("""
+SELECT model AS model_name, round(avg(f.r2), 6) AS cv_r2_mean, round(stddev_pop(f.r2), 6) AS cv_r2_std, round(avg(f.rmse), 3) AS cv_rmse_mean, round(stddev_pop(f.rmse), 3) AS cv_rmse_std,
+       round(avg(f.mae), 3) AS cv_mae_mean, any_value(round(t.r2, 6)) AS test_r2, any_value(round(t.rmse, 3)) AS test_rmse, any_value(round(t.mae, 3)) AS test_mae
+FROM cv_folds f JOIN test_errors t USING (model) GROUP BY model""", COMPARED_SQL, """
+test_errors AS (SELECT model, sqrt(avg((price_usd - prediction) ** 2)) AS rmse, avg(abs(price_usd - prediction)) AS mae,
+                       1 - sum((price_usd - prediction) ** 2) / (count(*) * var_pop(price_usd)) AS r2 FROM test_scored GROUP BY model)"""))
+def stored_figures(spark, folder):
+    """The figures of a comparison on one feature, stored and read back."""
+    store = ListingStore(spark, scratch_path(spark, "store"))
+    analysis.store_comparison(compared(stored(spark, folder).select("id", "surface_total", TARGET)), store)
+    digits = {"cv_r2_mean": 6, "cv_r2_std": 6, "cv_rmse_mean": 3, "cv_rmse_std": 3, "cv_mae_mean": 3, "test_r2": 6, "test_rmse": 3, "test_mae": 3}
+    return store.results_history().select("model_name", *[rounded(c, n) for c, n in digits.items()])
+
+
+@query("scored_request_values", with_lines("""
+SELECT id, round(my + n / (n + 1.0) * sxy / sxx * (surface_total - mx), 2) AS predicted_price FROM test, moments"""))
+def scored_request_values(spark, folder):
+    """A saved ridge model on one standardised feature scores raw requests; its predictions follow from sums."""
+    root, rows = scratch_path(spark, "models"), stored(spark, folder)
+    train, test = sample.train_test(rows)
+    narrow = train.select("id", "surface_total", TARGET)
+    fitted = encode.preprocessor(narrow, TARGET).fit(narrow)
+    ridge = models.Ridge(labelCol=TARGET).fit(encode.encode(fitted, narrow, ["id", TARGET]))
+    scoring.save_model(PipelineModel(stages=[*fitted.stages, ridge]), root, "Ridge")
+    requests = test.drop(TARGET).withColumn("province", F.upper("province"))
+    return scoring.score(scoring.load_models(spark, root)["Ridge"], requests).select("id", rounded("predicted_price", 2))
+
+
+@query("engineered_features", with_clean("""
+SELECT CAST(id AS VARCHAR) AS property_id, round(surface_ratio, 9) AS surface_ratio, CAST(total_rooms AS DOUBLE) AS total_rooms, round(room_density, 9) AS room_density,
+       ['Muy Pequeña', 'Pequeña', 'Mediana', 'Grande', 'Muy Grande'][surface_bin] AS surface_category FROM featured"""))
+def engineered_features(spark, folder):
+    """Derived columns of the stored listings, read back from their raw rows."""
+    rows = analysis.model_rows(store_all(spark, folder).read_listings(), TARGET, engineered=True)
+    return rows.select("property_id", rounded("surface_ratio", 9), "total_rooms", rounded("room_density", 9), "surface_category")
+
+
+@query("engineered_coefficients", with_clean("""
+SELECT feature, round(regr_slope(price_usd, x) * stddev_pop(x), 2) AS slope FROM (
+  SELECT unnest(['surface_ratio', 'room_density']) AS feature, unnest([surface_ratio, room_density]) AS x, t.price_usd FROM train t JOIN featured f USING (id)) GROUP BY feature"""))
+def engineered_coefficients(spark, folder):
+    """A least-squares fit on a derived column of stored listings, standardised, with ``property_id`` deciding the split."""
+    train, _ = sample.train_test(analysis.model_rows(store_all(spark, folder).read_listings(), TARGET, engineered=True), identity="property_id")
+    found = []
+    for name in ("surface_ratio", "room_density"):
+        rows = train.select("property_id", name, TARGET)
+        encoded = encode.encode(encode.preprocessor(rows, TARGET).fit(rows), rows, [TARGET])
+        found.append((name, round(float(models.linear(TARGET).fit(encoded).coefficients[0]), 2)))
+    return spark.createDataFrame(found, "feature string, slope double")
+
+
+@query("model_catalogue", with_clean("""
+SELECT kind, m AS model, n FROM (VALUES ('core', 'Linear Regression'), ('core', 'Ridge'), ('full', 'Linear Regression'), ('full', 'Ridge'), ('full', 'Lasso'), ('full', 'Random Forest'), ('full', 'Boosted Trees'),
+  ('trainer', 'Linear Regression'), ('trainer', 'Ridge Regression'), ('trainer', 'Lasso Regression'), ('trainer', 'Random Forest'), ('trainer', 'Gradient Boosting')) t(kind, m), (SELECT count(*) AS n FROM train)"""))
+def model_catalogue(spark, folder):
+    """The named sets of models, with the rows that they would be trained on."""
+    n = sample.train_test(stored(spark, folder))[0].count()
+    return spark.createDataFrame([(kind, name, n) for kind in ("core", "full", "trainer") for name in models.catalogue(kind, TARGET)], "kind string, model string, n bigint")
+
+
+FULL_SQL = """
+SELECT m AS model, n, stump_r2, TRUE AS beats_stump FROM (VALUES ('Linear Regression'), ('Ridge'), ('Lasso'), ('Random Forest'), ('Boosted Trees')) t(m),
+(SELECT count(*) AS n, round(1 - sum((price_usd - p) ** 2) / (count(*) * var_pop(price_usd)), 6) AS stump_r2 FROM stumped)"""
+
+
+@query("compared_full", with_clean(FULL_SQL, STUMP_SQL))
+def compared_full(spark, folder):
+    """The five models of the full set on all columns, cross-validated side by side; each must predict better than a stump, on the test rows and in the mean of the folds."""
+    rows = stored(spark, folder)
+    result = analysis.compare_models(rows, models.catalogue("full", TARGET), TARGET, parallelism=sample.FOLDS, side_by_side=2)
+    stump = stump_r2(*sample.train_test(rows)).select("stump_r2")
+    figures = result.test_metrics.join(result.summary(), "model").select("model", "n", F.least("r2", "cv_r2_mean").alias("r2"))
+    return figures.join(stump, F.col("r2") > F.col("stump_r2"), "left").select("model", "n", "stump_r2", F.col("stump_r2").isNotNull().alias("beats_stump"))
+
+
 @query("predicted_and_actual", with_lines("""
 SELECT price_usd AS actual, round(prediction, 2) AS predicted, min(price_usd) OVER () AS diagonal_low, max(price_usd) OVER () AS diagonal_high
 FROM scored WHERE model = 'Linear Regression'"""))

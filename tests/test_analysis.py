@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tasador.operators import reports, scoring
 from tasador.operators.clean import CleaningRules
 from tasador.plans import analysis, ingest
+from tasador.sources import listing_files
 from tasador.sources.driver_tables import COUNTRIES, listings
 from tasador.sources.listing_store import ListingStore
 from conftest import SF
@@ -48,6 +49,8 @@ def test_report_files(spark, run):
     assert lines[0].startswith("# ") and sum(x.startswith("| ") for x in lines) == 3 and f"{stored}" in lines[2]
     for name, size in (("price_histogram", 50), ("price_density", 200), ("price_surface_sample", stored)):
         assert spark.read.option("header", True).csv(f"{root}/reports/{name}").count() == size
+    for name, size in (("test_comparison", 2), ("train_metrics", 2), ("residual_histogram", 30), ("top_features", 14)):
+        assert spark.read.option("header", True).csv(f"{root}/reports/{name}").count() == size
     groups = spark.read.option("header", True).csv(f"{root}/reports/feature_importance")
     assert {r.feature_group for r in groups.collect()} <= {"surface", "rooms", "bedrooms", "bathrooms", "operation", "property", "province", "department"}
 
@@ -108,3 +111,23 @@ def test_from_files_without_operation_type_to_the_report(spark, tmp_path):
     assert set(result.models) == {"Linear Regression", "Ridge"}
     assert any(n == "operation_type_" for n in result.importance["Ridge"])
     assert "Best model" in "\n".join(r.value for r in spark.read.text(str(tmp_path / "out" / "reports" / "analysis_report")).collect())
+
+
+def test_the_raw_files_are_accounted_for(spark, run, tmp_path):
+    root, store, stored, result = run
+    source = listing_files.read_csv(spark, f"{root}/raw")
+    analysis.write_reports(analysis.model_rows(store.read_listings()), result, str(tmp_path), source=source)
+    document = json.loads(spark.read.text(f"{tmp_path}/data_exploration", wholetext=True).first()[0])
+    assert document["original_dataset_info"]["total_rows"] == 1500 and document["original_dataset_info"]["n_files"] == 1
+
+
+def test_derived_columns_come_back_from_the_raw_rows(spark, run):
+    _, store, stored, _ = run
+    rows = analysis.model_rows(store.read_listings(), engineered=True)
+    assert "raw_data" not in rows.columns and dict(rows.dtypes)["surface_category"] == "string"
+    got = rows.agg(*[F.count(c) for c in analysis.ENGINEERED]).first()
+    assert got[0] == got[2] == got[3] == stored and 0 < got[1] < stored
+    same = F.abs(F.col("surface_ratio") - F.col("surface_covered") / F.col("surface_total")) < 1e-9
+    assert rows.where("surface_covered IS NOT NULL").where(~same).count() == 0
+    odd = spark.createDataFrame([(1.0, "{"), (2.0, None), (3.0, '{"surface_ratio": "x", "total_rooms": 4}')], "price_usd double, raw_data string")
+    assert [(r.surface_ratio, r.total_rooms) for r in analysis.model_rows(odd, engineered=True).orderBy("price_usd").collect()] == [(None, None), (None, None), (None, 4.0)]

@@ -1,4 +1,5 @@
 import logging
+import time
 
 import numpy as np
 import pytest
@@ -123,3 +124,39 @@ def test_folds_are_the_same_whatever_the_parallelism(rows):
     three = evaluate.cross_validate(train.repartition(5), chosen, folds=3, parallelism=3).collect()
     assert [tuple(r)[1:3] for r in one] == [tuple(r)[1:3] for r in three]
     assert [r["r2"] for r in one] == pytest.approx([r["r2"] for r in three], rel=1e-6)
+
+
+class Slow(Estimator):
+    """Fails at once on the rows of the first fold that asks, and works without end on all others."""
+
+    def __init__(self):
+        super().__init__()
+        self.asked = []
+
+    def copy(self, extra=None):
+        return self
+
+    def _fit(self, dataset):
+        self.asked.append(1)
+        if len(self.asked) == 2:
+            time.sleep(3)
+            raise RuntimeError("no fit")
+        dataset.sparkSession.range(0, 10**13, 1, 2).selectExpr("sum(id * id % 7)").collect()
+
+
+def test_a_failing_model_is_cancelled_where_it_still_runs(rows, caplog):
+    chosen = {"Slow": Slow(), "Ridge": models.Ridge(labelCol="price_usd"), "Linear Regression": models.linear("price_usd")}
+    start = time.time()
+    with caplog.at_level(logging.ERROR):
+        found = evaluate.cross_validate(train_test(rows)[0], chosen, folds=2, parallelism=2, side_by_side=3)
+    assert {r.model for r in found.collect()} == {"Ridge", "Linear Regression"} and found.count() == 4
+    assert time.time() - start < 120 and caplog.text.count("model Slow failed") == 1
+
+
+def test_side_by_side_is_one_after_the_other(rows):
+    chosen = models.catalogue("core")
+    one, other = (analysis.compare_models(rows, chosen, folds=2, side_by_side=n) for n in (1, 2))
+    for name in ("by_fold", "train_metrics", "test_metrics"):
+        a, b = (sorted(map(tuple, getattr(r, name).collect())) for r in (one, other))
+        assert [x[0] for x in a] == [x[0] for x in b] and [x[-1] for x in a] == pytest.approx([x[-1] for x in b])
+    assert list(one.models) == list(other.models) == list(chosen)

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import numpy as np
 import pandas as pd
 import pytest
@@ -108,3 +109,17 @@ def test_locations_and_departments(spark):
     assert [tuple(r) for r in profile.locations(df).collect()] == [("a", "w"), ("a", "y"), ("b", "x")]
     assert {r[0] for r in profile.departments_of(df, "a").collect()} == {"w", "y"}
     assert {r[0] for r in profile.provinces(df).collect()} == {"a", "b"}
+
+
+def test_correlations_of_many_columns_with_gaps(spark):
+    """As many pairs as a plan with an expression for each could not hold."""
+    rng = np.random.default_rng(2)
+    size = 300
+    x = rng.normal(size=(400, size)) + rng.normal(size=(400, 1)) + np.arange(size) * 1e5
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 7] = 3.0
+    frame = pd.DataFrame(x, columns=[f"c{i}" for i in range(size)])
+    df = spark.createDataFrame(pa.Table.from_pandas(frame)).repartition(5)
+    got = profile.correlations(df).toPandas().pivot(index="a", columns="b", values="r").loc[frame.columns, frame.columns].to_numpy()
+    want = frame.corr().to_numpy()
+    assert np.allclose(got, want, atol=1e-6, equal_nan=True) and np.isnan(got[7]).all()
