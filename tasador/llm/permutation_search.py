@@ -62,7 +62,7 @@ def nearest(embeddings: DataFrame, k: int = 20, pivots: int = PIVOTS, reranked:
     """query_id, rank, vec_id, score: the k rows found with the largest inner product for each query, ties by vec_id.
 
     Queries are the rows whose vec_id is divisible by 20; rows of the query's own vec_id are no candidates. Null and zero vectors and those with null or non-finite components
-    take no part. Every usable row is indexed; only the pivots are a sample. An empty table gives no rows.
+    take no part; two rows of one divisible vec_id are two queries, each with a list of its own. Every usable row is indexed; only the pivots are a sample. An empty table gives no rows.
     """
     vectors = usable_vectors(embeddings, not_zero=True)
     sample = vectors.orderBy(F.xxhash64("vec_id", F.lit(5)), "vec_id").limit(pivots).select("embedding").collect()

@@ -49,7 +49,7 @@ def blocks(vectors: DataFrame, rows: int, total: int, pack: Callable) -> DataFra
 
 
 def search(vectors: DataFrame, k: int, kind: str, index: Callable, query: Callable, best: Callable[..., Iterator]) -> DataFrame:
-    """query_id, rank, vec_id, score: the k rows found for each query (vec_id divisible by ``EVERY``) over all blocks of rows.
+    """query_id, rank, vec_id, score: the k rows found for each query (a row whose vec_id is divisible by ``EVERY``) over all blocks of rows.
 
     ``index`` and ``query`` pack the matrix of a block; ``best(query_ids, queries, ids, data)`` yields for each query of a pair of blocks its number and up to k
     places in the block with their scores. Each block of rows is sent once for each block of queries; only the best k leave a pair of blocks, and these are merged by query.
@@ -66,13 +66,15 @@ def search(vectors: DataFrame, k: int, kind: str, index: Callable, query: Callab
         for batch in batches:
             for row in batch.to_pylist():
                 ids, qids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["query_ids"], "<i8")
-                found = [(np.full(len(at), qids[i]), ids[at], s) for i, at, s in best(qids, row["queries"], ids, row["data"])]
+                first = row["asking"] << 32  # each query row has a number of its own, as rows of one vec_id are queries of their own
+                found = [(np.full(len(at), first + i), np.full(len(at), qids[i]), ids[at], s) for i, at, s in best(qids, row["queries"], ids, row["data"])]
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(zip(*found), (pa.int64(), pa.int64(), score))], names=["query_id", "vec_id", "score"])
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), score)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(zip(*found), kinds)], names=["query", "query_id", "vec_id", "score"])
 
-    spread = pairs.join(data, "block").repartition("asking", "block").drop("asking")
-    met = spread.mapInArrow(run, f"query_id long, vec_id long, score {kind}")
-    ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    spread = pairs.join(data, "block").repartition("asking", "block")
+    met = spread.mapInArrow(run, f"query long, query_id long, vec_id long, score {kind}")
+    ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

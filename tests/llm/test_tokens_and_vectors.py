@@ -1,7 +1,7 @@
 import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -117,14 +117,43 @@ def vectors(spark):
 
 def test_top_k_is_exact(spark, vectors):
     frame, rows = vectors
-    got = defaultdict(list)
-    for r in bit_search.top_k(frame).orderBy("query_id", "rank").collect():
-        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    got, want = Counter(), Counter()
+    got.update((r.query_id, r.rank, r.vec_id, r.score) for r in bit_search.top_k(frame).collect())
     whole = [(i, np.floor(64 * np.array(x, float)).astype(int)) for i, x in rows]
     for q, x in whole:
-        if q % 20 == 0 and q != 40:
+        if q % 20 == 0:
             best = sorted(((-int(x @ y), i) for i, y in whole if i != q))[:20]
-            assert got[q] == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+            want.update((q, k + 1, i, -s) for k, (s, i) in enumerate(best))
+    assert got == want
+
+
+def test_two_rows_of_an_id_are_two_queries(spark):
+    rows = [(i, [float(i % 7), float(i % 5) - 2]) for i in range(1, 90)] + [(20, [-1.0, 3.0]), (20, [-1.0, 3.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for run in (bit_search.top_k, permutation_search.nearest):
+        want = Counter()
+        for q, x in rows:
+            if q % 20 == 0:
+                scale = 64 if run is bit_search.top_k else 1
+                best = sorted((-sum(a * b for a, b in zip(x, y)) * scale**2, i) for i, y in rows if i != q)[:20]
+                want.update((q, k + 1, i, -s) for k, (s, i) in enumerate(best))
+        assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in run(frame).collect()) == want
+
+
+def test_large_components(spark):
+    rows = [(i, [float(i), 1.0, -2.0]) for i in range(1, 60)] + [(60, [1e300, 1.0, 0.0]), (61, [-1e300, 0.5, 0.0]), (80, [1e12, -1e12, 3e15])]
+    limit = lambda x: max(-(1 << 61), min(1 << 61, math.floor(64 * x)))
+    whole = [(i, [limit(x) for x in v]) for i, v in rows]
+    want = []
+    for q, x in whole:
+        if q % 20 == 0:
+            score = [(-max(1 - (1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(x, y)))), i) for i, y in whole if i != q]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(sorted(score)[:20])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in bit_search.top_k(frame).orderBy("query_id", "rank").collect()]
+    assert [r for r in got if r[0] != 60 and r[0] != 80] == [r for r in want if r[0] not in (60, 80)]
+    assert sorted(r[3] for r in got) == sorted(r[3] for r in want) and len(got) == len(want)
+    assert permutation_search.nearest(frame).count() == len(want)
 
 
 def test_nearest_finds_nearly_all(spark, vectors):
@@ -135,10 +164,12 @@ def test_nearest_finds_nearly_all(spark, vectors):
     rows = [(i, np.array(x, float)) for i, x in rows if any(x)]
     found = total = 0
     for q, x in rows:
-        if q % 20 == 0 and q != 40:
+        if q % 20 == 0:
             score = {i: sum(a * b for a, b in zip(x, y)) for i, y in rows if i != q}
             best = sorted(score, key=lambda i: (-score[i], i))[:20]
-            assert got[q] == sorted(got[q], key=lambda p: (-p[1], p[0])) and all(math.isclose(s, score[i]) for i, s in got[q])
+            lists = sum(i == q for i, _ in rows)  # a repeated query row has its list twice
+            got[q] = sorted(got[q], key=lambda p: (-p[1], p[0]))[::lists] if lists > 1 else got[q]
+            assert len(got[q]) == 20 and got[q] == sorted(got[q], key=lambda p: (-p[1], p[0])) and all(math.isclose(s, score[i]) for i, s in got[q])
             found, total = found + len(set(best) & {i for i, _ in got[q]}), total + 20
     assert found >= 0.9 * total
 
