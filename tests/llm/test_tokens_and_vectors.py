@@ -167,10 +167,10 @@ def test_nearest_finds_nearly_all(spark, vectors):
         if q % 20 == 0:
             score = {i: sum(a * b for a, b in zip(x, y)) for i, y in rows if i != q}
             best = sorted(score, key=lambda i: (-score[i], i))[:20]
-            lists = sum(i == q for i, _ in rows)  # a repeated query row has its list twice
-            got[q] = sorted(got[q], key=lambda p: (-p[1], p[0]))[::lists] if lists > 1 else got[q]
-            assert len(got[q]) == 20 and got[q] == sorted(got[q], key=lambda p: (-p[1], p[0])) and all(math.isclose(s, score[i]) for i, s in got[q])
-            found, total = found + len(set(best) & {i for i, _ in got[q]}), total + 20
+            lists = sum(i == q for i, _ in rows)  # a repeated query row has its list as often
+            mine = sorted(got[q], key=lambda p: (-p[1], p[0]))[::lists]
+            assert len(mine) == 20 and all(math.isclose(s, score[i]) for i, s in mine)
+            found, total = found + len(set(best) & {i for i, _ in mine}), total + 20
     assert found >= 0.9 * total
 
 
