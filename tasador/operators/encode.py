@@ -254,7 +254,9 @@ def _other_moments(parts: dict[int, tuple[int, float, float]]) -> dict[int, tupl
     return out
 
 
-class _EncoderWriter(MLWriter):
+class TableWriter(MLWriter):
+    """Saves a model whose learned state is a table, beside its parameters."""
+
     def __init__(self, instance):
         super().__init__()
         self.instance = instance
@@ -264,10 +266,14 @@ class _EncoderWriter(MLWriter):
         self.instance.table.write.parquet(f"{path}/encodings")
 
 
-class _EncoderReader(MLReader):
-    def load(self, path: str) -> "FoldTargetEncoderModel":
+class TableReader(MLReader):
+    def __init__(self, kind: type):
+        super().__init__()
+        self.kind = kind
+
+    def load(self, path: str):
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        model = FoldTargetEncoderModel()
+        model = self.kind()
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
         model.table = self.sparkSession.read.parquet(f"{path}/encodings")
@@ -302,11 +308,11 @@ class FoldTargetEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
         return dataset
 
     def write(self) -> MLWriter:
-        return _EncoderWriter(self)
+        return TableWriter(self)
 
     @classmethod
     def read(cls) -> MLReader:
-        return _EncoderReader()
+        return TableReader(cls)
 
 
 def feature_roles(df: DataFrame, label: str) -> tuple[list[str], list[str], list[str]]:
@@ -331,6 +337,6 @@ def encode(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFram
 
 
 def feature_names(encoded: DataFrame, column: str = "features") -> list[str]:
-    """Names in vector order, from the column metadata; that of an empty category ends with the underscore."""
-    groups = encoded.schema[column].metadata["ml_attr"]["attrs"]
+    """Names in vector order, from the column metadata; that of an empty category ends with the underscore. Vectors with many categories have no names there, but in a table."""
+    groups = encoded.schema[column].metadata.get("ml_attr", {}).get("attrs", {})
     return [a["name"].replace(MARK, "") for a in sorted((a for g in groups.values() for a in g), key=lambda a: a["idx"])]

@@ -20,6 +20,7 @@ from tasador.operators.encode import (
     INNER_FOLD, OUTER_FOLD, CategoryLabels, FoldTargetEncoderModel, ModeImputerModel, NumericBlockModel, encoding_key, encoding_of, feature_roles, known_category, merged_parts,
 )
 from tasador.operators.quantiles import exact_quantiles
+from tasador.operators.wide_categories import NAMED, CategoryIndexModel, SparseAssembler, ranked_categories
 from tasador.session import durable
 
 #: The training set that leaves no fold out.
@@ -128,7 +129,8 @@ def encoder_models(
 def learn_sets(rows: DataFrame, label: str, sets: Sequence[int] = (ALL,)) -> dict[int, PipelineModel]:
     """Fitted preprocessing of each training set: all rows but those whose OUTER_FOLD is its number, or all.
 
-    Rows whose INNER_FOLD is present are encoded without their own inner fold. Block order and names are those of :func:`preprocessor`.
+    Rows whose INNER_FOLD is present are encoded without their own inner fold. Block order and names are those of :func:`preprocessor`. Once a column has more than NAMED categories, its
+    dictionary stays a table, places in the vector are those in all rows, and the names of the features are a table as well (:func:`wide_categories.feature_table`).
     """
     numbers, low, high = feature_roles(rows, label)
     fold = lambda name: F.coalesce(F.col(name).cast("int"), F.lit(-1)) if name in rows.columns else F.lit(-1)
@@ -136,6 +138,7 @@ def learn_sets(rows: DataFrame, label: str, sets: Sequence[int] = (ALL,)) -> dic
     found = moments_by_fold(marked, numbers, label)
     stages: dict[int, list] = {k: [] for k in sets}
     outputs: dict[int, list[str]] = {k: [] for k in sets}
+    widths: dict[int, dict[str, int]] = {k: {} for k in sets}
     if numbers:
         inside = {k: [v for (o, _), v in found.items() if k == ALL or o != k] for k in sets}
         present = {(k, c): merged(m[c] for _, m in inside[k]) for k in sets for c in numbers}
@@ -154,19 +157,35 @@ def learn_sets(rows: DataFrame, label: str, sets: Sequence[int] = (ALL,)) -> dic
         parts = category_parts(marked, [*low, *high], high, label)
     if low:
         counts = category_counts(parts, low, sets)
-        modes, labels = modes_of(counts, low, sets), labels_of(counts, low, sets)
-        filled, named, index, outs = ([f"{p}{c}" for c in low] for p in ("_filled_", "_label_", "_index_", "cat_low__"))
-        for k in sets:
-            indexers = [StringIndexerModel.from_labels(labels[k][c], n, i, "keep") for c, n, i in zip(low, named, index)]
-            one_row = rows.sparkSession.createDataFrame([tuple("" for _ in low)], ", ".join(f"`{c}` string" for c in named))
-            encoder = OneHotEncoder(inputCols=index, outputCols=outs, dropLast=True).fit(PipelineModel(stages=indexers).transform(one_row))  # sizes come from the labels, no job is run
-            stages[k] += [ModeImputerModel(modes=[modes[k][c] for c in low])._set(inputCols=low, outputCols=filled), CategoryLabels(inputCols=filled, outputCols=named), *indexers, encoder]
-            outputs[k] += outs
+        sizes = {r[0]: r[1] for r in counts.groupBy("column").count().collect()}  # a row for each column
+        wide = [c for c in low if sizes.get(c, 0) > NAMED]
+        few = [c for c in low if c not in wide]
+        modes, labels = modes_of(counts, low, sets), labels_of(counts.where(~F.col("column").isin(*wide)) if wide else counts, few, sets)
+        ranked = ranked_categories(counts, wide) if wide else None
+        filled, named, index, outs = ({c: f"{p}{c}" for c in low} for p in ("_filled_", "_label_", "_index_", "cat_low__"))
+        for i, k in enumerate(sets):
+            stages[k].append(ModeImputerModel(modes=[modes[k][c] for c in low])._set(inputCols=low, outputCols=[filled[c] for c in low]))
+            indexers = [StringIndexerModel.from_labels(labels[k][c], named[c], index[c], "keep") for c in few]
+            if few:
+                stages[k] += [CategoryLabels(inputCols=[filled[c] for c in few], outputCols=[named[c] for c in few]), *indexers]
+            if wide:
+                table = ranked.where(F.col(f"n{i}") > 0).select(F.concat(F.lit("_filled_"), "column").alias("column"), "category", F.col(f"n{i}").alias("n"), "index")
+                model = CategoryIndexModel(inputCols=[filled[c] for c in wide], outputCols=[index[c] for c in wide], sizes=[sizes[c] for c in wide])
+                model.table = table
+                stages[k].append(model)
+                outputs[k] += [index[c] for c in low]
+                widths[k].update({index[c]: sizes[c] if c in wide else len(labels[k][c]) for c in low})
+            else:
+                one_row = rows.sparkSession.createDataFrame([tuple("" for _ in low)], ", ".join(f"`{named[c]}` string" for c in low))
+                encoder = OneHotEncoder(inputCols=[index[c] for c in low], outputCols=[outs[c] for c in low], dropLast=True)
+                stages[k].append(encoder.fit(PipelineModel(stages=indexers).transform(one_row)))  # sizes come from the labels, no job is run
+                outputs[k] += [outs[c] for c in low]
     if high:
         for k, model in encoder_models(parts, high, {f: m[label] for f, (_, m) in found.items()}, sets, label).items():
             stages[k].append(model)
             outputs[k] += model.getOutputCols()
-    return {k: PipelineModel(stages=[*stages[k], VectorAssembler(inputCols=outputs[k], outputCol="features")]) for k in sets}
+    assembler = lambda k: SparseAssembler(inputCols=outputs[k], outputCol="features", sizes=[widths[k].get(c, 0) for c in outputs[k]]) if widths[k] else VectorAssembler(inputCols=outputs[k], outputCol="features")
+    return {k: PipelineModel(stages=[*stages[k], assembler(k)]) for k in sets}
 
 
 class Preprocessor(Estimator):

@@ -218,7 +218,9 @@ def hyperparameters(model: Estimator) -> dict[str, bool | int | float | str]:
 
 
 def importance(model, encoded: DataFrame) -> dict[str, float] | None:
-    """Importance by full feature name: that of the trees, or the size of the coefficients."""
+    """Importance by full feature name: that of the trees, or the size of the coefficients; none for vectors without names."""
+    if not feature_names(encoded):
+        return None
     if hasattr(model, "featureImportances"):
         weights = model.featureImportances.toArray()
     elif hasattr(model, "coefficients"):
