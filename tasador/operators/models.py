@@ -10,12 +10,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasador.operators.encode import feature_names
+from tasador.operators.forest import NodeForest
 from tasador.operators.leafwise import LeafwiseBoosting
 
 # Penalties, tree counts, depths, seed.
@@ -169,12 +170,9 @@ def lasso(label: str, alpha: float = LASSO_ALPHA) -> Lasso:
     return Lasso(labelCol=label, alpha=alpha)
 
 
-def random_forest(label: str, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, bins: int = MAX_BINS, leaf_rows: int = 1) -> RandomForestRegressor:
-    """``leaf_rows`` bounds the nodes of deep trees, which the driver holds, to the rows divided by it."""
-    return RandomForestRegressor(
-        labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", maxBins=bins, seed=SEED, minInstancesPerNode=leaf_rows,
-        maxMemoryInMB=1024, cacheNodeIds=True,
-    )
+def random_forest(label: str, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, bins: int = MAX_BINS, leaf_rows: int = 1, bootstrap: bool = True) -> NodeForest:
+    """A forest whose nodes are a table. ``depth`` 0 is no bound."""
+    return NodeForest(labelCol=label, trees=trees, depth=depth, bins=bins, leafRows=leaf_rows, bootstrap=bootstrap, seed=SEED)
 
 
 def gradient_boosting(
@@ -198,14 +196,14 @@ def catalogue(kind: str = "full", label: str = "price_usd", bins: int = MAX_BINS
             "Linear Regression": linear(label),
             "Ridge": Ridge(alpha=RIDGE_ALPHA, labelCol=label),
             "Lasso": lasso(label),
-            "Random Forest": random_forest(label, bins=bins),
+            "Random Forest": random_forest(label, bins=min(bins, 256)),
             "Boosted Trees": boosted(label, bins=min(bins, 256)),
         },
         "trainer": lambda: {
             "Linear Regression": linear(label),
             "Ridge Regression": Ridge(alpha=RIDGE_ALPHA, labelCol=label),
             "Lasso Regression": lasso(label, alpha=1.0),
-            "Random Forest": random_forest(label, trees=100, depth=30, bins=bins, leaf_rows=leaf_rows),
+            "Random Forest": random_forest(label, trees=100, depth=0, bins=min(bins, 256), leaf_rows=leaf_rows),
             "Gradient Boosting": gradient_boosting(label, bins=bins),
         },
     }

@@ -1001,6 +1001,35 @@ def boosted_leaves(spark, folder):
     return models.boosted(TARGET, rounds=1, leaves=8).fit(train).transform(test).select("id", rounded("prediction", 2))
 
 
+def levels_sql(depth: int, leaf_rows: int) -> str:
+    """The leaves of one tree on rooms and bathrooms, level by level: every node has its own best cut."""
+    steps = ["""
+mean_price AS (SELECT avg(price_usd) AS m FROM train),
+cells_0 AS (SELECT rooms, bathrooms, count(*) FILTER (u >= 858993459) AS n, coalesce(sum(price_usd - m) FILTER (u >= 858993459), 0) AS s, 1 AS node FROM stored, mean_price GROUP BY ALL),
+cuts AS (SELECT DISTINCT 0 AS f, rooms AS c FROM cells_0 UNION SELECT DISTINCT 1, bathrooms FROM cells_0)"""]
+    for k in range(depth):
+        steps.append(f"""
+sides_{k} AS (SELECT node, f, c, sum(n) FILTER (CASE f WHEN 0 THEN rooms ELSE bathrooms END <= c) AS nl, sum(s) FILTER (CASE f WHEN 0 THEN rooms ELSE bathrooms END <= c) AS sl, sum(n) AS n, sum(s) AS s
+              FROM cells_{k}, cuts GROUP BY ALL),
+gains_{k} AS (SELECT node, f, c, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM sides_{k} WHERE nl >= {leaf_rows} AND n - nl >= {leaf_rows}),
+tops_{k} AS (SELECT node, f, c FROM gains_{k} QUALIFY gain > 1e-9 AND gain >= max(gain) OVER (PARTITION BY node) * (1 - 1e-9)),
+best_{k} AS (SELECT node, f, c FROM tops_{k} QUALIFY row_number() OVER (PARTITION BY node ORDER BY f, c) = 1),
+cells_{k + 1} AS (SELECT rooms, bathrooms, n, s, CASE WHEN c IS NULL THEN node WHEN (CASE f WHEN 0 THEN rooms ELSE bathrooms END) > c THEN 2 * node + 1 ELSE 2 * node END AS node
+                 FROM cells_{k} LEFT JOIN best_{k} USING (node))""")
+    steps.append(f"node_means AS (SELECT node, sum(s) / sum(n) AS residual FROM cells_{depth} GROUP BY node)")
+    return ",".join(steps)
+
+
+@query("forest_tree", with_clean("""
+SELECT t.id, round(m + residual, 2) AS prediction FROM test t JOIN cells_4 USING (rooms, bathrooms) JOIN node_means USING (node), mean_price""", levels_sql(4, 20)))
+def forest_tree(spark, folder):
+    """One tree of a forest on all rows, four splits deep, which SQL can grow level by level."""
+    whole = [F.col(c).cast("double").alias(c) for c in ("rooms", "bathrooms")]
+    rows = VectorAssembler(inputCols=["rooms", "bathrooms"], outputCol="features").transform(stored(spark, folder).select("id", TARGET, *whole))
+    train, test = sample.train_test(rows)
+    return models.random_forest(TARGET, trees=1, depth=4, leaf_rows=20, bootstrap=False).fit(train).transform(test).select("id", rounded("prediction", 2))
+
+
 @query("predictions", with_lines("SELECT model, id, price_usd, round(prediction, 2) AS prediction FROM scored"))
 def predictions(spark, folder):
     return scored_lines(spark, folder).select("model", "id", TARGET, rounded("prediction", 2))
