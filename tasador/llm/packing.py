@@ -1,7 +1,8 @@
 """Packing documents into token sequences of bounded length.
 
 Pieces of documents are dealt at random into groups of bounded size, and each group is packed by the sum-of-squares rule: a piece goes to the open
-sequence (or a new one) for which the sum over gaps of the squared number of open sequences with that gap becomes smallest.
+sequence for which the sum over gaps of the squared number of open sequences with that gap becomes smallest. All pieces of a group are known, so they are taken by falling size. A new sequence is opened only where no open one
+has room: weighing a new one as well, as the rule does for pieces that come one by one, leaves sequences open for pieces that never come (README has the numbers of sequences).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ GROUP = 16_384
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence and offset of each piece. Pieces are taken by falling size."""
+    """Sequence and offset of each piece. Pieces are taken by falling size; of gaps with the same sum the smallest is taken."""
     counts = np.zeros(capacity + 1, np.int64)  # open sequences by gap
     open_ = [[] for _ in range(capacity + 1)]
     sequence, offset, used = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64), 0

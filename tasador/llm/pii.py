@@ -2,7 +2,8 @@
 
 Patterns find e-mail addresses, IP addresses, card numbers and phone numbers. Their values are the protected entities. How much a term reveals of an entity is estimated from the whole
 corpus: with document counts of entity, term and both, the pointwise mutual information log(n_both * N / (n_entity * (n_term + 1/2))) is compared with the information content of the entity,
-log(N / n_entity). The half document without the entity smooths the estimate: of the few words of a table of twenty documents most stand only once, and that reveals little. A term that reveals more than a threshold's part of it is disclosing and is generalised, like the entity itself, wherever it stands. Nothing else is asked of a term: of an
+log(N / n_entity). The half document without the entity smooths the estimate: of the few words of a table of twenty documents most stand only once, and that reveals little. A term that reveals more than a threshold's part of it is disclosing and is generalised,
+like the entity itself, in the documents that hold an entity; ``everywhere`` generalises it in all documents, also where nothing is protected. Nothing else is asked of a term: of an
 entity in one document, the words that hardly any other document has are disclosing.
 """
 
@@ -147,12 +148,15 @@ def _term_counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(counts, pa.int64())], names=["term", "documents"])
 
 
-def _places(table: np.ndarray):
-    """doc_id, key, term, start, end of the words whose bit in the table is set."""
+def _places(table: np.ndarray, everywhere: bool):
+    """doc_id, key, term, start, end of the words whose bit in the table is set, of documents with an entity or of all."""
 
     def run(batches):
         for piece in pieces(batches):
-            _, _, words, rows, starts, ends = _read(piece)
+            _, found, words, rows, starts, ends = _read(piece)
+            if not everywhere:
+                held = np.array([*map(bool, found)])[rows]
+                words, rows, starts, ends = words[held], rows[held], starts[held], ends[held]
             place = words & np.uint64(8 * len(table) - 1)
             hit = (table[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
             row = pa.array(rows[hit])
@@ -211,17 +215,17 @@ def _disclosing(docs: DataFrame, found: DataFrame, disclosed: float) -> DataFram
     return pairs.where((information > 0) & (revealed >= disclosed * information)).select("term", "with_term").distinct()
 
 
-def personal_data(documents: DataFrame, disclosed: float = DISCLOSED) -> DataFrame:
+def personal_data(documents: DataFrame, disclosed: float = DISCLOSED, everywhere: bool = False) -> DataFrame:
     """doc_id, key, spans, terms of each document: the patterns' spans (kind, start, end in code points) by kind and start, and the disclosing terms' by start.
 
-    Terms are words outside of entities; each place of a disclosing term is listed, also in documents without the entity. Null and empty texts have no spans. Repeated rows get the same
+    Terms are words outside of entities; each place of a disclosing term is listed in documents that hold an entity, with ``everywhere`` in all. Null and empty texts have no spans. Repeated rows get the same
     spans, and count as documents each; key is a hash of the text that tells rows of one doc_id apart. An entity or term is counted once a document. Other columns are ignored.
     """
     docs = columns(documents, "doc_id", "text").withColumn("key", F.xxhash64("text"))
     found = stored(docs.mapInArrow(_find, f"row long, doc_id long, key long, spans {_SPAN_SQL}, entities array<long>, terms array<long>"), "entities")
     risky = stored(_disclosing(docs, found, disclosed), "risky")
     table = _bits(risky)
-    placed = docs.where("text IS NOT NULL").mapInArrow(_places(table), "doc_id long, key long, term long, start int, end int")
+    placed = docs.where("text IS NOT NULL").mapInArrow(_places(table, everywhere), "doc_id long, key long, term long, start int, end int")
     placed = stored(placed, "places")
     term = F.struct(F.lit("term").alias("kind"), F.col("start"), F.col("end"))
     terms = _known(placed, risky, "term", F.col("with_term") > OFTEN * found.count(), F.lit(True))
@@ -256,9 +260,9 @@ def _replace(batches):
         yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("key"), pa.array(texts, pa.string())], names=["doc_id", "key", "clean_text"])
 
 
-def sanitised_texts(documents: DataFrame) -> DataFrame:
+def sanitised_texts(documents: DataFrame, everywhere: bool = False) -> DataFrame:
     """doc_id, key, clean_text of the documents that have entities or disclosing terms, which are generalised; overlapping spans become one."""
-    found = personal_data(documents).select("doc_id", "key", F.concat("spans", "terms").alias("all")).where(F.size("all") > 0).dropDuplicates(["doc_id", "key"])
+    found = personal_data(documents, everywhere=everywhere).select("doc_id", "key", F.concat("spans", "terms").alias("all")).where(F.size("all") > 0).dropDuplicates(["doc_id", "key"])
     docs = columns(documents, "doc_id", "text").withColumn("key", F.xxhash64("text"))
     joined = _join(docs, found).where("`all` IS NOT NULL").select("doc_id", "key", "text", "all")
     return joined.mapInArrow(_replace, "doc_id long, key long, clean_text string").dropDuplicates(["doc_id", "key"])

@@ -141,8 +141,8 @@ def test_disclosing_terms(spark):
     assert set(clean) == set(range(4)) and "[EMAIL]" in clean[0] and "zanzibar" not in clean[0] and "ann" not in clean[0]
 
 
-def disclosed_words(spark, rows):
-    return {r.doc_id: {rows[r.doc_id][1][s.start : s.end] for s in r.terms} for r in pii.personal_data(documents(spark, rows)).collect()}
+def disclosed_words(spark, rows, **how):
+    return {r.doc_id: {rows[r.doc_id][1][s.start : s.end] for s in r.terms} for r in pii.personal_data(documents(spark, rows), **how).collect()}
 
 
 @pytest.mark.parametrize("copies", [1, 2])
@@ -158,9 +158,11 @@ def test_disclosing_terms_anywhere(spark):
     far = "and so it goes on with many words about nothing " * 10
     texts = [f"é Mary {far} ann@example.org {far} mary, mary@example.org and MARY", f"ann@example.org {far} Mary", f"Ann {far} ann@example.org", f"{far} of Mary"] + [far] * 2000
     rows = [*enumerate(texts)]
-    got = {r.doc_id: [rows[r.doc_id][1][s.start : s.end] for s in r.terms] for r in pii.personal_data(documents(spark, rows)).collect()}
+    got = {r.doc_id: [rows[r.doc_id][1][s.start : s.end] for s in r.terms] for r in pii.personal_data(documents(spark, rows), everywhere=True).collect()}
     assert got[0] == ["é", "Mary", "mary", "MARY"] and got[1] == ["Mary"] and got[2] == ["Ann"] and "Mary" in got[3]
     assert all(not got[i] for i in range(4, len(rows)))
+    there = {r.doc_id: [rows[r.doc_id][1][s.start : s.end] for s in r.terms] for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert there == got | {3: []}
 
 
 def test_disclosing_terms_by_plain_counts(spark):
@@ -182,8 +184,19 @@ def test_disclosing_terms_by_plain_counts(spark):
             both = sum(e in h and w in s for h, s in zip(holds, of))
             if np.log(both * 400 / (n * (count(of, w) + 0.5))) >= 0.9 * np.log(400 / n):
                 risky.add(w)
-    got = disclosed_words(spark, [*enumerate(texts)])
-    assert risky and {i: {w.lower() for w in s} for i, s in got.items()} == {i: s & risky for i, s in enumerate(of)}
+    for everywhere in (True, False):
+        got = disclosed_words(spark, [*enumerate(texts)], everywhere=everywhere)
+        assert risky and {i: {w.lower() for w in s} for i, s in got.items()} == {i: s & risky if everywhere or holds[i] else set() for i, s in enumerate(of)}
+
+
+def test_documents_without_an_entity_stay_as_they_are(spark):
+    """Over a whole table: hardly any text without an entity is altered, and every entity is gone from the others."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {(r.doc_id, r.text) for r in table.select("doc_id", "text").collect()}
+    free = {(d, t) for d, t in texts if not personal_data(t or "")}
+    clean = {r.doc_id: r.clean_text for r in pii.sanitised_texts(table).collect()}
+    assert len(free) > 100 and sum(d in clean for d, _ in free) < 0.05 * len(free)
+    assert all(d in clean and clean[d] != t for d, t in texts - free)
 
 
 def test_license_scan_of_awkward_rows(spark):

@@ -260,3 +260,25 @@ def test_toxicity_of_awkward_rows_and_without_labels(spark):
         got = toxicity.toxicity(documents(spark), known).collect()
         assert len(got) == len(ROWS) and all(0 <= r.score <= 1 for r in got)
     assert toxicity.toxicity(documents(spark, []), labels).collect() == []
+
+
+def test_choices_of_the_sum_of_squares_rule():
+    """Every piece goes where the sum, computed from the start, is smallest among the open sequences with room; a new one is the last resort."""
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        capacity = int(rng.integers(2, 25))
+        sizes = rng.integers(1, capacity + 1, int(rng.integers(0, 60)))
+        gaps, want = [], {}
+        for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+            options = []
+            for k, gap in enumerate(gaps):
+                if gap >= sizes[i]:
+                    after = [g for g in [*gaps[:k], gap - sizes[i], *gaps[k + 1 :]] if g]
+                    options.append((sum(after.count(g) ** 2 for g in set(after)), gap))
+            gap = min(options)[1] if options else capacity
+            want[i] = capacity - gap
+            if options:
+                gaps.remove(gap)
+            gaps.append(gap - sizes[i])
+        sequence, offset = packing.sum_of_squares(sizes, capacity)
+        assert offset.tolist() == [want[i] for i in range(len(sizes))] and len(set(sequence.tolist())) == len(gaps)
