@@ -34,10 +34,34 @@ TEMPLATES = (
     ("licensed under a creative commons attribution 4 0 international license", "cc-by"),
     ("free and unencumbered software released into the public domain", "unlicense"),
 )
-#: Pairs of two such words are too frequent in any prose to vote.
-COMMON = frozenset("the of and to in a is that it for was with as on be at by this or any you may not can from are an".split())
+#: Whole license texts, and their labels.
+WHOLE = (
+    (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE "
+        "OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.", "mit",
+    ),
+    (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
+        "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.", "isc",
+    ),
+    (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+        "PURPOSE ARE DISCLAIMED.", "bsd",
+    ),
+)
 #: Diagonals this far apart belong to one span; the part of a template's pairs that a span must have; its most words against the template's.
 NEAR, ENOUGH, STRETCH = 3, 0.7, 1.5
+#: Characters of phrases and templates at most: their pairs are broadcast.
+MOST = 8 << 20
 
 
 def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,13 +74,11 @@ def _pairs(words: np.ndarray) -> np.ndarray:
 
 
 def template_pairs(spark, templates) -> DataFrame:
-    """template, label, place, pair, pairs, words, exact: the voting pairs of the templates; phrases are exact, all their pairs vote."""
+    """template, label, place, pair, pairs, words, exact: the pairs of the templates, all of which vote; phrases are exact."""
     rows = []
     for number, (text, label, exact) in enumerate(templates):
-        words = text.split()
-        keep = [t for t in range(len(words) - 1) if exact or not {words[t], words[t + 1]} <= COMMON]
         pairs = _pairs(_words(*utf8(pa.array([text])))[0])
-        rows += [(number, label, t, int(pairs[t]), len(keep), len(words), exact) for t in keep]
+        rows += [(number, label, t, p, len(pairs), len(pairs) + 1, exact) for t, p in enumerate(pairs.tolist())]
     return spark.createDataFrame(rows, "template int, label string, place int, pair long, pairs int, words int, exact boolean")
 
 
@@ -126,14 +148,17 @@ def _verify(batches):
 _FOUND = pa.schema([("row", pa.int64()), ("label", pa.string()), ("exact", pa.bool_()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("score", pa.float64())])
 
 
-def scan(documents: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> tuple[DataFrame, DataFrame]:
+def scan(documents: DataFrame, phrases=PHRASES, templates=TEMPLATES + WHOLE) -> tuple[DataFrame, DataFrame]:
     """(rows, found). rows: row, doc_id, n_words of each document. found: row, label, exact, first_word, last_word, score of each span, where score is
     the part of the template's pairs in the span, and exact spans are the phrases' places. Words are numbered from 0.
 
-    A null text is empty. Repeated rows are scanned each; a null doc_id stays null; other columns are ignored.
+    More than ``MOST`` characters of templates are refused. A null text is empty. Repeated rows are scanned each; a null doc_id stays null; other columns are ignored.
     """
     spark = documents.sparkSession
     ship(spark)
+    size = sum(len(text) for text, _ in (*phrases, *templates))
+    if size > MOST:
+        raise ValueError(f"{size} characters of phrases and templates, more than {MOST}: scan with parts of them, one after another")
     known = template_pairs(spark, [(*p, True) for p in phrases] + [(*t, False) for t in templates])
     rolling = columns(documents, "doc_id", "text").mapInArrow(_rolling, "row long, doc_id long, at int, pair long")
     met = rolling.join(F.broadcast(known), "pair", "left").where("template IS NOT NULL OR pair IS NULL")  # as many rows as the templates have pairs

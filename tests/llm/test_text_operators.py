@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -215,6 +216,45 @@ def test_license_templates_with_gaps(spark):
     assert got[1].labels == "mit" and got[1].base_labels == "" and got[2].labels == "" and got[3].labels == "cc-by-nc"
 
 
+def plain_spans(words, template):
+    """(first word, last word, share) of the runs of neighbouring diagonals on which enough pairs of the template stand."""
+    votes = [(p - t, p, t) for p in range(len(words) - 1) for t in range(len(template) - 1) if words[p : p + 2] == template[t : t + 2]]
+    chains = []
+    for v in sorted(votes):
+        if chains and v[0] - chains[-1][-1][0] <= licenses.NEAR:
+            chains[-1].append(v)
+        else:
+            chains.append([v])
+    for chain in chains:
+        first, last, share = min(v[1] for v in chain), max(v[1] for v in chain) + 1, len({v[2] for v in chain}) / (len(template) - 1)
+        if share >= licenses.ENOUGH:
+            assert last - first <= licenses.STRETCH * len(template)  # one span of bounded length
+            yield first, last, share
+
+
+def test_license_templates_beside_a_plain_version(spark):
+    """Whole texts and beginnings with words left out, added and changed, between words of other kinds; pairs of frequent words vote as well."""
+    rng = random.Random(11)
+    known = [(re.findall("[a-z0-9]+", text.lower()), label) for text, label in licenses.TEMPLATES + licenses.WHOLE]
+    rows = []
+    for i in range(60):
+        words = [f"w{rng.randrange(50)}" for _ in range(30)]
+        for w in known[i % len(known)][0]:
+            words += rng.choices([[w], [], [w, "added"], ["other"]], [94, 2, 2, 2])[0]
+        rows.append((i, " ".join(words + [f"w{rng.randrange(50)}" for _ in range(30)])))
+    by_row, found = licenses.scan(documents(spark, rows), phrases=())
+    of = {r.row: r.doc_id for r in by_row.collect()}
+    got = sorted((of[r.row], r.label, r.first_word, r.last_word, round(r.score, 9)) for r in found.collect())
+    want = sorted((i, label, a, b, round(s, 9)) for i, text in rows for template, label in known for a, b, s in plain_spans(text.split(), template))
+    assert got == want and sum(b - a > 100 for _, _, a, b, _ in got) >= 6
+
+
+def test_too_many_templates_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "MOST", 100)
+    with pytest.raises(ValueError, match="parts"):
+        licenses.scan(documents(spark))
+
+
 def test_license_stretches_of_long_chains(spark):
     """Words of a template that go on after it do not hide it, and a template may have more words than a number has bits."""
     rows = [(1, "licensed under cc by sa 4 0 4 0 4 0 4 0 4 0"), (2, "released under the mit license mit license mit license mit license"), (3, "4 0 " * 30)]
