@@ -89,3 +89,16 @@ def test_constant_and_missing_labels(spark):
     assert set(predictions(model, df)) == {3.0} and model.featureImportances.toArray().tolist() == [0.0]
     with pytest.raises(ValueError, match="no rows"):
         models.random_forest("label").fit(df.where("label IS NULL"))
+
+
+def test_rows_by_bin_are_sorted_in_time_linear_in_the_rows(monkeypatch):
+    rng = np.random.default_rng(7)
+    x, sorted_ = rng.integers(0, 256, 5000).astype(np.uint8), []
+    plain = np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, **k: sorted_.append(a.dtype.itemsize) or plain(a, **k))
+    for k in (1, 300, 1 << 16):
+        slot = rng.integers(0, k, 5000)
+        assert (forest._by_bin(slot, x, k) == plain(slot * 256 + x, kind="stable")).all()
+    assert max(sorted_) <= 2  # numpy sorts whole numbers of 16 bits digit by digit
+    slot = rng.integers(0, 1 << 20, 5000)
+    assert (forest._by_bin(slot, x, 1 << 20) == plain(slot * 256 + x, kind="stable")).all()

@@ -103,3 +103,19 @@ def test_at_least_as_good_as_level_wise_trees(data):
     train, test = df.randomSplit([0.8, 0.2], 1)
     r2 = lambda m: evaluate.metrics(m.fit(train).transform(test), "label", "prediction").first()["r2"]
     assert r2(models.boosted("label", rounds=30, leaf_rows=5)) > r2(models.gradient_boosting("label", rounds=30)) - 0.01
+
+
+def test_one_task_adds_up_the_smaller_of_two_children(monkeypatch):
+    rng = np.random.default_rng(7)
+    x, y = rng.integers(0, 64, (4000, 6)).astype(np.uint8), rng.normal(0, 1, 4000)
+    summed, plain = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda a, *w: summed.append(len(a)) or plain(a, *w))
+    trees = leafwise._trees_of(x, y, 64, 3, 0.1, 31, 20)
+    depth = 0
+    for feature, cut, left, right, value in trees:
+        levels = {0: 0}
+        for k in np.flatnonzero(left >= 0).tolist():
+            levels |= {int(left[k]): levels[k] + 1, int(right[k]): levels[k] + 1}
+        depth += 1 + max(levels.values()) / 2
+    assert sum(summed) <= 2 * x.size * depth  # residuals and numbers: all rows once, then at most half of them a level
+    assert (y != 0).all()  # the residuals given are left as they are

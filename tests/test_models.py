@@ -160,3 +160,27 @@ def test_side_by_side_is_one_after_the_other(rows):
         a, b = (sorted(map(tuple, getattr(r, name).collect())) for r in (one, other))
         assert [x[0] for x in a] == [x[0] for x in b] and [x[-1] for x in a] == pytest.approx([x[-1] for x in b])
     assert list(one.models) == list(other.models) == list(chosen)
+
+
+class Looking(Estimator):
+    """Notes how many tables are in the cache when it is asked."""
+
+    def __init__(self):
+        super().__init__()
+        self.cached = []
+
+    def copy(self, extra=None):
+        return self
+
+    def _fit(self, dataset):
+        self.cached.append(sum(i.numCachedPartitions() == i.numPartitions() for i in dataset.sparkSession.sparkContext._jsc.sc().getRDDStorageInfo()))
+        raise RuntimeError("no fit")
+
+
+def test_rows_that_models_share_are_stored_before_any_model_is_trained(rows, spark):
+    """Else the model that comes first stores them under its tag, and the others fail if it is cancelled."""
+    rows.count()
+    before = sum(i.numCachedPartitions() == i.numPartitions() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+    look = Looking()
+    analysis.compare_models(rows, {"Looking": look}, folds=1 + 1)
+    assert look.cached[0] > before
