@@ -124,8 +124,11 @@ def stored_units(spark: SparkSession, path: str | list[str], pattern: str) -> Da
 
 def block_starts(units: DataFrame) -> DataFrame:
     """inside, ends, first and before of each (path, block): whether it begins and ends inside quotes, the records begun in the file before it, and those of all files before, without headers; stored."""
-    last = F.max_by(F.struct("e0", "e1", "m0", "m1"), "seq")
-    blocks = units.groupBy("path", "block").agg(last.alias("last"))
+    # numbers of records grow with the lines, and states go with the number of the last line: buffers of fixed size, so that no task sorts its units
+    state = F.max(F.col("seq") * 4 + F.col("e0").cast("long") * 2 + F.col("e1").cast("long")).alias("state")
+    blocks = units.groupBy("path", "block").agg(state, F.max("m0").alias("m0"), F.max("m1").alias("m1"))
+    bit = lambda n, name: (F.col("state").bitwiseAND(n) != 0).alias(name)
+    blocks = blocks.select("path", "block", F.struct(bit(2, "e0"), bit(1, "e1"), "m0", "m1").alias("last"))
     by_file = blocks.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("block", "last"))).alias("blocks"))  # one entry for each block of the file
     none = F.array().cast("array<struct<block:bigint,inside:boolean,ends:boolean,first:bigint>>")
     start = F.struct(F.lit(False).alias("inside"), F.lit(0).cast("long").alias("first"), none.alias("out"))

@@ -123,3 +123,15 @@ def test_headers_come_from_the_tasks(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert found == {"a%20b.csv": "id,note", "c.csv": "note,id"}
+
+
+def test_ends_of_blocks_are_found_without_a_sort_of_the_lines(spark, monkeypatch):
+    """The last unit of a block tells how it ends, in whatever order units come."""
+    plans = []
+    monkeypatch.setattr(csv_records, "durable", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    rows = [("a", 0, 9, 4, "x", False, 1, True, 2, False, 1), ("a", 0, 9, 0, "x", False, 0, False, 1, True, 0), ("a", 5, 9, 3, "x", False, 3, True, 4, False, 2), ("a", 5, 9, 1, "x", False, 0, False, 1, False, 1),
+            ("b", 0, 9, 0, "x", False, 0, False, 3, True, 2)]
+    units = spark.createDataFrame(rows, csv_records.UNITS).repartition(3)
+    got = sorted((r.path, r.block, r.inside, r.ends, r.first, r.before) for r in csv_records.block_starts(units).collect())
+    assert got == [("a", 0, False, True, 0, 0), ("a", 5, True, False, 2, 0), ("b", 0, False, False, 0, 3)]
+    assert "SortAggregate" not in plans[0]
