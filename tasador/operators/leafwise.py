@@ -2,7 +2,7 @@
 
 Rows are binned once; a row is then one byte for each feature, and the rows of a task lie in a few arrays (an RDD of arrays, as a pass is numpy on whole partitions and there are thousands of
 passes). A pass over the rows adds up residuals by open leaf, feature and bin: each task sends its sums, whose size does not depend on
-its rows. Splitting one leaf at a time would take a pass for each split; here a pass serves all leaves that the queue would split if nothing better came up, so that a tree takes about as many
+its rows, to tasks that pick the split of each leaf. Splitting one leaf at a time would take a pass for each split; here a pass serves all leaves that the queue would split if nothing better came up, so that a tree takes about as many
 passes as it is deep. Nodes that turn out not to be among the best are dropped, and the tree is the one that a queue alone gives.
 """
 
@@ -11,6 +11,8 @@ from __future__ import annotations
 import heapq
 import sys
 from dataclasses import dataclass
+from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROUNDS, RATE, LEAVES, LEAF_ROWS = 200, 0.1, 31, 20
 #: Bins of a feature (at most 256), accuracy of the quantiles that bound them.
 BINS, ACCURACY = 64, 10_000
-#: Rows that one task should have at least; rounds after which the rows are checkpointed; bytes of sums that are sent straight to the driver.
-TASK_ROWS, KEEP, DIRECT = 65_536, 20, 32 << 20
+#: Rows that one task should have at least; rounds after which the rows are checkpointed; bytes of sums of a pass that are sent straight to the driver, and that one task adds up.
+TASK_ROWS, KEEP, DIRECT, ADDED = 65_536, 20, 64 << 10, 4 << 20
 #: Gains whose parts differ by less are equal, and the smaller feature and bin decide.
 SAME = 1e-9
 
@@ -115,24 +117,36 @@ def _leaf_of(tree: tuple, x: np.ndarray) -> np.ndarray:
     return at
 
 
-def _sums_of(state: RDD, tasks: int, tree: tuple, slots: np.ndarray, size: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
-    """Residuals and rows by leaf, feature and bin. ``slots``: number of a node of the growing tree among the open leaves, or -1."""
-    shape = (2, int(slots.max()) + 1, size, bins)
-    def run(parts):
-        cells = shape[1] * size * bins
-        total, rows = np.zeros(cells), np.zeros(cells)
+def _sums_of(state: RDD, tasks: int, tree: tuple, slots: np.ndarray, size: int, bins: int, leaf_rows: int) -> list[tuple]:
+    """Residuals, rows and best split of each open leaf. ``slots``: number of a node of the growing tree among the open leaves, or -1.
+
+    Tasks send sums by leaf, and other tasks add up those of a leaf, in the order of their tasks, and pick its split: the driver gets splits only.
+    """
+    number, cells = int(slots.max()) + 1, size * bins
+
+    def run(task: int, parts):
+        total, rows = np.zeros(number * cells), np.zeros(number * cells)
         for x, residual in parts:
             slot = slots[_leaf_of(tree, x)]
             some = np.flatnonzero(slot >= 0)
             key = ((slot[some, None] * size + np.arange(size)) * bins + x[some]).ravel()
-            total += np.bincount(key, np.repeat(residual[some], size), cells)
-            rows += np.bincount(key, minlength=cells)
-        yield np.concatenate([total, rows])
+            total += np.bincount(key, np.repeat(residual[some], size), number * cells)
+            rows += np.bincount(key, minlength=number * cells)
+        for leaf, sums in enumerate(np.stack([total.reshape(number, cells), rows.reshape(number, cells)], 1)):
+            yield (leaf, task), sums
 
-    found = state.mapPartitions(run)
-    direct = tasks * np.prod(shape) * 8 <= DIRECT
-    total, rows = (np.sum(found.collect(), 0) if direct else found.treeReduce(lambda a, b: a + b)).reshape(shape)  # as many numbers as open leaves, features and bins
-    return total, rows
+    def best(parts):
+        for leaf, group in groupby(parts, key=lambda p: p[0][0]):
+            total, rows = reduce(np.add, (sums for _, sums in group)).reshape(2, 1, size, bins)
+            yield leaf, float(total[0, 0].sum()), int(rows[0, 0].sum()), best_splits(total, rows, leaf_rows)[0]
+
+    found = state.mapPartitionsWithIndex(run)
+    if tasks * number * cells * 16 <= DIRECT:
+        picked = list(best(sorted(found.collect(), key=lambda p: p[0])))
+    else:
+        parts = min(number, tasks, -(-tasks * number * cells * 16 // ADDED))
+        picked = found.repartitionAndSortWithinPartitions(parts, lambda key: key[0]).mapPartitions(best).collect()  # a row for each open leaf
+    return [p[1:] for p in sorted(picked, key=lambda p: p[0])]
 
 
 def _advanced(state: RDD, tree: tuple) -> RDD:
@@ -167,8 +181,8 @@ def _trees_of(x: np.ndarray, residual: np.ndarray, bins: int, rounds: int, rate:
                 few, many = sorted(nodes[k].children, key=lambda c: len(rows_of[c]))
                 cells[few] = _cells(x, residual, rows_of[few], offsets, bins)
                 cells[many] = cells.pop(k) - cells[few]
-            found = np.stack([cells[k] for k in open_], 1).reshape(2, len(open_), size, bins)
-            return found[0], found[1]
+            total, rows = np.stack([cells[k] for k in open_], 1).reshape(2, len(open_), size, bins)
+            return list(zip(total[:, 0].sum(1).tolist(), rows[:, 0].sum(1).astype(int).tolist(), best_splits(total, rows, leaf_rows)))
 
         nodes, split = grow(sums_of, leaves, leaf_rows)
         inner = set(split)
@@ -194,23 +208,23 @@ def _arrays(nodes: list[Node], split: set[int], rate: float) -> tuple:
 
 
 def grow(sums_of, leaves: int, leaf_rows: int) -> tuple[list[Node], list[int]]:
-    """Nodes of a best-first tree and those that are split, in order. ``sums_of(nodes, open)``: residuals and rows by open leaf, feature and bin."""
+    """Nodes of a best-first tree and those that are split, in order. ``sums_of(nodes, open)``: residuals, rows and best split of each open leaf."""
+
+    def keep(k: int, found: tuple | None) -> None:
+        if found is not None:
+            nodes[k].gain, nodes[k].feature, nodes[k].bin, nodes[k].left_total, nodes[k].left_rows = found
 
     def look(open_: list[int]) -> None:
         wide = [k for k in open_ if nodes[k].rows >= 2 * leaf_rows]
         if not wide:
             return
-        total, rows = sums_of(nodes, wide)
-        for k, found in zip(wide, best_splits(total, rows, leaf_rows)):
-            if found is not None:
-                nodes[k].gain, nodes[k].feature, nodes[k].bin, nodes[k].left_total, nodes[k].left_rows = found
+        for k, (_, _, found) in zip(wide, sums_of(nodes, wide)):
+            keep(k, found)
 
     nodes = [Node(0.0, 1 << 62)]
-    total, rows = sums_of(nodes, [0])
-    nodes[0] = Node(float(total[0, 0].sum()), int(rows[0, 0].sum()))
-    found = best_splits(total, rows, leaf_rows)[0]
-    if found is not None:
-        nodes[0].gain, nodes[0].feature, nodes[0].bin, nodes[0].left_total, nodes[0].left_rows = found
+    total, rows, found = sums_of(nodes, [0])[0]
+    nodes[0] = Node(total, rows)
+    keep(0, found)
     while True:
         split, unknown = queue(nodes, leaves)
         if not unknown:
@@ -271,7 +285,7 @@ class LeafwiseBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
                 def sums_of(nodes: list[Node], open_: list[int]):
                     slots = np.full(len(nodes), -1)
                     slots[open_] = np.arange(len(open_))
-                    return _sums_of(state, tasks, _arrays(nodes, set(range(len(nodes))), rate), slots, size, bins)
+                    return _sums_of(state, tasks, _arrays(nodes, set(range(len(nodes))), rate), slots, size, bins, leaf_rows)
 
                 nodes, split = grow(sums_of, leaves, leaf_rows)
                 trees.append(_arrays(nodes, set(split), rate))

@@ -119,3 +119,17 @@ def test_one_task_adds_up_the_smaller_of_two_children(monkeypatch):
         depth += 1 + max(levels.values()) / 2
     assert sum(summed) <= 2 * x.size * depth  # residuals and numbers: all rows once, then at most half of them a level
     assert (y != 0).all()  # the residuals given are left as they are
+
+
+@pytest.mark.parametrize("direct", [0, 1 << 25])
+def test_driver_gets_splits_and_no_sums(spark, monkeypatch, direct):
+    monkeypatch.setattr(leafwise, "DIRECT", direct)
+    rng = np.random.default_rng(9)
+    x, y = rng.integers(0, 64, (900, 4)).astype(np.uint8), rng.normal(0, 1, 900)
+    state = spark.sparkContext.parallelize([(x[i::3], y[i::3]) for i in range(3)], 3)
+    tree = tuple(np.array(a) for a in ([1, 0, 0], [30, 0, 0], [1, -1, -1], [2, -1, -1], [0.0, 0.0, 0.0]))
+    got = leafwise._sums_of(state, 3, tree, np.array([-1, 1, 0]), 4, 64, 20)
+    for (total, rows, found), some in zip(got, (x[:, 1] > 30, x[:, 1] <= 30)):
+        sums = leafwise._cells(x, y, np.flatnonzero(some), np.arange(4) * 64, 64).reshape(2, 1, 4, 64)
+        assert rows == some.sum() and total == pytest.approx(y[some].sum())
+        assert found == pytest.approx(leafwise.best_splits(*sums, 20)[0]) and len(found) == 5
