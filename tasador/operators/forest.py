@@ -1,8 +1,9 @@
-"""A random forest whose nodes are a table: they are never held by the driver while it grows, and there is no bound on the depth but the one asked for.
+"""A random forest whose nodes are a table: its lower nodes are never held by the driver while it grows, and there is no bound on the depth but the one asked for.
 
-Rows are binned once and lie in packs. A pack belongs to a node of a tree and has the rows of a task that are there, with how often the tree has drawn each. A node of many rows is split by a pass over all such nodes of
-some trees: tasks send sums by node, feature and bin, Spark adds them up and picks a split for each node, and the splits are joined back to the packs. A node of at most ``SMALL`` rows has the rest of its
-tree grown in one task. A row of the table is a fragment: such a rest as arrays, or one node that was split by a pass.
+Rows are binned once and lie in packs, and stay where they are. How often a tree has drawn a row follows from the numbers of pack and tree, and the node that a row has come to follows from the splits so far,
+which every task gets. A node of many rows is split by a pass over all such nodes of some trees: tasks send sums by node, feature and bin, Spark adds them up and picks a split for each node. A node of at
+most ``SMALL`` rows has the rest of its tree grown in one task; only for that, rows are exchanged, once for each tree that has drawn them. A row of the table is a fragment: such a rest as arrays, or one node
+that was split by a pass. The driver holds the splits of nodes of many rows, as many as drawn rows over ``SMALL`` a level.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ TREES, DEPTH, LEAF_ROWS, SEED = 50, 15, 1, 42
 BINS, SMALL, SMALL_BYTES = 64, 65_536, 64 << 20
 #: Drawn rows that grow side by side; rows that a task holds to put packs of one node together; sums that it holds before it sends them.
 WAVE_ROWS, MERGED, HELD = 1 << 28, 1 << 19, 1 << 22
-#: Splits that are broadcast; bytes of fragments that are broadcast at once.
+#: Bounds of bins that are broadcast; bytes of fragments that are broadcast at once.
 BROADCAST, GROUP_BYTES = 100_000, 128 << 20
+#: Nodes of many rows, which a pass splits; of few rows, whose rest one task grows; that are settled.
+WIDE, FEW, DONE = 0, 1, 2
 #: Depth down to which passes split nodes of many rows: children of k are 2k and 2k + 1, and a number has 64 bits. Nodes of many rows that lie deeper are leaves.
 PASSES = 60
 
@@ -122,44 +125,56 @@ def subtree(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, leaf_rows:
     return [np.concatenate(a) for a in zip(*levels)]
 
 
-def _draw(first: int, last: int, size: int, seed: int, bootstrap: bool):
-    """Packs of the roots of some trees."""
-
-    def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                x, y = np.frombuffer(r["x"], np.uint8).reshape(-1, size), np.frombuffer(r["y"])
-                for tree in range(first, last):
-                    w = drawn(r["pack"], tree, len(y), seed, bootstrap)
-                    some = np.flatnonzero(w)
-                    if len(some):
-                        yield _packs([(tree, 1, x[some], y[some], w[some])])
-
-    return run
-
-
-def _sums(size: int, bins: int):
-    """tree, node, cell, total, rows: what a task has of each node, by feature and bin."""
-
-    def sent(held: dict) -> pa.RecordBatch:
-        cells = [np.flatnonzero(rows) for _, rows in held.values()]
-        key = np.repeat(np.array(list(held), np.int64).reshape(-1, 2), [len(c) for c in cells], 0)
-        values = [pa.array(np.concatenate([v[k][c] for v, c in zip(held.values(), cells)])) for k in (0, 1)]
+def _at(x: np.ndarray, tree: dict) -> np.ndarray:
+    """The place of each row among the nodes of a tree that is split so far."""
+    at, every = np.zeros(len(x), np.int64), np.arange(len(x))
+    while len(every):
+        every = every[tree["left"][at[every]] >= 0]
+        k = at[every]
+        at[every] = tree["left"][k] + (x[every, tree["feature"][k]] > tree["bin"][k])
+    return at
+
+
+def _drawn_rows(batches, held, kind: int, size: int, seed: int, bootstrap: bool):
+    """tree, nodes, slots, x, y, w: of each pack and tree the drawn rows at nodes of a kind, with the place of their node among ``nodes``."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            x, y = np.frombuffer(r["x"], np.uint8).reshape(-1, size), np.frombuffer(r["y"])
+            for number, tree in held.value.items():
+                if not (tree["kind"] == kind).any():
+                    continue
+                w = drawn(r["pack"], number, len(y), seed, bootstrap)
+                some = np.flatnonzero(w)
+                at = _at(x[some], tree)
+                wanted = tree["kind"][at] == kind
+                some, at = some[wanted], at[wanted]
+                if len(some):
+                    places, slots = np.unique(at, return_inverse=True)
+                    yield number, tree["node"][places], slots, x[some], y[some], w[some]
+
+
+def _sums(held, size: int, bins: int, seed: int, bootstrap: bool):
+    """tree, node, cell, total, rows: what a task has of each node of many rows, by feature and bin."""
+
+    def sent(sums: dict) -> pa.RecordBatch:
+        cells = [np.flatnonzero(rows) for _, rows in sums.values()]
+        key = np.repeat(np.array(list(sums), np.int64).reshape(-1, 2), [len(c) for c in cells], 0)
+        values = [pa.array(np.concatenate([v[k][c] for v, c in zip(sums.values(), cells)])) for k in (0, 1)]
         return pa.RecordBatch.from_arrays([pa.array(key[:, 0], pa.int32()), pa.array(key[:, 1]), pa.array(np.concatenate(cells), pa.int32()), *values], names=["tree", "node", "cell", "total", "rows"])
 
     def run(batches):
-        held = {}
-        for batch in batches:
-            for r in batch.to_pylist():
-                x, y, w = _arrays(r, size)
-                cell = (np.arange(size) * bins + x).ravel()
-                own = held.setdefault((r["tree"], r["node"]), np.zeros((2, size * bins)))
-                own += np.bincount(cell, np.repeat(w * y, size), size * bins), np.bincount(cell, np.repeat(w, size), size * bins)
-                if len(held) * size * bins > HELD:
-                    yield sent(held)
-                    held = {}
-        if held:
-            yield sent(held)
+        sums, cells = {}, size * bins
+        for tree, nodes, slots, x, y, w in _drawn_rows(batches, held, WIDE, size, seed, bootstrap):
+            cell = (slots[:, None] * cells + np.arange(size) * bins + x).ravel()
+            found = [np.bincount(cell, np.repeat(v, size), len(nodes) * cells).reshape(-1, cells) for v in (w * y, w)]
+            for i, node in enumerate(nodes.tolist()):
+                own = sums.setdefault((tree, node), np.zeros((2, cells)))
+                own += found[0][i], found[1][i]
+            if len(sums) * cells > HELD:
+                yield sent(sums)
+                sums = {}
+        if sums:
+            yield sent(sums)
 
     return run
 
@@ -179,28 +194,25 @@ def _best(size: int, bins: int, leaf_rows: int):
     return run
 
 
-def _routed(size: int):
-    """Packs of the children; packs of one node are put together as far as a task holds them."""
+def _packs_of(held, size: int, seed: int, bootstrap: bool):
+    """Packs of the nodes of few rows; those of one node are put together as far as a task holds them."""
 
-    def sent(held: dict) -> pa.RecordBatch:
-        return _packs([(*k, *(np.concatenate(a) for a in zip(*parts))) for k, parts in held.items()])
+    def sent(parts: dict) -> pa.RecordBatch:
+        return _packs([(*k, *(np.concatenate(a) for a in zip(*p))) for k, p in parts.items()])
 
     def run(batches):
-        held, rows = {}, 0
-        for batch in batches:
-            for r in batch.to_pylist():
-                x, y, w = _arrays(r, size)
-                right = x[:, r["feature"]] > r["bin"]
-                for side in (0, 1):
-                    some = right == bool(side)
-                    if some.any():
-                        held.setdefault((r["tree"], 2 * r["node"] + side), []).append((x[some], y[some], w[some]))
-                rows += len(y)
-                if rows > MERGED:
-                    yield sent(held)
-                    held, rows = {}, 0
-        if held:
-            yield sent(held)
+        parts, rows = {}, 0
+        for tree, nodes, slots, x, y, w in _drawn_rows(batches, held, FEW, size, seed, bootstrap):
+            order = np.argsort(slots, kind="stable")
+            bounds = np.searchsorted(slots[order], np.arange(len(nodes) + 1))
+            for node, a, b in zip(nodes.tolist(), bounds[:-1], bounds[1:]):
+                parts.setdefault((tree, node), []).append((x[order[a:b]], y[order[a:b]], w[order[a:b]]))
+            rows += len(y)
+            if rows > MERGED:
+                yield sent(parts)
+                parts, rows = {}, 0
+        if parts:
+            yield sent(parts)
 
     return run
 
@@ -224,16 +236,44 @@ def _rest(edges: list[np.ndarray], mean: float, depth: int, leaf_rows: int):
 
 def _node_fragments(splits: DataFrame, edges: list[np.ndarray], mean: float) -> DataFrame:
     """Nodes split by a pass as fragments of one node; a child -2 is another fragment."""
-    bounds = splits.sparkSession.createDataFrame([(f, b, float(v)) for f, e in enumerate(edges) for b, v in enumerate(e)], "feature int, bin int, threshold double")
+    rows = [(f, b, float(v)) for f, e in enumerate(edges) for b, v in enumerate(e)]
+    bounds = splits.sparkSession.createDataFrame(rows, "feature int, bin int, threshold double")
     one = lambda c: F.array(c).alias
     child = F.when(F.col("feature") >= 0, -2).otherwise(-1)
-    found = splits.join(F.broadcast(bounds), ["feature", "bin"], "left")  # as many rows as there are bins
+    found = splits.join(F.broadcast(bounds) if len(rows) <= BROADCAST else bounds, ["feature", "bin"], "left")
     return found.select(
         "tree", F.col("node").alias("root"), one("feature")("feature"), one(F.coalesce("threshold", F.lit(0.0)))("threshold"), one(child)("left"), one(child)("right"),
         one(F.col("total") / F.col("rows") + mean)("value"), one("gain")("gain"),
     )
 
 
+class _Grown:
+    """The nodes of a tree that passes have made, as far as rows have to find them; children lie side by side."""
+
+    def __init__(self, kind: int):
+        self.node, self.kind, self.feature, self.bin, self.left, self.place = [1], [kind], [-1], [0], [-1], {1: 0}
+
+    def arrays(self) -> dict[str, np.ndarray]:
+        return {c: np.array(getattr(self, c), np.int64) for c in ("node", "kind", "feature", "bin", "left")}
+
+    def split(self, r, small: int, last: bool) -> list[tuple]:
+        """Take the split of a node of many rows. After the last pass, children of many rows are leaves, which are returned."""
+        k, leaves = self.place[r.node], []
+        self.kind[k] = DONE
+        if r.feature < 0:
+            return leaves
+        self.feature[k], self.bin[k], self.left[k] = r.feature, r.bin, len(self.node)
+        for side, rows, total in ((0, r.left_rows, r.left_total), (1, r.rows - r.left_rows, r.total - r.left_total)):
+            node = 2 * r.node + side
+            kind = FEW if rows <= small else DONE if last else WIDE
+            if kind == DONE:
+                leaves.append((r.tree, node, -1, 0, 0.0, total, rows, 0.0, 0))
+            self.place[node] = len(self.node)
+            for column, value in zip((self.node, self.kind, self.feature, self.bin, self.left), (node, kind, -1, 0, -1)):
+                column.append(value)
+        return leaves
+
+
 class NodeForest(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
     """Mean of trees on rows drawn with replacement, all features at every node; rows without a label are left out.
 
@@ -272,41 +312,27 @@ class NodeForest(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, Defau
         # packs get their numbers with the files, so that a task that runs again draws the same rows
         binned = durable(rows.mapInArrow(to_bins, "x binary, y binary").withColumn("pack", F.monotonically_increasing_id()), "packs")
         small, wave, parts = min(SMALL, max(1, SMALL_BYTES // size)), max(1, min(trees, WAVE_ROWS // n)), []
+        context = dataset.sparkSession.sparkContext
         for first in range(0, trees, wave):
-            state = binned.mapInArrow(_draw(first, min(first + wave, trees), size, seed, bootstrap), _PACK)
-            few = []
             # roots have about as many drawn rows as there are rows
-            for level in range(min(depth, PASSES) if n + 10 * n**0.5 > small else 0):
-                state = durable(state, "state")
-                sums = state.mapInArrow(_sums(size, bins), "tree int, node long, cell int, total double, rows double")
+            grown = {t: _Grown(WIDE if n + 10 * n**0.5 > small else FEW) for t in range(first, min(first + wave, trees))}
+            for level in range(min(depth, PASSES)):
+                if not any(WIDE in g.kind for g in grown.values()):
+                    break
+                held = context.broadcast({t: g.arrays() for t, g in grown.items()})
+                sums = binned.mapInArrow(_sums(held, size, bins, seed, bootstrap), "tree int, node long, cell int, total double, rows double")
                 sums = sums.groupBy("tree", "node", "cell").agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"))
                 splits = durable(sums.groupBy("tree", "node").applyInArrow(_best(size, bins, leaf_rows), _SPLIT), "splits")
+                held.unpersist()
                 parts.append(_node_fragments(splits, edges, float(mean)))
-                inner = splits.where("feature >= 0")
-                number = inner.count()
-                if not number:
-                    state = None
-                    break
-                joined = state.join(F.broadcast(inner.select("tree", "node", "feature", "bin")) if number <= BROADCAST else inner.select("tree", "node", "feature", "bin"), ["tree", "node"])
-                moved = durable(joined.mapInArrow(_routed(size), _PACK), "moved")
-                sides = inner.select("tree", F.explode(F.array(
-                    F.struct((2 * F.col("node")).alias("node"), F.col("left_rows").alias("rows"), F.col("left_total").alias("total")),
-                    F.struct((2 * F.col("node") + 1).alias("node"), (F.col("rows") - F.col("left_rows")).alias("rows"), (F.col("total") - F.col("left_total")).alias("total")),
-                )).alias("c")).select("tree", "c.*")
-                wide = sides.where(F.col("rows") > small)
-                large = F.broadcast(wide.select("tree", "node")) if number <= BROADCAST else wide.select("tree", "node")
-                few.append(moved.join(large, ["tree", "node"], "left_anti"))
-                state = moved.join(large, ["tree", "node"], "left_semi")
-                if wide.isEmpty():
-                    state = None
-                    break
-                if level + 1 == min(depth, PASSES):
-                    state = None
-                    leaves = wide.withColumns({"feature": F.lit(-1), "bin": F.lit(0), "gain": F.lit(0.0)})
-                    parts.append(_node_fragments(leaves, edges, float(mean)))
-            if state is not None:
-                few.append(state)
-            for packs in few:
+                leaves = []
+                for r in splits.collect():  # a row for each node of many rows: there are no more than drawn rows / SMALL
+                    leaves += grown[r.tree].split(r, small, level + 1 == min(depth, PASSES))
+                if leaves:
+                    parts.append(_node_fragments(dataset.sparkSession.createDataFrame(leaves, _SPLIT), edges, float(mean)))
+            if any(FEW in g.kind for g in grown.values()):
+                held = context.broadcast({t: g.arrays() for t, g in grown.items()})
+                packs = binned.mapInArrow(_packs_of(held, size, seed, bootstrap), _PACK)
                 parts.append(packs.groupBy("tree", "node").applyInArrow(_rest(edges, float(mean), depth, leaf_rows), _FRAGMENT))
         fragments = parts[0]
         for p in parts[1:]:

@@ -102,3 +102,14 @@ def test_rows_by_bin_are_sorted_in_time_linear_in_the_rows(monkeypatch):
     assert max(sorted_) <= 2  # numpy sorts whole numbers of 16 bits digit by digit
     slot = rng.integers(0, 1 << 20, 5000)
     assert (forest._by_bin(slot, x, 1 << 20) == plain(slot * 256 + x, kind="stable")).all()
+
+
+def test_passes_write_splits_and_no_rows(data, monkeypatch):
+    """Rows are binned once; what passes store does not grow with trees times rows."""
+    x, y, df = data
+    written, plain = [], forest.durable
+    monkeypatch.setattr(forest, "durable", lambda rows, name: written.append(name) or plain(rows, name))
+    monkeypatch.setattr(forest, "SMALL", 60)
+    model = models.random_forest("label", 2, 4, leaf_rows=3, bootstrap=False).fit(df)
+    assert written.count("splits") >= 2 and set(written) == {"packs", "splits", "forest"}
+    assert predictions(model, df) == pytest.approx(plain_tree(x, y, 4, 3))
