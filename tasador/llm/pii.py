@@ -31,6 +31,8 @@ SMOOTH = 0.5
 OFTEN = 1 / 200
 #: Bits at most of the table that keeps the search for places to disclosing terms; a full table only means more searching.
 TABLE = 1 << 27
+#: Bytes of text read at once: places are kept in bytes and code points, in some hundred bytes for each byte.
+READ = 512 << 10
 
 # fixed values: the patterns; the look-behinds only save repeated attempts inside a run of digits
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -127,7 +129,7 @@ def _lists(values: np.ndarray, rows: np.ndarray, size: int) -> pa.Array:
 def _find(batches):
     """row, doc_id, key, spans, entities, terms of each document: row is a number of its own, and terms are the words of documents that have entities."""
     task, number = TaskContext.get().partitionId() << 40, 0
-    for piece in pieces(batches):
+    for piece in pieces(batches, READ):
         n = piece.num_rows
         texts, found, words, rows, _, _ = _read(piece)
         values = [(i, _value(kind, texts[i][a:b])) for i, f in enumerate(found) for kind, a, b in f]
@@ -142,7 +144,7 @@ def _find(batches):
 
 def _term_counts(batches):
     """term, documents that have it outside of entities."""
-    for piece in pieces(batches):
+    for piece in pieces(batches, READ):
         _, _, words, rows, _, _ = _read(piece)
         term, counts = np.unique(_once(words, rows)[0], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(counts, pa.int64())], names=["term", "documents"])
@@ -152,7 +154,7 @@ def _places(table: np.ndarray, everywhere: bool):
     """doc_id, key, term, start, end of the words whose bit in the table is set, of documents with an entity or of all."""
 
     def run(batches):
-        for piece in pieces(batches):
+        for piece in pieces(batches, READ):
             _, found, words, rows, starts, ends = _read(piece)
             if not everywhere:
                 held = np.array([*map(bool, found)])[rows]

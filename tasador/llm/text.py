@@ -16,7 +16,7 @@ U64 = np.uint64
 #: Odd multipliers with well spread bits.
 M1, M2, M3 = U64(0x9E3779B97F4A7C15), U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 #: Bytes of text handled at once; bounds the memory of a Python worker.
-PIECE = 2 << 20
+PIECE = 1 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: White space of the shingle words: space and tab to carriage return.

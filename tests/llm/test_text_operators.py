@@ -281,3 +281,14 @@ def test_hashes_do_not_depend_on_neighbours():
     for t, h in zip(texts, joined):
         data, bounds = utf8(pa.array([t]))
         assert hash_spans(data, bounds[:-1], bounds[1:])[0] == h
+
+
+def test_personal_data_reads_a_bounded_part_of_a_batch_at_once():
+    """Places take many times the bytes of a text, so that the memory of a worker is set by what is read at once."""
+    import pyarrow as pa
+
+    from tasador.llm import pii
+
+    text_ = "word " * 4000
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(100)), "key": list(range(100)), "text": [text_] * 100})
+    assert sum(b.num_rows for b in pii._term_counts([batch])) >= 4  # 2 MB of texts in parts of 512 KB
