@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasador.llm.components import components
-from tasador.llm.scratch import columns, stored
+from tasador.llm.scratch import bit_table, columns, stored
 from tasador.llm.text import BLANK, LOWER, M1, M2, M3, U64, hash_spans, mix, pieces, spans, utf8
 
 WIDTH = 5
@@ -275,9 +275,7 @@ def _flagged(table: np.ndarray):
 def _tokens(wanted: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     """node, tokens of the wanted classes (node, rep), from the text of the representative."""
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(FLAGS)).cast("int").alias("place")
-    table = np.zeros(FLAGS // 8, np.uint8)
-    for r in wanted.select(place("rep")).distinct().toLocalIterator():  # FLAGS rows at the most
-        table[r.place >> 3] |= 1 << (r.place & 7)
+    table = bit_table(wanted.select(place("rep")), FLAGS)
     few = docs.select("doc_id", "text", place("doc_id")).mapInArrow(_flagged(table), "doc_id long, text string")  # only these are shuffled
     sets = few.join(wanted, few.doc_id == wanted.rep).select("node", "text").mapInArrow(_sets_of, "node binary, tokens binary")
     return stored(sets.dropDuplicates(["node"]), name)
@@ -364,9 +362,7 @@ def similarity_join(documents: DataFrame, share: int = SHARE) -> tuple[DataFrame
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("node", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
     classes = stored(classes, "classes")
     often = seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
-    frequent = np.zeros(FLAGS // 8, np.uint8)
-    for r in often.select(F.col("token").bitwiseAND(FLAGS - 1).alias("place")).distinct().toLocalIterator():  # FLAGS rows at the most
-        frequent[r.place >> 3] |= 1 << (r.place & 7)
+    frequent = bit_table(often.select(F.col("token").bitwiseAND(FLAGS - 1).alias("place")), FLAGS)
     groups = max(16, int((total or 0) * 0.5) // CELLS_A_GROUP)
     packs = docs.where("doc_id IS NOT NULL").mapInArrow(_post(frequent, groups, share), _PACK)
     met = stored(packs.groupBy("group").applyInArrow(_meet, "a binary, b binary, cell long"), "met")

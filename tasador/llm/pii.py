@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tasador.llm.scratch import columns, stored
+from tasador.llm.scratch import bit_table, columns, stored
 from tasador.llm.text import LOWER, NOT_WORD, hash_spans, pieces, spans, utf8
 
 #: Kinds in their order, and what replaces each.
@@ -169,14 +169,9 @@ def _places(table: np.ndarray, everywhere: bool):
 
 
 def _bits(terms: DataFrame) -> np.ndarray:
-    """A table of bits, a power of two of them, with the bits of the terms set: the executors make it, in parts of 4 KB."""
+    """A table of bits, a power of two of them, with the bits of the terms set."""
     size = 1 << min(max(15, (32 * terms.count()).bit_length()), TABLE.bit_length() - 1)
-    table = np.zeros(size // 8, np.uint8)
-    place = F.col("term").bitwiseAND(size - 1) + 1
-    parts = terms.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    for r in parts.collect():  # TABLE / 32768 rows at the most
-        table[4096 * (r.part - 1) : 4096 * r.part] = np.frombuffer(bytes(r.bits), np.uint8)
-    return table
+    return bit_table(terms.select(F.col("term").bitwiseAND(size - 1).alias("place")), size)
 
 
 def _known(rows: DataFrame, known: DataFrame, key: str, often: Column, wanted: Column) -> DataFrame:

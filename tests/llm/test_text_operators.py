@@ -7,6 +7,8 @@ import pytest
 from plain import ROWS, SENTENCE, documents, kept_bytes, license_places, near_duplicates, personal_data, sha
 
 from tasador.llm import licenses, ngram_join, pii, suffix_array, suffix_dedup
+from tasador.llm.components import components, stars
+from tasador.llm.scratch import bit_table
 
 UNIQUE = [(d, t) for i, (d, t) in enumerate(ROWS) if d is not None and (d, t) not in ROWS[:i]]
 
@@ -44,6 +46,52 @@ def test_near_duplicates_of_families(spark, monkeypatch, small):
     assert got == near_duplicates(rows)
 
 
+def test_jobs_do_not_grow_with_shuffle_partitions(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_meet", limited(2))
+    rows, before = edited(0), {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    jobs = []
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (4, 32):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.sparkContext.setJobGroup(f"near duplicates {n}", "")
+            got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(documents(spark, rows)).collect()}
+            assert got == near_duplicates(rows)
+            jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"near duplicates {n}")))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert jobs[1] <= jobs[0] + 16
+
+
+def test_components_of_paths_stars_and_random_edges(spark):
+    rng = random.Random(1)
+    path = [i for i in range(100, 160)]
+    rng.shuffle(path)
+    edges = [*zip(path, path[1:]), *((500, i) for i in range(501, 540)), (7, 7), (9, 8), (8, 9), *((rng.randrange(1000, 1060), rng.randrange(1000, 1060)) for _ in range(40))]
+    least = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in least:
+        for u, v in edges:
+            if u != v:
+                least[u] = least[v] = min(least[u], least[v])
+    frame = spark.createDataFrame(edges, "u long, v long")
+    assert {r.node: r.component for r in components(frame).collect()} == least
+    assert components(frame.where("u = v")).count() == 0
+
+
+def test_stars_are_told_from_other_graphs(spark):
+    for edges, want in (([], True), ([(2, 1), (3, 1), (9, 8)], True), ([(2, 1), (3, 2)], False), ([(3, 1), (3, 2)], False)):
+        assert stars(spark.createDataFrame(edges, "u long, v long"), 2) is want
+
+
+def test_bits_of_a_table(spark):
+    size, places = 1 << 17, {0, 7, 8, 32767, 32768, (1 << 17) - 1}
+    table = bit_table(spark.createDataFrame([(p,) for p in [*places] * 2], "place long"), size)
+    assert set(np.flatnonzero(np.unpackbits(table, bitorder="little")).tolist()) == places
+    assert not bit_table(spark.createDataFrame([], "place long"), size).any()
+
+
 def limited(small):
     def run(packs):
         import tasador.llm.ngram_join as module
