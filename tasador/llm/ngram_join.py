@@ -9,8 +9,9 @@ hold an equal cell. The common order puts cells made only of frequent tokens las
 bring them together. Equal cells give candidate pairs; a bit sketch (one parity bit per token) whose Hamming distance is a lower bound
 of the symmetric difference drops most of the wrong ones; the sets themselves decide.
 
-Equal sets are one class and meet once. Cells with more than ``SMALL`` classes send no pairs. Classes that such cells connect are a crowd; a crowd is compared in square
-blocks of bounded size, each in one task, by sketches first and then by the sets, and only the links of a spanning forest leave the task.
+Equal sets are one class and meet once. Cells with more than ``SMALL`` classes send no pairs. The smallest class of such a cell leads it, and the classes of all cells with one leader are a crowd: classes
+that share a cell meet in the crowd of its leader, and cells that merely touch stay apart, as chains of them run through much of a large corpus. A crowd is compared in square blocks of bounded size, each in
+one task: once by sketches alone, which leave the classes that may link to another of the crowd, then these by sketches and sets, and only the links of a spanning forest leave the task.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ from tasador.llm.text import BLANK, LOWER, M1, M2, M3, U64, hash_spans, mix, pie
 WIDTH = 5
 #: A pair links when PART * |intersection| >= share * |union|, as whole numbers out of 100.
 SHARE = 75
-#: Cells shared by more classes are compared in blocks; classes of a crowd on one side of a block.
+#: Cells shared by more classes are compared in blocks; classes of a crowd, and bytes of what is compared of them, on one side of a block.
 SMALL = 24
-BLOCK = 1024
+BLOCK, BLOCK_BYTES = 4096, 16 << 20
 #: Cells of one group in the exchange, on average.
 CELLS_A_GROUP = 2_000_000
 #: Bytes of a cell and of a set's fingerprint in the exchange. Cells that agree only in these are candidates too many, dropped on the sets.
@@ -293,6 +294,35 @@ def _decide(pairs: DataFrame, classes: DataFrame, docs: DataFrame, share: int) -
     return stored(links.select(F.col("ra").alias("u"), F.col("rb").alias("v")), "links")
 
 
+def _by_length(sketches: list[np.ndarray]) -> dict[int, np.ndarray]:
+    """All sketches by each length that one of them has; those of longer ones folded to it."""
+    return {k: np.stack([fold(s, k) if len(s) >= k else np.zeros(k, np.uint8) for s in sketches]).view(np.uint64) for k in {*map(len, sketches)}}
+
+
+def _beside(share: int):
+    """Classes of two blocks of one crowd whose sketches do not rule out a link to another one."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        part, n = rows.column("part").to_numpy(), rows.column("n").to_numpy()
+        sketches = [np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()]
+        one = bool((rows.column("i").to_numpy() == rows.column("j").to_numpy())[0])
+        bits, found = _by_length(sketches), np.zeros(len(n), bool)
+        order = np.argsort(n, kind="stable")
+        last = np.searchsorted(n[order], n[order] * 100 // share, "right")
+        for k, i in enumerate(order.tolist()):
+            # partners are as large or larger, up to where the sizes alone rule a link out
+            other = order[k + 1 : last[k]]
+            other = other[(one | (part[other] != part[i])) & ~(found[other] & found[i])]
+            if len(other):
+                mine = bits[len(sketches[i])]
+                near = np.bitwise_count(mine[other] ^ mine[i]).sum(1) <= most_apart(n[other], n[i], share)
+                found[other[near]] = True
+                found[i] |= near.any()
+        return rows.select(["crowd", "node"]).filter(pa.array(found))
+
+    return run
+
+
 def _compare(share: int):
     """A spanning forest of the links between two blocks of one crowd, decided on the sets."""
 
@@ -302,8 +332,7 @@ def _compare(share: int):
         tokens = [np.frombuffer(x, U64) for x in rows.column("tokens").to_pylist()]
         one = bool((rows.column("i").to_numpy() == rows.column("j").to_numpy())[0])
         del rows
-        # sketches by length; those of longer ones folded to it
-        bits = {k: np.stack([fold(s, k) if len(s) >= k else np.zeros(k, np.uint8) for s in sketches]).view(np.uint64) for k in {*map(len, sketches)}}
+        bits = _by_length(sketches)
         part = np.zeros(len(n), np.int64) if one else part
         component, out = np.arange(len(n)), []
         order = np.argsort(n, kind="stable")
@@ -328,22 +357,31 @@ def _compare(share: int):
     return run
 
 
-def _crowds(crowd: DataFrame, classes: DataFrame, docs: DataFrame, share: int) -> DataFrame:
-    """Links (u, v) of the classes (cell, node) of large cells."""
-    crowd = crowd.select("cell", "node", F.xxhash64("node").alias("v"))
-    crowd = stored(crowd, "crowd")
-    lead = crowd.groupBy("cell").agg(F.min("v").alias("u"))
-    tied = components(crowd.join(lead, "cell").select("u", "v")).withColumnsRenamed({"node": "v", "component": "crowd"})
-    nodes = crowd.select("node", "v").distinct().join(tied, "v").join(classes, "node").select("crowd", "node", "n", "rep", "sketch")
-    nodes = stored(nodes, "crowds")
-    sets = _tokens(nodes.select("node", "rep"), docs, "crowd_sets")
-    sizes = nodes.groupBy("crowd").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = (
-        nodes.join(sizes, "crowd").join(sets, "node")
+def led(crowd: DataFrame) -> DataFrame:
+    """crowd, node: the classes of each crowd, from those (cell, node) of large cells. The leader, and so the crowd, of a cell is its smallest class by hash."""
+    crowd = stored(crowd.select("cell", "node", F.xxhash64("node").alias("v")), "crowd")
+    lead = crowd.groupBy("cell").agg(F.min("v").alias("crowd"))
+    return crowd.join(lead, "cell").select("crowd", "node").distinct()
+
+
+def _dealt(nodes: DataFrame, held, *more: str) -> DataFrame:
+    """The classes of each crowd dealt to pairs (i, j) of its blocks. ``held``: bytes of a class."""
+    sizes = nodes.groupBy("crowd").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(held) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    return (
+        nodes.join(sizes, "crowd")
         .withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("crowd", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("part"), "n", "rep", "sketch", "tokens")
+        .select("crowd", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("part"), "n", "sketch", *more)
     )
+
+
+def _crowds(crowd: DataFrame, classes: DataFrame, docs: DataFrame, share: int) -> DataFrame:
+    """Links (u, v) of the classes (cell, node) of large cells."""
+    nodes = stored(led(crowd).join(classes, "node").select("crowd", "node", "n", "rep", "sketch"), "crowds")
+    beside = _dealt(nodes, F.octet_length("sketch"), "node").groupBy("crowd", "i", "j").applyInArrow(_beside(share), "crowd long, node binary")
+    nodes = stored(nodes.join(beside.distinct(), ["crowd", "node"], "left_semi"), "beside")
+    sets = _tokens(nodes.select("node", "rep").distinct(), docs, "crowd_sets")
+    dealt = _dealt(nodes, 8 * F.col("n") + F.octet_length("sketch"), "rep", "node").join(sets, "node")
     return stored(dealt.groupBy("crowd", "i", "j").applyInArrow(_compare(share), "u long, v long"), "crowd_links")
 
 

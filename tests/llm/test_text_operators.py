@@ -46,6 +46,21 @@ def test_near_duplicates_of_families(spark, monkeypatch, small):
     assert got == near_duplicates(rows)
 
 
+def test_cells_that_touch_are_not_one_crowd(spark, monkeypatch):
+    """Each document shares a sentence with the next one: classes meet where they share a cell, and the chain of all of them is never compared as a whole."""
+    kept, before = {}, ngram_join.stored
+    monkeypatch.setattr(ngram_join, "_meet", limited(1))
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name: kept.setdefault(name, before(df, name)))
+    sentence = lambda i: " ".join(f"s{i}w{k}" for k in range(12))
+    rows = [(i, f"{sentence(i)} {sentence(i + 1)}") for i in range(60)] + [(100 + i, f"{sentence(i)} {sentence(i + 1)} more") for i in range(0, 60, 7)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(documents(spark, rows)).collect()}
+    assert got == near_duplicates(rows)
+    crowds = {}
+    for r in kept["crowds"].collect():
+        crowds.setdefault(r.crowd, set()).add(bytes(r.node))
+    assert len(set().union(*crowds.values())) > 50 and max(map(len, crowds.values())) <= 10
+
+
 def test_jobs_do_not_grow_with_shuffle_partitions(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "_meet", limited(2))
     rows, before = edited(0), {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
