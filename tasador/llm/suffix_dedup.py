@@ -79,6 +79,29 @@ def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return row, begin - bounds[row], end - begin, gram[anchor], whole, *sides
 
 
+def _binary(flat: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The items of ``flat`` between each two ``cuts``, as bytes."""
+    offsets = (cuts * flat.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
+def _read(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
+    """All items of a column of bytes, and how many each row has."""
+    parts = [utf8(c, 0) for c in column.chunks]
+    items = np.concatenate([d for d, _ in parts]).view(kind)
+    return items, np.concatenate([np.diff(b) for _, b in parts]) // items.dtype.itemsize
+
+
+def _packs(key: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For rows sorted by key, then row: where each key begins (and the end), the place of each row among the distinct rows of its key, these rows, and where those of each key begin (and the end).
+    There are about as many keys as pieces of text, so nothing here takes time for each key."""
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (row[1:] != row[:-1])])
+    number = np.cumsum(new) - 1
+    cuts = np.append(first, len(key))
+    return cuts, number - np.repeat(number[first], np.diff(cuts)), row[new], np.append(number[first], number[-1] + 1)
+
+
 def _exchange(groups: int):
     """Packs of anchors and segments for each group."""
 
@@ -87,19 +110,20 @@ def _exchange(groups: int):
             for at in range(0, piece.num_rows, 60_000):
                 part = piece.slice(at, 60_000)
                 row, begin, more, gram, segment, left, right = segments(*utf8(part.column("text")))
-                entries = np.empty(len(row), _ENTRY)
-                entries["gram"], entries["gram_high"], entries["left"], entries["right"] = gram & U64(2**32 - 1), gram >> U64(48), left, right
-                entries["segment"], entries["at"], entries["more"], entries["owner"] = segment, begin, more, row
+                if not len(row):
+                    continue
                 group = (gram % U64(groups)).astype(np.int64)
                 order = np.argsort(group.astype(np.uint16) if groups < 65536 else group, kind="stable")
-                entries, cuts = entries[order], np.searchsorted(group[order], np.arange(groups + 1))
-                ids, keys, rows = part.column("doc_id").to_numpy(), part.column("key").to_numpy(), []
-                for g in np.flatnonzero(np.diff(cuts)):
-                    mine = entries[cuts[g] : cuts[g + 1]].copy()
-                    used, mine["owner"] = np.unique(mine["owner"], return_inverse=True)
-                    rows.append((int(g), mine.tobytes(), ids[used].tobytes(), keys[used].tobytes()))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 3))], names=["group", "entries", "ids", "keys"])
+                group = group[order]
+                cuts, owner, used, own = _packs(group, row[order])
+                entries = np.empty(len(row), _ENTRY)
+                entries["gram"], entries["gram_high"], entries["left"], entries["right"] = gram & U64(2**32 - 1), gram >> U64(48), left, right
+                entries["segment"], entries["at"], entries["more"] = segment, begin, more
+                entries = entries[order]
+                entries["owner"] = owner
+                ids, keys = part.column("doc_id").to_numpy(), part.column("key").to_numpy()
+                arrays = [pa.array(group[cuts[:-1]], pa.int32()), _binary(entries, cuts), _binary(ids[used], own), _binary(keys[used], own)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["group", "entries", "ids", "keys"])
 
     return run
 
@@ -114,17 +138,13 @@ def united(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[first], far[np.append(np.flatnonzero(first)[1:] - 1, len(far) - 1)]
 
 
-def _by_owner(owner, *arrays):
-    """(owner, arrays) of each owner."""
-    order = np.argsort(owner, kind="stable")
-    owner = owner[order]
-    cuts = np.flatnonzero(np.diff(owner, prepend=-1, append=-1)) if len(owner) else []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        yield (int(owner[a]), *(x[order[a:b]] for x in arrays))
-
-
-def _ranges(start, end) -> bytes:
-    return np.stack(united(start.astype(np.int64), end.astype(np.int64)), 1).astype("<u4").tobytes()
+def _ranges(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The owners, and the united ranges of each."""
+    own = owner.astype(np.int64) << 33  # beyond any end, so ranges of two owners do not touch
+    start, end = united(start.astype(np.int64) + own, end.astype(np.int64) + own)
+    owner = start >> 33
+    begin = np.flatnonzero(np.diff(owner, prepend=-1))
+    return owner[begin], _binary((np.stack([start, end], 1) - (owner << 33)[:, None]).astype("<u4").ravel(), 2 * np.append(begin, len(owner)))
 
 
 _FOUND = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("ranges", pa.binary()), ("asks", pa.binary()), ("bytes", pa.int64())])
@@ -143,13 +163,11 @@ def _beside(group: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def _meet(many: int):
-    """Rows of documents: ranges to remove, and segments to compare."""
+    """Rows of documents: ranges to remove, or segments to compare."""
 
     def run(packs: pa.Table) -> pa.Table:
-        read = lambda name, kind: np.frombuffer(b"".join(packs.column(name).to_pylist()), kind)
-        ids, keys, entries = read("ids", np.int64), read("keys", np.int64), read("entries", _ENTRY)
-        docs = np.array([len(x) // 8 for x in packs.column("ids").to_pylist()])
-        owner = entries["owner"] + np.repeat(np.cumsum(docs) - docs, [len(x) // _ENTRY.itemsize for x in packs.column("entries").to_pylist()])
+        (ids, docs), (keys, _), (entries, parts) = (_read(packs.column(name), kind) for name, kind in (("ids", np.int64), ("keys", np.int64), ("entries", _ENTRY)))
+        owner = entries["owner"] + np.repeat(np.cumsum(docs) - docs, parts)
         del packs
         gram = entries["gram"].astype(np.uint64) | entries["gram_high"].astype(np.uint64) << U64(32)
         order = np.argsort(gram)
@@ -171,19 +189,19 @@ def _meet(many: int):
         differ = (np.minimum.reduceat(lowest, begin) != np.maximum.reduceat(lowest, begin)) if len(begin) else begin
         compare = ~remove & ((kinds > 1) & differ)[group] if len(begin) else remove
         compare[compare] = _beside(group[compare], entries["left"][compare], doc[compare]) | _beside(group[compare], entries["right"][compare], doc[compare])
-        out = {}
         start = entries["at"].astype(np.int64)
-        for who, a, b in _by_owner(owner[remove], start[remove], (start + entries["more"] + LENGTH)[remove]):
-            out[who] = [_ranges(a, b), None, 0]
+        gone, ranges = _ranges(owner[remove], start[remove], (start + entries["more"] + LENGTH)[remove])
         asks = np.empty(int(compare.sum()), _ASK)
         asks["gram"], asks["at"], asks["more"] = gram[compare], entries["at"][compare], entries["more"][compare]
         asks["many"] = (kinds > many)[group[compare]] if len(begin) else 0
-        for who, mine in _by_owner(owner[compare], asks):
-            weight = np.where(mine["many"] > 0, (mine["more"].astype(np.int64) + 1) * LENGTH, mine["more"].astype(np.int64) + LENGTH)
-            out.setdefault(who, [None, None, 0])[1:] = [mine.tobytes(), int(weight.sum())]
-        who = np.array(list(out), np.int64)
-        rows = list(zip(*out.values())) or [[], [], []]
-        return pa.table([pa.array(ids[who]), pa.array(keys[who]), pa.array(rows[0], pa.binary()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.int64())], schema=_FOUND)
+        order = np.argsort(owner[compare], kind="stable")
+        asks, asking = asks[order], owner[compare][order]
+        first = np.flatnonzero(np.diff(asking, prepend=-1))
+        weight = np.where(asks["many"] > 0, (asks["more"].astype(np.int64) + 1) * LENGTH, asks["more"].astype(np.int64) + LENGTH)
+        who = np.concatenate([gone, asking[first]])
+        weight = np.concatenate([np.zeros(len(gone), np.int64), np.add.reduceat(weight, first) if len(first) else first])
+        lists = [pa.concat_arrays([ranges, pa.nulls(len(first), pa.binary())]), pa.concat_arrays([pa.nulls(len(gone), pa.binary()), _binary(asks, np.append(first, len(asks)))])]
+        return pa.table([pa.array(ids[who]), pa.array(keys[who]), *lists, pa.array(weight)], schema=_FOUND)
 
     return run
 
@@ -212,27 +230,21 @@ def _send(shards: int):
             shard = (mix(gram) % U64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             row, at, length, shard = row[order], at[order], length[order], shard[order]
-            cuts, ids, keys = np.searchsorted(shard, np.arange(shards + 1)), piece.column("doc_id").to_numpy(), piece.column("key").to_numpy()
-            rows = []
-            for g in np.flatnonzero(np.diff(cuts)):
-                s = slice(cuts[g], cuts[g + 1])
-                used, place = np.unique(row[s], return_inverse=True)
-                rows.append((int(g), gather(data, bounds[row[s]] + at[s], length[s]).tobytes(), length[s].astype("<u4").tobytes(), at[s].astype("<u4").tobytes(), place.astype("<u4").tobytes(), ids[used].tobytes(), keys[used].tobytes()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 6))], names=["shard", "flat", "lengths", "starts", "owners", "ids", "keys"])
+            cuts, place, used, own = _packs(shard, row)
+            flat, ids, keys = gather(data, bounds[row] + at, length), piece.column("doc_id").to_numpy(), piece.column("key").to_numpy()
+            arrays = [pa.array(shard[cuts[:-1]], pa.int32()), _binary(flat, np.concatenate([[0], np.cumsum(length)])[cuts]), *(_binary(x.astype("<u4"), cuts) for x in (length, at, place)), _binary(ids[used], own), _binary(keys[used], own)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["shard", "flat", "lengths", "starts", "owners", "ids", "keys"])
 
     return run
 
 
 def _shard(packs: pa.Table) -> pa.Table:
     """Ranges to remove, from the suffix array of a shard's segments."""
-    lists = {name: packs.column(name).to_pylist() for name in ("flat", "lengths", "starts", "owners", "ids", "keys")}
+    (flat, _), (lengths, _), (starts, _), (owners, parts), (ids, docs), (keys, _) = (
+        _read(packs.column(name), kind) for name, kind in (("flat", np.uint8), ("lengths", "<u4"), ("starts", "<u4"), ("owners", "<u4"), ("ids", np.int64), ("keys", np.int64))
+    )
     del packs
-    docs, parts = np.array([len(x) // 8 for x in lists["ids"]]), [len(x) // 4 for x in lists["owners"]]
-    read = lambda name, kind: np.frombuffer(b"".join(lists.pop(name)), kind)
-    flat, lengths, starts = read("flat", np.uint8), read("lengths", "<u4").astype(np.int64), read("starts", "<u4").astype(np.int64)
-    owners = read("owners", "<u4") + np.repeat(np.cumsum(docs) - docs, parts)
-    ids, keys = read("ids", np.int64), read("keys", np.int64)
+    lengths, starts, owners = lengths.astype(np.int64), starts.astype(np.int64), owners + np.repeat(np.cumsum(docs) - docs, parts)
     s = Segments(flat, lengths)
     array = suffix_array(s)
     step = np.zeros(len(s.byte) + 1, np.int8)
@@ -249,9 +261,8 @@ def _shard(packs: pa.Table) -> pa.Table:
     gone = doc > lowest
     segment = segment[gone]
     at = array[gone] - s.start[segment] + starts[segment]
-    found = [(who, _ranges(a, a + LENGTH)) for who, a in _by_owner(owners[segment], at)]
-    who = np.array([w for w, _ in found], np.int64)
-    return pa.table({"doc_id": pa.array(ids[who]), "key": pa.array(keys[who]), "ranges": pa.array([r for _, r in found], pa.binary())})
+    who, ranges = _ranges(owners[segment], at, at + LENGTH)
+    return pa.table({"doc_id": pa.array(ids[who]), "key": pa.array(keys[who]), "ranges": ranges})
 
 
 def _cut(batches):

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -167,6 +168,30 @@ def test_repeats_of_awkward_rows_and_families(spark, many):
         assert got == sorted((d or -1, len(b), sha(k), n) for d, b, k, n in kept_bytes(rows))
 
 
+def test_many_groups_take_no_steps_of_their_own():
+    """Packs for as many shards as segments cost about what packs for a few cost, and hold the same."""
+    rng, n, size = np.random.default_rng(0), 30_000, 1_000_000
+    text = rng.integers(97, 123, size).astype(np.uint8).tobytes().decode()
+    asks = np.zeros(n, suffix_dedup._ASK)
+    asks["gram"], asks["at"], asks["more"] = rng.integers(0, 2**63, n, dtype=np.uint64), rng.integers(0, size - 100, n), rng.integers(0, 30, n)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [7], "key": [8], "text": [text], "asks": pa.array([[asks.tobytes()]], pa.list_(pa.binary()))})
+    took, sent = [], []
+    for shards in (16, 16, 1 << 20):
+        began = time.process_time()
+        packs = list(suffix_dedup._send(shards)([batch]))
+        took.append(time.process_time() - began)
+        rows = pa.Table.from_batches(packs).to_pylist()
+        at = [int(a) for r in rows for a in np.frombuffer(r["starts"], "<u4")]
+        flat, lengths = b"".join(r["flat"] for r in rows), [int(x) for r in rows for x in np.frombuffer(r["lengths"], "<u4")]
+        cuts = np.concatenate([[0], np.cumsum(lengths)]).tolist()
+        assert all(flat[x:y] == text[a : a + y - x].encode() for a, x, y in zip(at, cuts, cuts[1:]))
+        assert all(r["ids"] == np.int64(7).tobytes() and r["keys"] == np.int64(8).tobytes() and not any(np.frombuffer(r["owners"], "<u4")) for r in rows)
+        assert len({r["shard"] for r in rows}) == len(rows)
+        sent.append(sorted(zip(at, lengths)))
+    assert sent[0] == sent[2] == sorted(zip(asks["at"].tolist(), (asks["more"].astype(int) + suffix_dedup.LENGTH).tolist()))
+    assert took[2] < 8 * took[1] + 0.3
+
+
 def test_repeats_of_very_long_texts(spark):
     rows = ROWS[10:12]
     got = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(documents(spark, rows)).collect()}
