@@ -87,9 +87,14 @@ def _binary(flat: np.ndarray, cuts: np.ndarray) -> pa.Array:
 
 def _read(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
     """All items of a column of bytes, and how many each row has."""
-    parts = [utf8(c, 0) for c in column.chunks]
-    items = np.concatenate([d for d, _ in parts]).view(kind)
-    return items, np.concatenate([np.diff(b) for _, b in parts]) // items.dtype.itemsize
+    parts, sizes = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+    for c in column.chunks:
+        bounds = np.frombuffer(c.buffers()[1], np.int64 if pa.types.is_large_binary(c.type) else np.int32)[c.offset : c.offset + len(c) + 1]
+        if len(bounds) and bounds[-1] > bounds[0]:
+            parts.append(np.frombuffer(c.buffers()[2], np.uint8)[bounds[0] : bounds[-1]])
+        sizes.append(np.diff(bounds).astype(np.int64))
+    items = np.concatenate(parts).view(kind)
+    return items, np.concatenate(sizes) // items.dtype.itemsize
 
 
 def _packs(key: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -231,7 +236,9 @@ def _send(shards: int):
             order = np.argsort(shard, kind="stable")
             row, at, length, shard = row[order], at[order], length[order], shard[order]
             cuts, place, used, own = _packs(shard, row)
-            flat, ids, keys = gather(data, bounds[row] + at, length), piece.column("doc_id").to_numpy(), piece.column("key").to_numpy()
+            first = bounds[row] + at
+            flat = np.concatenate([gather(data, first[k : k + 16384], length[k : k + 16384]) for k in range(0, len(row), 16384)])  # single windows are many times their text
+            ids, keys = piece.column("doc_id").to_numpy(), piece.column("key").to_numpy()
             arrays = [pa.array(shard[cuts[:-1]], pa.int32()), _binary(flat, np.concatenate([[0], np.cumsum(length)])[cuts]), *(_binary(x.astype("<u4"), cuts) for x in (length, at, place)), _binary(ids[used], own), _binary(keys[used], own)]
             yield pa.RecordBatch.from_arrays(arrays, names=["shard", "flat", "lengths", "starts", "owners", "ids", "keys"])
 
